@@ -92,7 +92,7 @@ def non_blank(c: Column) -> Column:
 def age_label(ts: Column, ctx: RunContext) -> Column:
     """C14: relative age such as ``2 min ago``, ``1h ago``, ``2d ago``;
     NULL -> ``Never``; a time after ``as_of`` -> ``just now``."""
-    secs = F.unix_timestamp(ctx.now().cast("timestamp")) - F.unix_timestamp(ts.cast("timestamp"))
+    secs = F.timestamp_diff("SECOND", ts, ctx.now())  # whole seconds elapsed
     return (F.when(ts.isNull(), "Never")
              .when(secs < 60, "just now")
              .when(secs < 3600, F.concat(F.floor(secs / 60).cast("string"), F.lit(" min ago")))
@@ -130,7 +130,7 @@ def page_count(total: Column, limit: int) -> Column:
 def sync_status_columns(export_ts: Column, ctx: RunContext, every_minutes: int = 15) -> dict[str, Column]:
     """Age of the last export in minutes, next due time and a healthy
     flag (the last export is not older than two periods)."""
-    age = (F.unix_timestamp(ctx.now().cast("timestamp")) - F.unix_timestamp(export_ts.cast("timestamp"))) / 60.0
+    age = F.timestamp_diff("SECOND", export_ts, ctx.now()) / 60.0
     return {
         "minutes_since_export": F.floor(age).cast("bigint"),
         "next_export_due": F.timestamp_add("MINUTE", F.lit(every_minutes), export_ts),
