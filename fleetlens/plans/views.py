@@ -394,4 +394,5 @@ def view_registry(ctx: RunContext) -> dict[str, Callable[[SparkSession, str], Da
         run.__name__ = f"view_{fn.__name__}"
         return run
 
-    return {name: make(fn) for name, fn in VIEWS.items()}
+    from fleetlens.plans.lifecycle import LIFECYCLE
+    return {name: make(fn) for name, fn in {**VIEWS, **LIFECYCLE}.items()}
