@@ -54,7 +54,7 @@ def _kpi_union(t: Tables, ctx: RunContext) -> DataFrame:
     ds = _export("device_summary", t, ctx).select(
         F.lit(1).alias("tenants"), "total_devices", "active_devices", "devices_seen_24h")
     gs = _export("gateway_summary", t, ctx).select("total_gateways", "online_gateways")
-    codecs = codec_profiles(t).select(F.lit(1).alias("codecs"))
+    codecs = codec_profiles(t, with_script=False).select(F.lit(1).alias("codecs"))
     servers = t["server"].select(F.lit(1).alias("servers"))
     out = ds
     for part in (gs, codecs, servers):
