@@ -233,31 +233,106 @@ class RunResult:
     published: bool
 
 
+def stage_sources(spark: SparkSession, tables: Mapping, root: str, run_id: str,
+                  names: Iterable[str], parallelism: int = 4):
+    """Write each source table once for the run and read it back from the
+    shared folder. Every export of the run then sees the same snapshot of
+    the sources, a slow source (JDBC) is read once instead of once per
+    export, and a lost executor re-reads parquet instead of recomputing."""
+    from fleetlens.sources.tables import LazyTables
+    from concurrent.futures import ThreadPoolExecutor
+    base = f"{root.rstrip('/')}/staging/snapshot={run_id}"
+    names = list(names)
+
+    def write(n):
+        tables[n].write.mode("overwrite").parquet(f"{base}/{n}")
+
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        list(pool.map(write, names))
+
+    def reader(n):
+        return lambda: spark.read.parquet(f"{base}/{n}")
+
+    staged = {n: reader(n) for n in names}
+    rest = {n: (lambda n=n: tables[n]) for n in tables if n not in staged}
+    return LazyTables({**rest, **staged})
+
+
+# Source tables the run exports read; staged once per run.
+RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "device_keys", "gateway",
+               "user", "tenant_user", "application_integration", "multicast_group",
+               "multicast_group_device", "device_queue_item", "api_key", "relay_device", "relay_gateway",
+               "fuota_deployment")
+
+
 def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str,
                 names: Iterable[str] = RUN_EXPORTS, extra: Mapping | None = None,
-                publish: bool = True, with_codecs: bool = True) -> RunResult:
+                publish: bool = True, with_codecs: bool = True, stage: bool = False,
+                parallelism: int = 1) -> RunResult:
     """Write every export of a run, each in its own try; a failing
     export is recorded and the run goes on, but the run is only published
-    when all of them succeeded."""
-    rows = []
+    when all of them succeeded. ``stage`` snapshots the sources first;
+    ``parallelism`` > 1 submits that many export jobs at once (each is an
+    independent Spark job, so small exports fill the cluster together)."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    if stage:
+        tables = stage_sources(spark, tables, root, ctx.run_id, [n for n in RUN_SOURCES if n in tables],
+                               parallelism)
     builders = {n: (lambda n=n: EXPORTS[n].build(tables, ctx)) for n in names}
     builders.update(extra or {})
-    for name, build in builders.items():
+
+    def one(item):
+        name, build = item
         try:
             df = build()
             path = write_snapshot(df, root, name, ctx.run_id)
-            n = spark.read.parquet(path).count()
-            rows.append((name, True, n, None))
+            return (name, True, spark.read.parquet(path).count(), None)
         except Exception as e:  # noqa: BLE001 - recorded, the run continues
-            rows.append((name, False, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}"))
+            return (name, False, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+
+    items = list(builders.items())
+    if with_codecs:
+        def codecs():
+            path = f"{root.rstrip('/')}/archive/_codecs/snapshot={ctx.run_id}"
+            write_codecs(tables, path)
+            return spark.read.parquet(path)
+        items.append(("_codecs", lambda: None))
+    rows = []
+    if parallelism > 1:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(one, [i for i in items if i[0] != "_codecs"]))
+    else:
+        rows = [one(i) for i in items if i[0] != "_codecs"]
     if with_codecs:
         try:
-            write_codecs(tables, f"{root.rstrip('/')}/archive/_codecs/snapshot={ctx.run_id}")
+            n = codecs().count()
+            rows.append(("_codecs", True, n, None))
         except Exception as e:  # noqa: BLE001
-            rows.append(("codecs", False, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append(("_codecs", False, None, f"{type(e).__name__}: {str(e)[:200]}"))
     ok = all(r[1] for r in rows)
     if ok and publish:
         publish_current(spark, root, ctx)
     schema = T.StructType([T.StructField("export_name", T.StringType()), T.StructField("ok", T.BooleanType()),
                            T.StructField("records", T.LongType()), T.StructField("error", T.StringType())])
     return RunResult(ctx.run_id, spark.createDataFrame(rows, schema), ok and publish)
+
+
+def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, keep: int = 10,
+            stage: bool = True, parallelism: int = 4) -> RunResult:
+    """The scheduled job: one full run (staged sources, every export, the
+    codecs), publication, then removal of snapshots beyond the newest
+    ``keep`` published runs."""
+    res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism)
+    if res.published:
+        runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
+        expired = [r["snapshot"] for r in expired_snapshots(runs, keep).filter(~F.col("keep")).collect()]
+        paths = []
+        for rid in expired:
+            paths.append(f"{root.rstrip('/')}/current/pointer/run_id={rid}")
+            paths.append(f"{root.rstrip('/')}/staging/snapshot={rid}")
+            paths.append(f"{root.rstrip('/')}/archive/_metadata/snapshot={rid}")
+            paths.append(f"{root.rstrip('/')}/archive/_codecs/snapshot={rid}")
+            paths += [snapshot_path(root, n, rid) for n in RUN_EXPORTS]
+        delete_paths(spark, paths)
+    return res
