@@ -83,12 +83,13 @@ def device_classes(spark: SparkSession) -> DataFrame:
 
 def _device_classes(t: Tables, ctx: RunContext) -> DataFrame:
     """Q7 with the number of devices per class (A13: zero for unused ones).
-    The literal side has 3 rows, a proven bound, so it is broadcast."""
+    The per-class counts have one row per class value (a proven bound), so
+    that side is broadcast to the 3-row literal it is joined to."""
     spark = t["device"].sparkSession
     per_class = (t["device"].groupBy(F.concat(F.lit("Class "), F.col("enabled_class")).alias("cls"))
                  .agg(F.count(F.lit(1)).alias("devices_in_class")))
-    classes = F.broadcast(device_classes(spark))
-    out = per_class.join(classes, per_class["cls"] == classes["class_name"], "right")
+    classes = device_classes(spark)
+    out = classes.join(F.broadcast(per_class), classes["class_name"] == per_class["cls"], "left")
     return out.select(*DEVICE_CLASS_COLUMNS,
                       F.coalesce(F.col("devices_in_class"), F.lit(0).cast("bigint")).alias("devices_in_class"))
 
