@@ -30,6 +30,12 @@ def round2(x: Column) -> Column:
     return F.round(x.cast("decimal(20,6)"), 2).cast("double")
 
 
+def avg_round(total: Column, n: Column) -> Column:
+    """A3: ROUND(AVG(x), 2) from a sum and a count of non-NULL values (the
+    two partial aggregates Spark combines map-side); NULL for no values."""
+    return round2(safe_avg(total, n))
+
+
 def string_agg(col: str, sep: str = ", ") -> Column:
     """Ordered string aggregate; zero non-NULL values give NULL."""
     return F.expr(f"listagg(`{col}`, '{sep}') WITHIN GROUP (ORDER BY `{col}`)")

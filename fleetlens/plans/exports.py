@@ -20,8 +20,9 @@ from fleetlens.functions.exprs import (
     codec_filename, deployment_status, device_activity, gateway_connection,
     hex_lower, non_blank, safe_filename, seen_within, text,
 )
-from fleetlens.operators.aggs import bucket_counts, count_when, round2, safe_avg, string_agg
-from fleetlens.operators.joins import application_dim, lookup, lookup_chain, semi
+from fleetlens.operators.aggs import avg_round, bucket_counts, count_when, string_agg
+from fleetlens.operators.filters import pending_only
+from fleetlens.operators.joins import application_dim, bridge, lookup, role_join
 
 Tables = Mapping[str, DataFrame]
 
@@ -53,7 +54,9 @@ def provenance(ctx: RunContext, ts_name: str = "export_timestamp") -> dict[str,
     return {"source_server": F.lit(ctx.server_name), ts_name: F.lit(ctx.run_id)}
 
 
-def _with_prov(df: DataFrame, ctx: RunContext, ts_name: str = "export_timestamp") -> DataFrame:
+def with_provenance(df: DataFrame, ctx: RunContext, ts_name: str = "export_timestamp") -> DataFrame:
+    """add the constant provenance columns (the summaries call the run
+    stamp ``report_timestamp``)."""
     return df.withColumns(provenance(ctx, ts_name))
 
 
@@ -114,7 +117,7 @@ def _servers(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _tenants(t: Tables, ctx: RunContext) -> DataFrame:
     tn = t["tenant"]
-    return _with_prov(tn.select(
+    return with_provenance(tn.select(
         text("id").alias("tenant_id"), F.col("name").alias("tenant_name"), "description",
         "max_device_count", "max_gateway_count", "can_have_gateways", "private_gateways_up",
         "private_gateways_down", "created_at", "updated_at"), ctx)
@@ -178,7 +181,7 @@ def _tenants_with_counts(t: Tables, ctx: RunContext) -> DataFrame:
     tn = t["tenant"]
     j = tn.join(dev, tn["id"] == dev["dk"], "left").join(gw, tn["id"] == gw["gk"], "left")
     zero = F.lit(0).cast("bigint")
-    return _with_prov(j.select(
+    return with_provenance(j.select(
         text("id").alias("tenant_id"), F.col("name").alias("tenant_name"), "description",
         "max_device_count", "max_gateway_count", "can_have_gateways", "private_gateways_up",
         "private_gateways_down", "created_at", "updated_at",
@@ -188,7 +191,7 @@ def _tenants_with_counts(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _applications(t: Tables, ctx: RunContext) -> DataFrame:
     a = lookup(t["application"], t["tenant"], "tenant_id", "id", {"tenant_name": "name"})
-    return _with_prov(a.select(
+    return with_provenance(a.select(
         text("id").alias("application_id"), F.col("name").alias("application_name"), "description",
         "tenant_name", text("tenant_id").alias("tenant_id"), "created_at", "updated_at"), ctx)
 
@@ -202,7 +205,7 @@ PROFILE_COLUMNS = ("region", "mac_version", "reg_params_revision", "supports_ota
 
 def _device_profiles(t: Tables, ctx: RunContext) -> DataFrame:
     p = lookup(t["device_profile"], t["tenant"], "tenant_id", "id", {"tenant_name": "name"})
-    return _with_prov(p.select(
+    return with_provenance(p.select(
         text("id").alias("profile_id"), F.col("name").alias("profile_name"), "description",
         "tenant_name", text("tenant_id").alias("tenant_id"), *PROFILE_COLUMNS), ctx)
 
@@ -273,7 +276,7 @@ def _codec_metadata(t: Tables, ctx: RunContext) -> DataFrame:
     the script text itself never crosses a shuffle."""
     p = codec_profiles(t, with_script=False)
     p = lookup(p, t["tenant"], "tenant_id", "id", {"t_name": "name", "t_id": "id"})
-    return _with_prov(p.select(
+    return with_provenance(p.select(
         text("id").alias("profile_id"), F.col("name").alias("profile_name"),
         F.col("payload_codec_runtime").alias("codec_runtime"), "codec_size_bytes", "description",
         F.col("t_name").alias("tenant_name"), text("t_id").alias("tenant_id"),
@@ -318,10 +321,10 @@ def _device_summary(t: Tables, ctx: RunContext) -> DataFrame:
     j = tn.join(per_tenant, tn["id"] == per_tenant["tenant_id"], "left")
     zero = F.lit(0).cast("bigint")
     cnt = {c: F.coalesce(F.col(c), zero) for c in DEVICE_COUNTERS}
-    return _with_prov(j.select(
+    return with_provenance(j.select(
         F.col("name").alias("tenant_name"), text(tn["id"]).alias("tenant_id"),
         *[cnt[c].alias(c) for c in DEVICE_COUNTERS[:6]],
-        round2(safe_avg(F.col("battery_sum"), F.col("battery_powered_devices"))).alias("avg_battery_level"),
+        avg_round(F.col("battery_sum"), F.col("battery_powered_devices")).alias("avg_battery_level"),
         *[cnt[c].alias(c) for c in DEVICE_COUNTERS[6:]]), ctx, "report_timestamp")
 
 
@@ -335,7 +338,7 @@ def _gateway_summary(t: Tables, ctx: RunContext) -> DataFrame:
     # JOIN, and that row satisfies "last_seen_at IS NULL": it reports one
     # offline gateway next to zero total gateways. Kept as is.
     no_gateways = F.col("gt").isNull()
-    return _with_prov(j.select(
+    return with_provenance(j.select(
         F.col("name").alias("tenant_name"), text("id").alias("tenant_id"),
         *[F.coalesce(F.col(c), zero).alias(c) for c in
           ("total_gateways", "online_gateways", "recent_gateways")],
@@ -355,18 +358,16 @@ def _users(t: Tables, ctx: RunContext) -> DataFrame:
         string_agg("t_name").alias("tenant_access"), F.count("t_id").alias("tenant_count"))
     u = t["user"]
     j = u.join(per_user, u["id"] == per_user["uid"], "left")
-    return _with_prov(j.select(
+    return with_provenance(j.select(
         text("id").alias("user_id"), "email", "is_admin", "is_active", "email_verified", "external_id",
         "note", "created_at", "updated_at", "tenant_access",
         F.coalesce(F.col("tenant_count"), F.lit(0).cast("bigint")).alias("tenant_count")), ctx)
 
 
 def _tenant_user_roles(t: Tables, ctx: RunContext) -> DataFrame:
-    tu = lookup_chain(t["tenant_user"], [
-        (t["tenant"], "tenant_id", "id", {"tenant_name": "name", "t_id": "id"}),
-        (t["user"], "user_id", "id", {"user_email": "email", "u_id": "id"}),
-    ])
-    return _with_prov(tu.select(
+    tu = bridge(t["tenant_user"], t["tenant"], "tenant_id", "id", {"tenant_name": "name", "t_id": "id"},
+                t["user"], "user_id", "id", {"user_email": "email", "u_id": "id"})
+    return with_provenance(tu.select(
         "tenant_name", text("t_id").alias("tenant_id"), "user_email", text("u_id").alias("user_id"),
         F.col("is_admin").alias("is_tenant_admin"), "is_device_admin", "is_gateway_admin",
         "created_at", "updated_at"), ctx)
@@ -376,7 +377,7 @@ def _integrations(t: Tables, ctx: RunContext) -> DataFrame:
     apps = application_dim(t["application"], t["tenant"])
     ai = lookup(t["application_integration"], apps, "application_id", "app_id",
                 {"a_id": "app_id", "application_name": "application_name", "tenant_name": "tenant_name"})
-    return _with_prov(ai.select(
+    return with_provenance(ai.select(
         F.concat(text("a_id"), F.lit("_"), F.col("kind")).alias("integration_id"),
         "application_name", text("a_id").alias("application_id"), "tenant_name",
         F.col("kind").alias("integration_type"), text("configuration").alias("configuration_json"),
@@ -387,7 +388,7 @@ def _multicast_groups(t: Tables, ctx: RunContext) -> DataFrame:
     apps = application_dim(t["application"], t["tenant"])
     mg = lookup(t["multicast_group"], apps, "application_id", "app_id",
                 {"application_name": "application_name", "tenant_name": "tenant_name"})
-    return _with_prov(mg.select(
+    return with_provenance(mg.select(
         text("id").alias("multicast_group_id"), F.col("name").alias("group_name"),
         text("application_id").alias("application_id"), "application_name", "tenant_name", "region",
         hex_lower(F.col("mc_addr")).alias("multicast_address"),
@@ -407,7 +408,7 @@ def _multicast_group_devices(t: Tables, ctx: RunContext) -> DataFrame:
                {"mg_name": "name", "mg_id": "id", "application_name": "application_name",
                 "tenant_name": "tenant_name"})
     m = lookup(m, t["device"], "dev_eui", "dev_eui", {"device_name": "name"})
-    return _with_prov(m.select(
+    return with_provenance(m.select(
         F.col("mg_name").alias("multicast_group_name"), text("mg_id").alias("multicast_group_id"),
         hex_lower(F.col("dev_eui")).alias("device_eui"), "device_name", "application_name",
         "tenant_name", "created_at"), ctx)
@@ -415,12 +416,12 @@ def _multicast_group_devices(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _device_queue(t: Tables, ctx: RunContext) -> DataFrame:
     """Q16: pending queue items (the filter runs before any join)."""
-    q = t["device_queue_item"].filter(F.col("is_pending") == F.lit(True))
+    q = pending_only(t["device_queue_item"])
     apps = application_dim(t["application"], t["tenant"])
     q = lookup(q, t["device"], "dev_eui", "dev_eui", {"device_name": "name", "d_app": "application_id"})
     q = lookup(q, apps, "d_app", "app_id",
                {"application_name": "application_name", "tenant_name": "tenant_name"})
-    return _with_prov(q.select(
+    return with_provenance(q.select(
         text("id").alias("queue_item_id"), hex_lower(F.col("dev_eui")).alias("device_eui"),
         "device_name", F.col("f_port").alias("frame_port"), "confirmed", "is_pending", "is_encrypted",
         F.col("f_cnt_down").alias("frame_counter_down"), "timeout_after", "expires_at", "created_at",
@@ -429,7 +430,7 @@ def _device_queue(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _api_keys(t: Tables, ctx: RunContext) -> DataFrame:
     k = lookup(t["api_key"], t["tenant"], "tenant_id", "id", {"tenant_name": "name"})
-    return _with_prov(k.select(
+    return with_provenance(k.select(
         text("id").alias("api_key_id"), F.col("name").alias("api_key_name"), "is_admin", "tenant_name",
         text("tenant_id").alias("tenant_id"), "created_at"), ctx)
 
@@ -437,9 +438,9 @@ def _api_keys(t: Tables, ctx: RunContext) -> DataFrame:
 def _relay_devices(t: Tables, ctx: RunContext) -> DataFrame:
     """Q18: device joined twice, as relay and as relayed device."""
     names = t["device"].select("dev_eui", "name")
-    r = lookup(t["relay_device"], names, "relay_dev_eui", "dev_eui", {"relay_device_name": "name"})
-    r = lookup(r, names, "dev_eui", "dev_eui", {"device_name": "name"})
-    return _with_prov(r.select(
+    r = role_join(t["relay_device"], names, [("relay_dev_eui", "dev_eui", {"relay_device_name": "name"}),
+                                             ("dev_eui", "dev_eui", {"device_name": "name"})])
+    return with_provenance(r.select(
         hex_lower(F.col("relay_dev_eui")).alias("relay_device_eui"), "relay_device_name",
         hex_lower(F.col("dev_eui")).alias("device_eui"), "device_name", "created_at"), ctx)
 
@@ -472,7 +473,7 @@ def _fuota_deployments(t: Tables, ctx: RunContext) -> DataFrame:
     f = lookup(t["fuota_deployment"], apps, "application_id", "app_id",
                {"application_name": "application_name", "tenant_name": "tenant_name"})
     f = lookup(f, t["device_profile"], "device_profile_id", "id", {"device_profile_name": "name"})
-    return _with_prov(f.select(
+    return with_provenance(f.select(
         text("id").alias("deployment_id"), F.col("name").alias("deployment_name"), "application_name",
         text("application_id").alias("application_id"), "device_profile_name",
         text("device_profile_id").alias("device_profile_id"), "tenant_name",

@@ -126,3 +126,16 @@ def test_schema_probes(spark):
     assert old.select(pick_column(old, ["f_cnt_up", "fcntup"])).first()[0] == 0
     e = empty_export(spark, ["a", "b"])
     assert e.count() == 0 and e.columns == ["a", "b"]
+
+
+def test_refresh_keeps_newest_runs(spark):
+    from fleetlens.catalog import open_fleet
+    root = scratch_path(spark, "t-refresh")
+    for day in (1, 2, 3):
+        t = open_fleet(spark, "/root/testdata/sf0.001")
+        res = snap.refresh(spark, t, RunContext(as_of=datetime(2024, 1, day, 12)), root, keep=2)
+        assert res.published
+    runs = sorted(r.run_id for r in snap.published_runs(spark, root).collect())
+    assert runs == ["20240102_120000", "20240103_120000"]
+    assert sorted(r.snapshot for r in snap.list_snapshots(spark, root, "devices").collect()) == runs
+    assert snap.read_snapshot(spark, root, "devices").count() == 1410

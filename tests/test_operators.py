@@ -123,3 +123,19 @@ def test_restrict_masks_keys(spark):
     assert (r.app_key, r.network_key, r.device_name) == ("***", None, "x")
     assert restrict(df, "admin").first().app_key == "k1"
     assert "app_key" not in restrict(df, "viewer", mode="drop").columns
+
+
+def test_by_id_and_project(spark):
+    from fleetlens.operators.filters import by_id, project
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
+    assert [r.v for r in by_id(df, "id", 2).collect()] == ["b"]
+    assert by_id(df, "id", "not-a-number").count() == 0      # malformed id matches nothing
+    out = project(df, {"key": "id", "upper_v": F.upper("v")})
+    assert out.columns == ["key", "upper_v"] and out.orderBy("key").first().upper_v == "A"
+
+
+def test_avg_round_half_up_and_empty(spark):
+    from fleetlens.operators.aggs import avg_round
+    df = spark.createDataFrame([(1, 0.125), (1, None), (2, None)], "g int, b double")
+    out = dict(df.groupBy("g").agg(avg_round(F.sum("b"), F.count("b")).alias("a")).collect())
+    assert out == {1: 0.13, 2: None}
