@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -37,15 +38,19 @@ DEFAULT_PAGE = 1
 DEFAULT_LIMIT = 100
 
 
+_LEADING_INT = re.compile(r"\s*([+-]?\d+)")
+
+
 def _parse_positive(value, default: int) -> int:
-    """``parseInt(x) || default``: missing, unparsable and 0 give the default;
-    a negative value is refused."""
+    """``parseInt(x) || default``: the leading integer of the text counts
+    (``"2abc"`` is 2, ``"3.7"`` is 3); missing, unparsable and 0 give the
+    default; a negative value is refused."""
     if value is None:
         return default
-    try:
-        n = int(str(value).strip())
-    except ValueError:
+    m = _LEADING_INT.match(str(value))
+    if not m:
         return default
+    n = int(m.group(1))
     if n == 0:
         return default
     if n < 0:

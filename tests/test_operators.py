@@ -79,6 +79,7 @@ def test_sort_nulls_like_the_source_database(spark):
     (250, 9, 100, (3, None, 8)),
     (250, 0, 100, (3, 2, None)),       # page 0 -> default page 1
     (250, "x", 0, (3, 2, None)),       # unparsable / 0 -> defaults
+    (250, "2abc", "100.7", (3, 3, 1)),  # leading integer, as parseInt
 ])
 def test_page_info(total, page, limit, expected):
     info = page_info(total, page, limit)
