@@ -11,7 +11,6 @@ from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fleetlens.context import RunContext
 from fleetlens.functions.exprs import sync_status_columns

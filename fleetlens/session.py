@@ -43,11 +43,20 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder named by ``spark.checkpoint.dir``, if any."""
-    sc = spark.sparkContext
-    value = sc.getCheckpointDir()
-    if value:
-        return value
-    return sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+        value = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        if value:
+            return value
+    except Exception:  # noqa: BLE001 - no SparkContext (remote session)
+        pass
+    try:
+        return spark.conf.get("spark.checkpoint.dir", None)
+    except Exception:  # noqa: BLE001
+        return None
+
+
+_LOCAL_CKPT: dict = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -56,9 +65,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = checkpoint_dir(spark)
     if current:
         return current
-    local = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    local = _LOCAL_CKPT.setdefault("dir", tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
+    try:
+        spark.sparkContext.setCheckpointDir(local)
+        return spark.sparkContext.getCheckpointDir() or local
+    except Exception:  # noqa: BLE001 - remote session: keep the path for our own writes
+        return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

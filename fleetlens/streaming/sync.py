@@ -57,24 +57,34 @@ def read_target(spark: SparkSession, target: str, schema: T.StructType | None =
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, target: str,
-                keys: Sequence[str], order_col: str = ORDER_COL) -> None:
+                keys: Sequence[str], order_col: str = ORDER_COL, keep_versions: int = 2) -> None:
     """foreachBatch body: newest row per key over (target ∪ batch), written as
-    the version of this batch. A retried batch overwrites its own version;
-    versions older than the one it reads from are never touched."""
+    the version of this batch. A retried batch overwrites its own version and
+    reads the same older one again. Once the new version is committed, all
+    but the newest ``keep_versions`` committed versions are removed (a reader
+    still on the previous version keeps working)."""
+    from fleetlens.sinks.snapshot import delete_paths
+    base = target.rstrip("/")
     current = None
     versions = [v for v in _versions(spark, target) if v < batch_id]
     if versions:
-        current = spark.read.parquet(f"{target.rstrip('/')}/version={versions[-1]}")
+        current = spark.read.parquet(f"{base}/version={versions[-1]}")
     merged_in = batch if current is None else current.unionByName(batch.select(*current.columns))
     merged = newest_per_key(merged_in, keys, order_col)
-    merged.write.mode("overwrite").parquet(f"{target.rstrip('/')}/version={batch_id}")
+    merged.write.mode("overwrite").parquet(f"{base}/version={batch_id}")
+    committed = [v for v in _versions(spark, target) if v <= batch_id]
+    stale = committed[:-keep_versions] if keep_versions > 0 else []
+    delete_paths(spark, [f"{base}/version={v}" for v in stale])
 
 
 def sync_stream(spark: SparkSession, src_dir: str, target: str, keys: Sequence[str],
                 schema: T.StructType, checkpoint: str | None = None,
                 order_col: str = ORDER_COL) -> None:
     """Process every snapshot file that arrived since the last call, then
-    stop (``availableNow``), so it runs from a schedule like the refresh."""
+    stop (``availableNow``), so it runs from a schedule like the refresh.
+    ``src_dir`` may be a landing folder or an export's archive folder
+    (``<root>/archive/devices``): files are found recursively and the run
+    stamp is a column of every row."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-sync/{target.strip('/').replace('/', '_')}"
     stream = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
                    .option("maxFilesPerTrigger", 64).parquet(src_dir))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from oracle_sql import (
     AS_OF, CODEC_PREDICATE, DEVICE_SUMMARY_CTES, DEVICE_SUMMARY_SELECT, DEVICES_CTES, DEVICES_SELECT,
-    EXPORT_DATE, GATEWAYS_SELECT, META_FILENAME, RUN_ID, SAFE_FILENAME, SERVER, TENANTS_SELECT,
+    EXPORT_DATE, GATEWAYS_SELECT, RUN_ID, SAFE_FILENAME, SERVER, TENANTS_SELECT,
     export_queries, with_ctes,
 )
 

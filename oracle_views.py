@@ -5,7 +5,7 @@ from __future__ import annotations
 from oracle_sql import (
     AS_OF, DEVICE_ACTIVITY, DEVICE_SUMMARY_CTES, DEVICE_SUMMARY_SELECT, DEVICES_CTES, DEVICES_SELECT,
     EXPORT_DATE, GATEWAY_SUMMARY_CTES, GATEWAY_SUMMARY_SELECT, GATEWAYS_SELECT, RUN_ID, SERVER,
-    TENANTS_SELECT, CODEC_PREDICATE, _ago, _connection, _hex, export_queries, with_ctes,
+    CODEC_PREDICATE, _ago, _connection, _hex, export_queries, with_ctes,
 )
 
 N_RUN_EXPORTS = 20

@@ -2,7 +2,6 @@
 
 from datetime import datetime
 
-from pyspark.sql import functions as F
 
 from fleetlens.context import RunContext
 from fleetlens.operators.setops import diff, is_newer, upsert
