@@ -19,10 +19,22 @@ from fleetlens.sources.tables import load_tables
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+_OPEN: dict = {}
+
+
 def open_fleet(spark: SparkSession, sf_dir: str):
+    """Fleet tables over ``sf_dir``; the same lazy handles are reused for the
+    whole session, so queries that build on a written run share it."""
     apply_session_defaults(spark)
     ensure_checkpoint_dir(spark)
-    return fleet_tables(load_tables(spark, sf_dir))
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - no SparkContext
+        app = id(spark)
+    key = (app, sf_dir.rstrip("/"))
+    if key not in _OPEN:
+        _OPEN[key] = fleet_tables(load_tables(spark, sf_dir))
+    return _OPEN[key]
 
 
 def _export_query(name: str, ctx: RunContext) -> QueryFn:

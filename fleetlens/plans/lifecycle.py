@@ -97,7 +97,7 @@ def codec_completeness(t, ctx: RunContext) -> DataFrame:
 # ------------------------------------------------------------ runs and snapshots
 
 _RUN_CACHE: dict = {}
-MINI_RUN = ("servers", "tenants", "device_summary", "gateway_summary")
+MINI_RUN = ("servers", "tenants", "device_summary", "gateway_summary", "devices")
 
 
 def mini_runs(t, ctx: RunContext) -> str:
@@ -108,7 +108,7 @@ def mini_runs(t, ctx: RunContext) -> str:
     if key not in _RUN_CACHE:
         root = scratch_path(spark, "runs")
         for c in (previous_run(ctx), ctx):
-            snap.run_exports(spark, t, c, root, MINI_RUN, with_codecs=False)
+            snap.run_exports(spark, t, c, root, MINI_RUN, with_codecs=False, parallelism=4)
         _RUN_CACHE[key] = root
     return _RUN_CACHE[key]
 
@@ -159,6 +159,15 @@ def sync_freshness(t, ctx: RunContext, checked_after_minutes: int = 20) -> DataF
     return runs.select("run_id", *[v.alias(k) for k, v in cols.items()])
 
 
+def current_device_search(t, ctx: RunContext, q: str = "42") -> DataFrame:
+    """F9 on the read path: the device search over the published device
+    export of the current run, with the total before the cap."""
+    from fleetlens.plans import read_api
+    spark = _spark(t)
+    total, rows = read_api.search_devices(spark, mini_runs(t, ctx), q)
+    return rows.withColumns({"query": F.lit((q or "").lower()), "match_count": F.lit(total).cast("bigint")})
+
+
 def record_counts_view(t, ctx: RunContext) -> DataFrame:
     """K9: rows of every export of a run (one job)."""
     return snap.record_counts({n: EXPORTS[n].build(t, ctx) for n in RUN_EXPORTS})
@@ -244,6 +253,7 @@ LIFECYCLE = {
     "list_exports": list_exports_view,
     "manifest": manifest_view,
     "health": health,
+    "current_device_search": current_device_search,
     "sync_freshness": sync_freshness,
     "record_counts": record_counts_view,
     "record_totals": record_totals_view,

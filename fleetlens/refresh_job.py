@@ -38,7 +38,7 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("fleetlens-refresh").getOrCreate()
-    apply_session_defaults(spark)
+    apply_session_defaults(spark, cluster=True)
     root = args.root or f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-exports"
     as_of = (datetime.fromisoformat(args.as_of) if args.as_of
              else datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0))

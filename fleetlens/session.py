@@ -24,6 +24,20 @@ SESSION_DEFAULTS = {
 }
 
 
+# Sizing for a large cluster, applied by the refresh job only where the
+# cluster configuration does not set them: many shuffle partitions that AQE
+# coalesces to ~256 MB each, scan splits of 256 MB, and skewed partitions
+# (5x the median and over 512 MB) split by the skew-join rule.
+CLUSTER_DEFAULTS = {
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+}
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "fleetlens", extra: dict | None = None) -> SparkSession:
     """Session for tests and the bench. On a cluster, use the cluster's own
@@ -80,10 +94,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/fleetlens-scratch/{name}-{uuid.uuid4().hex}"
 
 
-def apply_session_defaults(spark: SparkSession) -> None:
+def _explicitly_set(spark: SparkSession, key: str) -> bool:
+    try:
+        return spark.sparkContext.getConf().contains(key) or spark.conf.get(key, None) is not None
+    except Exception:  # noqa: BLE001
+        return spark.conf.get(key, None) is not None
+
+
+def apply_session_defaults(spark: SparkSession, cluster: bool = False) -> None:
     """Apply the runtime SQL settings on an existing session (those that can
-    change after start-up); leaves settings the cluster already made alone."""
-    for k, v in SESSION_DEFAULTS.items():
+    change after start-up); leaves settings the cluster already made alone.
+    ``cluster`` adds the large-cluster sizing of :data:`CLUSTER_DEFAULTS`."""
+    wanted = dict(SESSION_DEFAULTS)
+    if cluster:
+        for k, v in CLUSTER_DEFAULTS.items():
+            if not _explicitly_set(spark, k):
+                spark.conf.set(k, v)
+    for k, v in wanted.items():
         if not k.startswith("spark.sql."):
             continue
         try:

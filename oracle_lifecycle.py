@@ -67,6 +67,12 @@ FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""
 SELECT COUNT(*) AS expected_codecs, COUNT(*) AS written_codecs, CAST(0 AS BIGINT) AS missing_codecs
 FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""
     q["archive_current"] = with_ctes(DEVICE_SUMMARY_CTES, DEVICE_SUMMARY_SELECT)
+    q["current_device_search"] = with_ctes(DEVICES_CTES, "").rstrip() + f""",
+cur AS ({DEVICES_SELECT}),
+hits AS (SELECT * FROM cur WHERE contains(lower(device_name), '42') OR contains(lower(device_eui), '42')
+                            OR contains(lower(application_name), '42'))
+SELECT h.*, '42' AS query, (SELECT COUNT(*) FROM hits) AS match_count
+FROM (SELECT * FROM hits ORDER BY device_name, device_eui LIMIT 100) h"""
     q["health"] = f"SELECT 'ok' AS status, '{EXPORT_DATE}' AS last_export, '{SERVER}' AS server"
     q["sync_freshness"] = f"""
 SELECT run_id, CAST(floor((epoch({AS_OF} + INTERVAL 20 MINUTE) - epoch(ts)) / 60) AS BIGINT) AS minutes_since_export,

@@ -138,3 +138,25 @@ def test_refresh_keeps_newest_runs(spark):
     assert runs == ["20240102_120000", "20240103_120000"]
     assert sorted(r.snapshot for r in snap.list_snapshots(spark, root, "devices").collect()) == runs
     assert snap.read_snapshot(spark, root, "devices").count() == 1410
+
+
+def test_read_api_over_published_root(spark):
+    from fleetlens.catalog import open_fleet
+    from fleetlens.plans import read_api
+    root = scratch_path(spark, "t-api")
+    t = open_fleet(spark, "/root/testdata/sf0.001")
+    assert snap.refresh(spark, t, RunContext(as_of=datetime(2024, 1, 30, 23, 58)), root).published
+    info, rows = read_api.export_page(spark, root, "devices.json", page=2, limit=100)
+    assert (info.total, info.total_pages, info.next_page, info.previous_page) == (1410, 15, 3, 1)
+    names = [r.device_name for r in rows.collect()]
+    assert len(names) == 100 and names == sorted(names)
+    total, hits = read_api.search_devices(spark, root, "DEV-1")
+    assert total > 100 and hits.count() == 100
+    listing = read_api.codecs(spark, root)
+    assert listing.count() == 164
+    first = listing.orderBy("name").first()
+    assert read_api.codec(spark, root, first.name).count() == 1
+    st = read_api.stats(spark, root)
+    assert st.exports_available == 20 and st.codecs_available == 164
+    assert st.device_summary.count() == 25
+    assert read_api.health(spark, root).first().status == "ok"
