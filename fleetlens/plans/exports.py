@@ -23,6 +23,7 @@ from fleetlens.functions.exprs import (
 from fleetlens.operators.aggs import avg_round, bucket_counts, count_when, string_agg
 from fleetlens.operators.filters import pending_only
 from fleetlens.operators.joins import application_dim, bridge, lookup, role_join
+from fleetlens.sources.schema import has_column, pick_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -211,17 +212,48 @@ def _device_profiles(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 def _devices(t: Tables, ctx: RunContext) -> DataFrame:
+    return devices_export(t, ctx)
+
+
+def device_order_keys(d: DataFrame) -> DataFrame:
+    """The device table with its export sort keys (name, then EUI text), so a
+    top-k can be taken before any lookup."""
+    return d.withColumn("__eui", hex_lower(F.col("dev_eui")))
+
+
+def only_keys(dim: DataFrame, pk: str, rows: DataFrame, fk: str) -> DataFrame:
+    """The dimension rows a small, bounded set of fact rows refers to. The
+    fact keys (at most a page of them, a proven bound) are broadcast into a
+    semi join, so a large dimension is filtered where it is read instead of
+    being shuffled whole to meet a hundred rows."""
+    wanted = rows.select(F.col(fk).alias("__want")).filter(F.col("__want").isNotNull()).distinct()
+    return dim.join(F.broadcast(wanted), dim[pk] == F.col("__want"), "left_semi")
+
+
+def devices_export(t: Tables, ctx: RunContext, device: DataFrame | None = None,
+                   bounded: bool = False) -> DataFrame:
     """Q5: device + keys + application + profile + tenant. The tenant comes
     from the application (one pre-joined dimension), so an orphan device has
-    NULL tenant; the device table meets each dimension once."""
-    d = t["device"]
-    keys = t["device_keys"].select(F.col("dev_eui").alias("k_eui"), "app_key", "nwk_key")
+    NULL tenant; the device table meets each dimension once. Every lookup is
+    N:1 and keeps the device rows, so a caller may pass ``device`` already
+    filtered or cut to a top-k (a page) and only those rows are enriched;
+    with ``bounded`` (the rows are a page, of known small size) each
+    dimension is first cut to the keys those rows use."""
+    d = t["device"] if device is None else device
+    # older servers call the uplink frame counter ``fcntup``
+    frame_counter = pick_column(d, ["f_cnt_up", "fcntup"], default=0)
+    dev_keys, application, profiles = t["device_keys"], t["application"], t["device_profile"]
+    if bounded and device is not None:
+        dev_keys = only_keys(dev_keys, "dev_eui", d, "dev_eui")
+        application = only_keys(application, "id", d, "application_id")
+        profiles = only_keys(profiles, "id", d, "device_profile_id")
+    keys = dev_keys.select(F.col("dev_eui").alias("k_eui"), "app_key", "nwk_key")
     d = d.join(keys, d["dev_eui"] == keys["k_eui"], "left").drop("k_eui")
-    apps = application_dim(t["application"], t["tenant"])
+    apps = application_dim(application, t["tenant"])
     d = lookup(d, apps, "application_id", "app_id",
                {"application_name": "application_name", "app_tenant_id": "app_tenant_id",
                 "tenant_name": "tenant_name"})
-    d = lookup(d, t["device_profile"], "device_profile_id", "id", {"device_profile_name": "name"})
+    d = lookup(d, profiles, "device_profile_id", "id", {"device_profile_name": "name"})
     return d.select(
         hex_lower(F.col("dev_eui")).alias("device_eui"),
         hex_lower(F.col("join_eui")).alias("join_eui"),
@@ -232,7 +264,7 @@ def _devices(t: Tables, ctx: RunContext) -> DataFrame:
         text("device_profile_id").alias("device_profile_id"), "tenant_name",
         text("app_tenant_id").alias("tenant_id"), "enabled_class", "is_disabled", "skip_fcnt_check",
         "external_power_source", "battery_level", "margin", F.col("dr").alias("data_rate"),
-        F.col("f_cnt_up").alias("frame_counter_up"), "latitude", "longitude", "altitude",
+        frame_counter.alias("frame_counter_up"), "latitude", "longitude", "altitude",
         hex_lower(F.col("dev_addr")).alias("device_address"),
         hex_lower(F.col("secondary_dev_addr")).alias("secondary_device_address"),
         "last_seen_at", "created_at", "updated_at",
@@ -386,7 +418,10 @@ def _integrations(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _multicast_groups(t: Tables, ctx: RunContext) -> DataFrame:
     apps = application_dim(t["application"], t["tenant"])
-    mg = lookup(t["multicast_group"], apps, "application_id", "app_id",
+    groups = t["multicast_group"]
+    if not has_column(groups, "class_b_ping_slot_periodicity"):  # older schema
+        groups = groups.withColumn("class_b_ping_slot_periodicity", F.lit(None).cast("int"))
+    mg = lookup(groups, apps, "application_id", "app_id",
                 {"application_name": "application_name", "tenant_name": "tenant_name"})
     return with_provenance(mg.select(
         text("id").alias("multicast_group_id"), F.col("name").alias("group_name"),
@@ -466,7 +501,7 @@ FUOTA_COLUMNS = ("deployment_id", "deployment_name", "application_name", "applic
 
 
 def _fuota_deployments(t: Tables, ctx: RunContext) -> DataFrame:
-    if "fuota_deployment" not in t:
+    if "fuota_deployment" not in t:  # S11 probe: older servers have no such table
         from fleetlens.sources.schema import empty_export
         return empty_export(t["tenant"].sparkSession, FUOTA_COLUMNS)
     apps = application_dim(t["application"], t["tenant"])

@@ -25,7 +25,7 @@ from fleetlens.operators.filters import (
 from fleetlens.operators.joins import application_dim, lookup, orphans
 from fleetlens.operators.ordering import page_rows, preview, top_tenants
 from fleetlens.operators.setops import combine_servers
-from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, codec_profiles
+from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, codec_profiles, device_order_keys, devices_export
 from fleetlens.sources.schema import pick_column
 
 Tables = dict
@@ -122,8 +122,15 @@ def device_search(t: Tables, ctx: RunContext, q: str = "42", cap: int = 100) ->
 
 
 def devices_page(t: Tables, ctx: RunContext, page=3, limit=100) -> DataFrame:
-    """V7: one page of the device export in file order."""
-    return page_rows(_export("devices", t, ctx), ["device_name", "device_eui"], page, limit)
+    """V7: one page of the device export in file order. The page is cut from
+    the device table first (a top-k on name and EUI, the export's sort keys)
+    and only its rows go through the lookups, instead of joining every device
+    and then keeping a hundred."""
+    keyed = device_order_keys(t["device"])
+    # the cut (at most ``limit`` rows) is written once to the shared checkpoint
+    # folder: every lookup below reads it instead of rescanning the devices
+    cut = page_rows(keyed, ["name", "__eui"], page, limit).drop("__eui").checkpoint()
+    return page_rows(devices_export(t, ctx, cut, bounded=True), ["device_name", "device_eui"], 1, limit)
 
 
 def online_gateways(t: Tables, ctx: RunContext) -> DataFrame:
@@ -265,8 +272,10 @@ def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 def preview_devices(t: Tables, ctx: RunContext, n: int = 10) -> DataFrame:
-    """The first rows of the device export by device EUI."""
-    return preview(_export("devices", t, ctx), ["device_eui"], n)
+    """The first rows of the device export by device EUI (top-k on the
+    device table, then the lookups for those rows only)."""
+    cut = preview(device_order_keys(t["device"]), ["__eui"], n).drop("__eui").checkpoint()
+    return preview(devices_export(t, ctx, cut, bounded=True), ["device_eui"], n)
 
 
 def server_slices(t: Tables, ctx: RunContext, export: str = "tenants") -> list[DataFrame]:
