@@ -268,12 +268,15 @@ RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "d
 def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str,
                 names: Iterable[str] = RUN_EXPORTS, extra: Mapping | None = None,
                 publish: bool = True, with_codecs: bool = True, stage: bool = False,
-                parallelism: int = 1) -> RunResult:
+                parallelism: int = 1, sort_on_write: bool = True) -> RunResult:
     """Write every export of a run, each in its own try; a failing
     export is recorded and the run goes on, but the run is only published
-    when all of them succeeded. ``stage`` snapshots the sources first;
-    ``parallelism`` > 1 submits that many export jobs at once (each is an
-    independent Spark job, so small exports fill the cluster together)."""
+    when all of them succeeded. ``stage`` snapshots the sources first (for a
+    JDBC source: read once, one consistent view); ``parallelism`` > 1 submits
+    that many export jobs at once (each is an independent Spark job, so small
+    exports fill the cluster together). ``sort_on_write=False`` skips the
+    range sort of each export file: readers page and search with a top-k on
+    the same keys, so only consumers of the raw files need the file order."""
     from concurrent.futures import ThreadPoolExecutor
 
     if stage:
@@ -286,7 +289,7 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
         name, build = item
         try:
             df = build()
-            path = write_snapshot(df, root, name, ctx.run_id)
+            path = write_snapshot(df, root, name, ctx.run_id, ordered=sort_on_write)
             return (name, True, spark.read.parquet(path).count(), None)
         except Exception as e:  # noqa: BLE001 - recorded, the run continues
             return (name, False, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
@@ -319,11 +322,14 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
 
 
 def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, keep: int = 10,
-            stage: bool = True, parallelism: int = 4) -> RunResult:
-    """The scheduled job: one full run (staged sources, every export, the
-    codecs), publication, then removal of snapshots beyond the newest
-    ``keep`` published runs."""
-    res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism)
+            stage: bool = False, parallelism: int = 4, sort_on_write: bool = True) -> RunResult:
+    """The scheduled job: one full run (every export, the codecs),
+    publication, then removal of snapshots beyond the newest ``keep``
+    published runs. Stage the sources (``stage=True``) when they are read
+    over JDBC; file sources are already immutable snapshots and copying them
+    every run would rewrite the whole fleet each time."""
+    res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism,
+                      sort_on_write=sort_on_write)
     if res.published:
         runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
         expired = [r["snapshot"] for r in expired_snapshots(runs, keep).filter(~F.col("keep")).collect()]
