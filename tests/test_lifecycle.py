@@ -185,3 +185,20 @@ def test_exports_on_an_older_schema(spark):
             return k != "fuota_deployment" and super().__contains__(k)
     empty = EXPORTS["fuota_deployments"].build(NoFuota(base, {}), ctx)
     assert empty.count() == 0 and tuple(empty.columns) == FUOTA_COLUMNS
+
+
+def test_json_array_file_and_server_union(spark, tmp_path):
+    import json as _json
+    from fleetlens.operators.setops import combine_servers
+    # the reference's read API serves one JSON array per export, values as text
+    path = tmp_path / "tenants.json"
+    path.write_text(_json.dumps([{"tenant_id": "1", "tenant_name": "a", "description": ""},
+                                 {"tenant_id": "2", "tenant_name": "b", "description": "x"}], indent=2))
+    df = files.read_json_export(spark, str(path), files.all_string(["tenant_id", "tenant_name", "description"]),
+                                array_file=True)
+    assert sorted((r.tenant_id, r.description) for r in df.collect()) == [("1", ""), ("2", "x")]
+    # two servers, the older one without a column: union by name, NULL for the gap
+    new = spark.createDataFrame([("s1", "1", 5)], "source_server string, id string, max_device_count int")
+    old = spark.createDataFrame([("s2", "1")], "source_server string, id string")
+    both = {(r.source_server, r.id): r.max_device_count for r in combine_servers([new, old]).collect()}
+    assert both == {("s1", "1"): 5, ("s2", "1"): None}
