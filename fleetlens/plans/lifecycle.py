@@ -70,19 +70,20 @@ def codec_listing(t, ctx: RunContext) -> DataFrame:
 
 
 def codec_by_name(t, ctx: RunContext) -> DataFrame:
-    """Every listed codec fetched by name, every other request without
-    the optional ``.js`` suffix (a join of the requests with the dataset,
-    the set form of one lookup per name)."""
+    """Every listed codec fetched by name twice, with and without the
+    optional ``.js`` suffix (a join of the requests with the dataset, the set
+    form of one lookup per request); both forms must find the same file."""
     spark = _spark(t)
     path = _written_codecs(t, ctx)
     listing = files.list_codecs(spark, path)
-    requested = listing.select(
-        F.when(F.crc32(F.col("name")) % 2 == 0, F.col("name")).otherwise(F.col("codec_file")).alias("requested"))
-    wanted = requested.select(F.when(F.col("requested").endswith(".js"), F.col("requested"))
+    requested = (listing.select(F.col("name").alias("requested"), F.lit(False).alias("with_suffix"))
+                 .unionByName(listing.select(F.col("codec_file").alias("requested"),
+                                             F.lit(True).alias("with_suffix"))))
+    wanted = requested.select("with_suffix", F.when(F.col("requested").endswith(".js"), F.col("requested"))
                               .otherwise(F.concat(F.col("requested"), F.lit(".js"))).alias("codec_file"))
     contents = spark.read.parquet(path).select("codec_file", "script")
     found = wanted.join(contents, "codec_file")
-    return found.select("codec_file", (F.octet_length("script") + 1).alias("size_bytes"),
+    return found.select("codec_file", "with_suffix", (F.octet_length("script") + 1).alias("size_bytes"),
                         F.length("script").alias("script_chars"))
 
 
@@ -195,14 +196,14 @@ def export_run_status(t, ctx: RunContext) -> DataFrame:
 
 
 def retention(t, ctx: RunContext, runs: int = 12, keep: int = 10) -> DataFrame:
-    """K8: twelve hourly snapshots of the server registry; the newest ten
-    are kept."""
+    """K8: twelve hourly snapshots of the gateway summary (each computed
+    from all gateways at its own time); the newest ten are kept."""
     spark = _spark(t)
     root = scratch_path(spark, "retention")
     for k in range(runs):
         c = RunContext(as_of=ctx.as_of - timedelta(hours=k), server_name=ctx.server_name)
-        snap.write_snapshot(EXPORTS["servers"].build(t, c), root, "servers", c.run_id)
-    return snap.expired_snapshots(snap.list_snapshots(spark, root, "servers"), keep)
+        snap.write_snapshot(EXPORTS["gateway_summary"].build(t, c), root, "gateway_summary", c.run_id)
+    return snap.expired_snapshots(snap.list_snapshots(spark, root, "gateway_summary"), keep)
 
 
 # ------------------------------------------------------------ upsert / diff / stream

@@ -295,13 +295,17 @@ def preview_devices(t: Tables, ctx: RunContext, n: int = 10) -> DataFrame:
     return preview(devices_export(t, ctx, cut, bounded=True), ["device_eui"], n)
 
 
-def server_slices(t: Tables, ctx: RunContext, export: str = "tenants") -> list[DataFrame]:
-    """One export per server of the fleet (tenants carry their server), each
-    tagged with that server, as separate network servers would deliver them."""
+def server_slices(t: Tables, ctx: RunContext, export: str = "applications") -> list[DataFrame]:
+    """One export per server of the fleet, each computed from that server's
+    own tenants and applications and tagged with the server, as separate
+    network servers would deliver them. The server list is small metadata."""
     servers = [(r["id"], r["name"]) for r in t["server"].select("id", "name").orderBy("id").collect()]
     out = []
     for sid, sname in servers:
-        sub_t = _SubTables(t, {"tenant": t["tenant"].filter(F.col("server_id") == F.lit(sid))})
+        tenants = t["tenant"].filter(F.col("server_id") == F.lit(sid))
+        apps = t["application"].join(tenants.select(F.col("id").alias("__tid")),
+                                     F.col("tenant_id") == F.col("__tid"), "left_semi")
+        sub_t = _SubTables(t, {"tenant": tenants, "application": apps})
         sctx = RunContext(as_of=ctx.as_of, server_name=sname, server_url=ctx.server_url, run_id=ctx.run_id)
         out.append(EXPORTS[export].build(sub_t, sctx))
     return out
@@ -320,12 +324,13 @@ class _SubTables(dict):
 
 
 def combined_servers(t: Tables, ctx: RunContext) -> DataFrame:
-    """The tenant export of every server in one frame."""
-    return combine_servers(server_slices(t, ctx, "tenants"))
+    """The application export of every server in one frame, keyed by
+    (source_server, application_id)."""
+    return combine_servers(server_slices(t, ctx, "applications"))
 
 
 def rows_by_server(t: Tables, ctx: RunContext) -> DataFrame:
-    """Rows per source server of the combined tenant export."""
+    """Rows per source server of the combined application export."""
     return by_server(combined_servers(t, ctx))
 
 

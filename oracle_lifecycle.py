@@ -60,9 +60,10 @@ SELECT regexp_replace({SAFE_FILENAME}, '\\.js$', '') AS name, {SAFE_FILENAME} AS
        CAST(strlen(dp.payload_codec_script) + 1 AS INTEGER) AS size_bytes
 FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""
     q["codec_by_name"] = codec_base + f"""
-SELECT {SAFE_FILENAME} AS codec_file, CAST(strlen(dp.payload_codec_script) + 1 AS INTEGER) AS size_bytes,
+SELECT {SAFE_FILENAME} AS codec_file, s.with_suffix,
+       CAST(strlen(dp.payload_codec_script) + 1 AS INTEGER) AS size_bytes,
        CAST(length(dp.payload_codec_script) AS INTEGER) AS script_chars
-FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""
+FROM f_device_profile dp, (VALUES (false), (true)) s(with_suffix) WHERE {CODEC_PREDICATE}"""
     q["codec_completeness"] = codec_base + f"""
 SELECT COUNT(*) AS expected_codecs, COUNT(*) AS written_codecs, CAST(0 AS BIGINT) AS missing_codecs
 FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""

@@ -141,14 +141,15 @@ WHERE d.application_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM f_application a
              for c, fk, p, pk in FOREIGN_KEYS]
     q["orphan_report"] = with_ctes(tables, "\nUNION ALL\n".join(parts))
     q["preview_devices"] = _wrap(ex["devices"], "SELECT * FROM __q ORDER BY device_eui LIMIT 10")
-    q["combined_servers"] = with_ctes(("f_tenant", "f_server"), f"""
-SELECT CAST(t.id AS VARCHAR) AS tenant_id, t.name AS tenant_name, t.description, t.max_device_count,
-       t.max_gateway_count, t.can_have_gateways, t.private_gateways_up, t.private_gateways_down,
-       t.created_at, t.updated_at, s.name AS source_server, '{RUN_ID}' AS export_timestamp
-FROM f_tenant t JOIN f_server s ON t.server_id = s.id""")
-    q["by_server"] = with_ctes(("f_tenant", "f_server"), """
+    q["combined_servers"] = with_ctes(("f_application", "f_tenant", "f_server"), f"""
+SELECT CAST(a.id AS VARCHAR) AS application_id, a.name AS application_name, a.description,
+       t.name AS tenant_name, CAST(a.tenant_id AS VARCHAR) AS tenant_id, a.created_at, a.updated_at,
+       s.name AS source_server, '{RUN_ID}' AS export_timestamp
+FROM f_application a JOIN f_tenant t ON a.tenant_id = t.id JOIN f_server s ON t.server_id = s.id""")
+    q["by_server"] = with_ctes(("f_application", "f_tenant", "f_server"), """
 SELECT s.name AS source_server, COUNT(*) AS row_count
-FROM f_tenant t JOIN f_server s ON t.server_id = s.id GROUP BY s.name""")
+FROM f_application a JOIN f_tenant t ON a.tenant_id = t.id JOIN f_server s ON t.server_id = s.id
+GROUP BY s.name""")
     q["age_labels"] = with_ctes(("f_gateway",), f"""
 SELECT {_hex("gateway_id")} AS gateway_eui, last_seen_at, {_age_label("last_seen_at")} AS age_label
 FROM f_gateway""")
