@@ -45,10 +45,10 @@ def csv_roundtrip(t, ctx: RunContext) -> DataFrame:
 
 
 def json_roundtrip(t, ctx: RunContext) -> DataFrame:
-    """K2 + S5: the tenant export as the read API serves it (every value
-    text, NULL as '', booleans t/f), written as JSON and read back."""
+    """K2 + S5: the device-profile export as the read API serves it (every
+    value text, NULL as '', booleans t/f), written as JSON and read back."""
     spark = _spark(t)
-    df = EXPORTS["tenants"].build(t, ctx)
+    df = EXPORTS["device_profiles"].build(t, ctx)
     path = scratch_path(spark, "json")
     snap.write_json(df, path, stringly_typed=True)
     return files.read_json_export(spark, path, files.all_string(df.columns))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from oracle_sql import (
     AS_OF, CODEC_PREDICATE, DEVICE_SUMMARY_CTES, DEVICE_SUMMARY_SELECT, DEVICES_CTES, DEVICES_SELECT,
-    EXPORT_DATE, GATEWAYS_SELECT, RUN_ID, SAFE_FILENAME, SERVER, TENANTS_SELECT,
+    EXPORT_DATE, GATEWAYS_SELECT, RUN_ID, SAFE_FILENAME, SERVER,
     export_queries, with_ctes,
 )
 
@@ -26,15 +26,26 @@ DEVICE_COLUMNS = ("device_eui", "join_eui", "app_key", "network_key", "device_na
                   "activity_status")
 
 
-def _tenants_stringly() -> str:
-    def s(c, kind="x"):
-        if kind == "b":
-            return f"COALESCE(CASE WHEN {c} THEN 't' WHEN NOT {c} THEN 'f' END, '') AS {c}"
-        return f"COALESCE(CAST({c} AS VARCHAR), '') AS {c}"
-    cols = [s("tenant_id"), s("tenant_name"), s("description"), s("max_device_count"), s("max_gateway_count"),
-            s("can_have_gateways", "b"), s("private_gateways_up", "b"), s("private_gateways_down", "b"),
-            s("created_at"), s("updated_at"), s("source_server"), s("export_timestamp")]
-    return with_ctes(("f_tenant",), f"SELECT {', '.join(cols)} FROM ({TENANTS_SELECT})")
+PROFILE_BOOLEANS = ("supports_otaa", "supports_class_b", "supports_class_c", "flush_queue_on_activate",
+                    "allow_roaming", "auto_detect_measurements")
+PROFILE_EXPORT_COLUMNS = ("profile_id", "profile_name", "description", "tenant_name", "tenant_id", "region",
+                          "mac_version", "reg_params_revision", "supports_otaa", "supports_class_b",
+                          "supports_class_c", "payload_codec_runtime", "uplink_interval",
+                          "device_status_req_interval", "rx1_delay", "adr_algorithm_id",
+                          "flush_queue_on_activate", "allow_roaming", "auto_detect_measurements",
+                          "created_at", "updated_at", "source_server", "export_timestamp")
+
+
+def _profiles_stringly(profiles_sql: str) -> str:
+    """The device-profile export with every value as text, NULL as '' and
+    booleans as t/f."""
+    cols = []
+    for c in PROFILE_EXPORT_COLUMNS:
+        if c in PROFILE_BOOLEANS:
+            cols.append(f"COALESCE(CASE WHEN {c} THEN 't' WHEN NOT {c} THEN 'f' END, '') AS {c}")
+        else:
+            cols.append(f"COALESCE(CAST({c} AS VARCHAR), '') AS {c}")
+    return f"WITH __p AS ({profiles_sql})\nSELECT {', '.join(cols)} FROM __p"
 
 
 def _devices_at(as_of: str, run_id: str) -> str:
@@ -53,7 +64,7 @@ def lifecycle_queries() -> dict[str, str]:
     ex = export_queries()
     q: dict[str, str] = {}
     q["csv_roundtrip"] = with_ctes(("f_gateway", "f_tenant"), GATEWAYS_SELECT)
-    q["json_roundtrip"] = _tenants_stringly()
+    q["json_roundtrip"] = _profiles_stringly(ex["device_profiles"])
     codec_base = with_ctes(("f_device_profile", "f_device"), "")
     q["codec_listing"] = codec_base + f"""
 SELECT regexp_replace({SAFE_FILENAME}, '\\.js$', '') AS name, {SAFE_FILENAME} AS codec_file,
