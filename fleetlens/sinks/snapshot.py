@@ -29,12 +29,32 @@ TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 # ------------------------------------------------------------------ K1, K2
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+def database_text(df: DataFrame) -> DataFrame:
+    """Values as the source database prints them in CSV: booleans ``t``/``f``,
+    timestamps without trailing fraction zeros, binary as lower-case hex;
+    NULL stays NULL (an empty field, unlike ``''`` which is written ``""``)."""
+    cols = []
+    for name, dtype in df.dtypes:
+        c = F.col(name)
+        if dtype == "boolean":
+            v = F.when(c, F.lit("t")).when(~c, F.lit("f"))
+        elif dtype == "binary":
+            v = F.lower(F.hex(c))
+        else:
+            v = c.cast("string")
+        cols.append(v.alias(name))
+    return df.select(*cols)
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", as_database_text: bool = False) -> None:
     """K1: CSV with a header row. NULL is written as an empty field and the
-    empty string as ``""``, so both stay distinguishable in the file."""
-    (df.write.mode(mode).option("header", True).option("escape", '"')
-       .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
-       .csv(path))
+    empty string as ``""``, so both stay distinguishable in the file. With
+    ``as_database_text`` values are rendered as the source database's CSV
+    export renders them."""
+    out = database_text(df) if as_database_text else df
+    (out.write.mode(mode).option("header", True).option("escape", '"')
+        .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
+        .csv(path))
 
 
 def stringly(df: DataFrame) -> DataFrame:

@@ -202,3 +202,13 @@ def test_json_array_file_and_server_union(spark, tmp_path):
     old = spark.createDataFrame([("s2", "1")], "source_server string, id string")
     both = {(r.source_server, r.id): r.max_device_count for r in combine_servers([new, old]).collect()}
     assert both == {("s1", "1"): 5, ("s2", "1"): None}
+
+
+def test_csv_as_database_text(spark):
+    rows = [(True, datetime(2024, 1, 1, 1, 2, 3), None, ""), (False, datetime(2024, 1, 1, 1, 2, 3, 500000), "x", None)]
+    df = spark.createDataFrame(rows, "b boolean, t timestamp_ntz, s string, e string")
+    path = scratch_path(spark, "t-csv-db")
+    snap.write_csv(df.coalesce(1), path, as_database_text=True)
+    text = "".join(r.value + "\n" for r in spark.read.text(path).collect())
+    assert text.splitlines()[0] == "b,t,s,e"
+    assert 't,2024-01-01 01:02:03,,""' in text and "f,2024-01-01 01:02:03.5,x," in text
