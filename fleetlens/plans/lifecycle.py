@@ -109,7 +109,7 @@ def mini_runs(t, ctx: RunContext) -> str:
     if key not in _RUN_CACHE:
         root = scratch_path(spark, "runs")
         for c in (previous_run(ctx), ctx):
-            snap.run_exports(spark, t, c, root, MINI_RUN, with_codecs=False, parallelism=4)
+            snap.run_exports(spark, t, c, root, MINI_RUN, parallelism=4)
         _RUN_CACHE[key] = root
     return _RUN_CACHE[key]
 
@@ -132,7 +132,9 @@ def manifest_view(t, ctx: RunContext) -> DataFrame:
     spark = _spark(t)
     root = mini_runs(t, ctx)
     rid = snap.current_run_id(spark, root)
-    counts = snap.record_counts({n: snap.read_snapshot(spark, root, n, rid) for n in MINI_RUN})
+    frames = {n: snap.read_snapshot(spark, root, n, rid) for n in MINI_RUN}
+    frames[snap.CODECS] = spark.read.parquet(snap.codecs_path(root, rid))
+    counts = snap.record_counts(frames)
     return snap.manifest(snap.list_exports(spark, root, rid), counts).select("name", "size", "files", "records")
 
 

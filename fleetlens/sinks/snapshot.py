@@ -3,7 +3,7 @@
 Layout under a shared root (a cluster path, never a machine-local folder):
 
     archive/<export>/snapshot=<run_id>/part-*    one write-once dataset per export and run
-    archive/_codecs/snapshot=<run_id>/codec_file=<name>/part-*.txt
+    archive/codec_scripts/snapshot=<run_id>/part-*     the codec dataset of the run
     archive/_metadata/snapshot=<run_id>/part-*.json
     current/pointer/run_id=<run_id>/part-*.json   written after every export of the run succeeded
 
@@ -115,6 +115,15 @@ def check_codecs(expected: DataFrame, written: DataFrame, key: str = "codec_file
 
 # ------------------------------------------------------------------ K5 - K12
 
+# Folder of the codec dataset next to the exports (a name without a leading
+# underscore: Spark's file listing treats ``_name`` folders as hidden).
+CODECS = "codec_scripts"
+
+
+def codecs_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/archive/{CODECS}/snapshot={run_id}"
+
+
 def snapshot_path(root: str, export: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/archive/{export}/snapshot={run_id}"
 
@@ -223,9 +232,10 @@ def record_totals(counts: DataFrame) -> DataFrame:
 
 
 def list_exports(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    """The exports of a run (default: the current one): name, folder,
-    total size, file count and last change. Only file metadata is read; the
-    content column of the listing is never selected."""
+    """The exports of a run (default: the current one) and its codec
+    dataset (as ``codec_scripts``): name, folder, total size, file count and
+    last change. Only file metadata is read; the content column of the
+    listing is never selected."""
     rid = run_id or current_run_id(spark, root)
     base = f"{root.rstrip('/')}/archive"
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
@@ -317,22 +327,22 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
     items = list(builders.items())
     if with_codecs:
         def codecs():
-            path = f"{root.rstrip('/')}/archive/_codecs/snapshot={ctx.run_id}"
+            path = codecs_path(root, ctx.run_id)
             write_codecs(tables, path)
             return spark.read.parquet(path)
-        items.append(("_codecs", lambda: None))
+        items.append((CODECS, lambda: None))
     rows = []
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(one, [i for i in items if i[0] != "_codecs"]))
+            rows = list(pool.map(one, [i for i in items if i[0] != CODECS]))
     else:
-        rows = [one(i) for i in items if i[0] != "_codecs"]
+        rows = [one(i) for i in items if i[0] != CODECS]
     if with_codecs:
         try:
             n = codecs().count()
-            rows.append(("_codecs", True, n, None))
+            rows.append((CODECS, True, n, None))
         except Exception as e:  # noqa: BLE001
-            rows.append(("_codecs", False, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((CODECS, False, None, f"{type(e).__name__}: {str(e)[:200]}"))
     ok = all(r[1] for r in rows)
     if ok and publish:
         publish_current(spark, root, ctx)
@@ -358,7 +368,7 @@ def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, ke
             paths.append(f"{root.rstrip('/')}/current/pointer/run_id={rid}")
             paths.append(f"{root.rstrip('/')}/staging/snapshot={rid}")
             paths.append(f"{root.rstrip('/')}/archive/_metadata/snapshot={rid}")
-            paths.append(f"{root.rstrip('/')}/archive/_codecs/snapshot={rid}")
+            paths.append(codecs_path(root, rid))
             paths += [snapshot_path(root, n, rid) for n in RUN_EXPORTS]
         delete_paths(spark, paths)
     return res
