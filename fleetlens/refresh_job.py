@@ -43,6 +43,8 @@ def main(argv=None) -> int:
     ap.add_argument("--unsorted", action="store_true",
                     help="skip the file-order sort of each export (readers sort with a top-k)")
     ap.add_argument("--jdbc-url", help="read the source tables over JDBC instead of --source files")
+    ap.add_argument("--buckets", type=int, default=0,
+                    help="with staging: bucket the device-keyed tables on the EUI (co-located joins)")
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("fleetlens-refresh").getOrCreate()
@@ -58,7 +60,8 @@ def main(argv=None) -> int:
     else:
         tables = load_tables(spark, args.source, names=RUN_SOURCES)
     res = refresh(spark, tables, ctx, root, keep=args.keep, parallelism=args.parallelism,
-                  stage=args.stage or bool(args.jdbc_url), sort_on_write=not args.unsorted)
+                  stage=args.stage or bool(args.jdbc_url), sort_on_write=not args.unsorted,
+                  buckets=args.buckets)
     res.status.show(100, truncate=False)
     return 0 if res.published else 1
 

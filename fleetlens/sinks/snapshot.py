@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from fleetlens.context import RunContext
 from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, codec_files
+from fleetlens.sources.tables import LazyTables
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -263,24 +264,45 @@ class RunResult:
     published: bool
 
 
+# Staged tables that are joined on the device EUI; with ``buckets`` they are
+# written bucketed and sorted on it, so those joins need no shuffle.
+DEVICE_KEYED = {"device": "dev_eui", "device_keys": "dev_eui", "device_queue_item": "dev_eui",
+                "multicast_group_device": "dev_eui", "relay_device": "dev_eui"}
+
+
+def stage_table_name(run_id: str, name: str) -> str:
+    return f"fleetlens_stage_{run_id}_{name}"
+
+
 def stage_sources(spark: SparkSession, tables: Mapping, root: str, run_id: str,
-                  names: Iterable[str], parallelism: int = 4):
+                  names: Iterable[str], parallelism: int = 4, buckets: int = 0):
     """Write each source table once for the run and read it back from the
     shared folder. Every export of the run then sees the same snapshot of
     the sources, a slow source (JDBC) is read once instead of once per
-    export, and a lost executor re-reads parquet instead of recomputing."""
-    from fleetlens.sources.tables import LazyTables
+    export, and a lost executor re-reads parquet instead of recomputing.
+    With ``buckets`` > 0 the device-keyed tables are written as bucketed
+    tables (external, in the shared folder) on the device EUI, so the joins
+    between them are co-located: sort-merge joins without an exchange."""
     from concurrent.futures import ThreadPoolExecutor
     base = f"{root.rstrip('/')}/staging/snapshot={run_id}"
     names = list(names)
+    bucketed = {n for n in names if buckets > 0 and n in DEVICE_KEYED}
 
     def write(n):
-        tables[n].write.mode("overwrite").parquet(f"{base}/{n}")
+        path = f"{base}/{n}"
+        if n in bucketed:
+            key = DEVICE_KEYED[n]
+            (tables[n].write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+                      .option("path", path).saveAsTable(stage_table_name(run_id, n)))
+        else:
+            tables[n].write.mode("overwrite").parquet(path)
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
         list(pool.map(write, names))
 
     def reader(n):
+        if n in bucketed:
+            return lambda: spark.table(stage_table_name(run_id, n))
         return lambda: spark.read.parquet(f"{base}/{n}")
 
     staged = {n: reader(n) for n in names}
@@ -288,6 +310,13 @@ def stage_sources(spark: SparkSession, tables: Mapping, root: str, run_id: str,
     return LazyTables({**rest, **staged})
 
 
+def drop_stage_tables(spark: SparkSession, run_id: str) -> None:
+    """Forget the catalog entries of a run's bucketed staging tables (the
+    files stay until retention removes the run)."""
+    for n in DEVICE_KEYED:
+        spark.sql(f"DROP TABLE IF EXISTS {stage_table_name(run_id, n)}")
+
+
 # Source tables the run exports read; staged once per run.
 RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "device_keys", "gateway",
                "user", "tenant_user", "application_integration", "multicast_group",
@@ -298,7 +327,7 @@ RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "d
 def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str,
                 names: Iterable[str] = RUN_EXPORTS, extra: Mapping | None = None,
                 publish: bool = True, with_codecs: bool = True, stage: bool = False,
-                parallelism: int = 1, sort_on_write: bool = True) -> RunResult:
+                parallelism: int = 1, sort_on_write: bool = True, buckets: int = 0) -> RunResult:
     """Write every export of a run, each in its own try; a failing
     export is recorded and the run goes on, but the run is only published
     when all of them succeeded. ``stage`` snapshots the sources first (for a
@@ -311,7 +340,7 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
 
     if stage:
         tables = stage_sources(spark, tables, root, ctx.run_id, [n for n in RUN_SOURCES if n in tables],
-                               parallelism)
+                               parallelism, buckets)
     builders = {n: (lambda n=n: EXPORTS[n].build(tables, ctx)) for n in names}
     builders.update(extra or {})
 
@@ -343,6 +372,8 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
             rows.append((CODECS, True, n, None))
         except Exception as e:  # noqa: BLE001
             rows.append((CODECS, False, None, f"{type(e).__name__}: {str(e)[:200]}"))
+    if stage and buckets > 0:
+        drop_stage_tables(spark, ctx.run_id)
     ok = all(r[1] for r in rows)
     if ok and publish:
         publish_current(spark, root, ctx)
@@ -352,14 +383,15 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
 
 
 def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, keep: int = 10,
-            stage: bool = False, parallelism: int = 4, sort_on_write: bool = True) -> RunResult:
+            stage: bool = False, parallelism: int = 4, sort_on_write: bool = True,
+            buckets: int = 0) -> RunResult:
     """The scheduled job: one full run (every export, the codecs),
     publication, then removal of snapshots beyond the newest ``keep``
     published runs. Stage the sources (``stage=True``) when they are read
     over JDBC; file sources are already immutable snapshots and copying them
     every run would rewrite the whole fleet each time."""
     res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism,
-                      sort_on_write=sort_on_write)
+                      sort_on_write=sort_on_write, buckets=buckets)
     if res.published:
         runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
         expired = [r["snapshot"] for r in expired_snapshots(runs, keep).filter(~F.col("keep")).collect()]
