@@ -212,3 +212,21 @@ def test_csv_as_database_text(spark):
     text = "".join(r.value + "\n" for r in spark.read.text(path).collect())
     assert text.splitlines()[0] == "b,t,s,e"
     assert 't,2024-01-01 01:02:03,,""' in text and "f,2024-01-01 01:02:03.5,x," in text
+
+
+def test_stream_sync_from_archive_layout(spark):
+    from fleetlens.catalog import open_fleet
+    from fleetlens.plans.exports import EXPORTS
+    t = open_fleet(spark, "/root/testdata/sf0.001")
+    root = scratch_path(spark, "t-archive-sync")
+    target = scratch_path(spark, "t-archive-target")
+    ckpt = scratch_path(spark, "t-archive-ckpt")
+    schema = EXPORTS["devices"].build(t, RunContext()).schema
+    keys = ["source_server", "device_eui"]
+    for day in (29, 30):
+        c = RunContext(as_of=datetime(2024, 1, day, 23, 58))
+        assert snap.run_exports(spark, t, c, root, ("devices",), with_codecs=False).published
+        sync_stream(spark, f"{root}/archive/devices", target, keys, schema, ckpt)
+    out = read_target(spark, target)
+    assert out.count() == 1410
+    assert {r[0] for r in out.select("export_timestamp").distinct().collect()} == {"20240130_235800"}
