@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from fleetlens.context import RunContext
 
 __all__ = [
-    "DEVICE_ACTIVITY", "GATEWAY_CONNECTION", "recency_status", "device_activity",
+    "DEVICE_ACTIVITY", "GATEWAY_CONNECTION", "DEPLOYMENT_STATES", "recency_status", "device_activity",
     "gateway_connection", "deployment_status", "hex_lower", "codec_filename",
     "safe_filename", "non_blank", "age_label", "badge", "parse_long",
     "page_count", "text", "seen_within", "sync_status_columns",
@@ -58,11 +58,16 @@ def gateway_connection(ts: Column, ctx: RunContext) -> Column:
     return recency_status(ts, ctx, steps, never, other)
 
 
+# Deployment states (completed, started, neither).
+DEPLOYMENT_STATES = ("Completed", "In Progress", "Pending")
+
+
 def deployment_status(started: Column, completed: Column) -> Column:
     """Completed wins over started."""
-    return (F.when(completed.isNotNull(), "Completed")
-             .when(started.isNotNull(), "In Progress")
-             .otherwise("Pending"))
+    done, running, waiting = DEPLOYMENT_STATES
+    return (F.when(completed.isNotNull(), done)
+             .when(started.isNotNull(), running)
+             .otherwise(waiting))
 
 
 def hex_lower(c: Column) -> Column:
