@@ -46,6 +46,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.setdefault("spark.driver.memory", "16g")
+    # checkpoints of page cuts are removed once nothing refers to them
+    conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
