@@ -216,6 +216,24 @@ def delete_paths(spark: SparkSession, paths: Iterable[str]) -> int:
     return n
 
 
+def run_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
+    """Run id -> folders of that run under the root (archive, staging,
+    pointer), from one glob per layout level (file metadata only)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    base = root.rstrip("/")
+    out: dict[str, list[str]] = {}
+    for pattern, prefix in ((f"{base}/archive/*/snapshot=*", "snapshot="),
+                            (f"{base}/staging/snapshot=*", "snapshot="),
+                            (f"{base}/current/pointer/run_id=*", "run_id=")):
+        path = jvm.org.apache.hadoop.fs.Path(pattern)
+        statuses = path.getFileSystem(conf).globStatus(path) or []
+        for st in statuses:
+            p = st.getPath()
+            out.setdefault(p.getName()[len(prefix):], []).append(p.toString())
+    return out
+
+
 def record_counts(frames: Mapping[str, DataFrame]) -> DataFrame:
     """K9: rows per export, all counted in one job (a union of aggregates)."""
     parts = [df.agg(F.count(F.lit(1)).alias("records")).select(F.lit(name).alias("export_name"), "records")
@@ -394,13 +412,16 @@ def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, ke
                       sort_on_write=sort_on_write, buckets=buckets)
     if res.published:
         runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
-        expired = [r["snapshot"] for r in expired_snapshots(runs, keep).filter(~F.col("keep")).collect()]
-        paths = []
-        for rid in expired:
-            paths.append(f"{root.rstrip('/')}/current/pointer/run_id={rid}")
-            paths.append(f"{root.rstrip('/')}/staging/snapshot={rid}")
-            paths.append(f"{root.rstrip('/')}/archive/_metadata/snapshot={rid}")
-            paths.append(codecs_path(root, rid))
-            paths += [snapshot_path(root, n, rid) for n in RUN_EXPORTS]
+        ranked = expired_snapshots(runs, keep).collect()      # one row per published run
+        expired = {r["snapshot"] for r in ranked if not r["keep"]}
+        published = {r["snapshot"] for r in ranked}
+        folders = run_folders(spark, root)
+        # runs never published and older than every kept run failed (a run
+        # still being written is newer than that): drop them too
+        oldest_kept = min(r["snapshot"] for r in ranked if r["keep"])
+        failed = {rid for rid in folders if rid not in published and rid < oldest_kept}
+        paths = [f"{root.rstrip('/')}/archive/_metadata/snapshot={rid}" for rid in expired]
+        for rid in expired | failed:
+            paths += folders.get(rid, [])
         delete_paths(spark, paths)
     return res

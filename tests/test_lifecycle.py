@@ -230,3 +230,18 @@ def test_stream_sync_from_archive_layout(spark):
     out = read_target(spark, target)
     assert out.count() == 1410
     assert {r[0] for r in out.select("export_timestamp").distinct().collect()} == {"20240130_235800"}
+
+
+def test_refresh_removes_failed_runs(spark):
+    from fleetlens.catalog import open_fleet
+    root = scratch_path(spark, "t-failed")
+    t = open_fleet(spark, "/root/testdata/sf0.001")
+
+    def bad():
+        raise RuntimeError("source down")
+    c1 = RunContext(as_of=datetime(2024, 1, 1, 12))
+    failed = snap.run_exports(spark, t, c1, root, ("tenants", "devices"), extra={"x": bad}, with_codecs=False)
+    assert not failed.published and c1.run_id in snap.run_folders(spark, root)
+    snap.refresh(spark, t, RunContext(as_of=datetime(2024, 1, 2, 12)), root, keep=5)
+    folders = snap.run_folders(spark, root)
+    assert c1.run_id not in folders and "20240102_120000" in folders
