@@ -48,6 +48,8 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     conf.setdefault("spark.driver.memory", "16g")
     # checkpoints of page cuts are removed once nothing refers to them
     conf.setdefault("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+    # local sessions keep catalog tables out of the working directory
+    conf.setdefault("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fleetlens-warehouse-"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
