@@ -1,4 +1,9 @@
-"""The fixture mapping reproduces the counts documented in FIXTURES.md (sf0.001)."""
+"""The fixture mapping reproduces the counts documented in FIXTURES.md.
+
+sf0.001 and sf0.01 run by default; sf0.1 with FLEETLENS_BIG=1.
+"""
+
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,60 +12,64 @@ from fleetlens.catalog import open_fleet
 from fleetlens.context import DEFAULT_CONTEXT as CTX
 from fleetlens.functions.exprs import device_activity, gateway_connection, non_blank
 
-SF = "/root/testdata/sf0.001"
-
-
-@pytest.fixture(scope="module")
-def t(spark):
-    return open_fleet(spark, SF)
+# The counts table of FIXTURES.md, per scale factor.
+EXPECTED = {
+    "sf0.001": dict(sizes=(1410, 150, 150), device=(1, 6, 1122, 281), gateway=(0, 1, 14, 135),
+                    relay=(0, 0, 8, 2), childless_orphans=(8, 15), profiles=(200, 0, 4, 164),
+                    no_profile=27, users_without_tenant=1, queue=(398, 401, 201), fuota=(49, 54, 47)),
+    "sf0.01": dict(sizes=(14225, 1500, 1500), device=(1, 39, 11323, 2862), gateway=(1, 12, 137, 1350),
+                   relay=(1, 10, 77, 12), childless_orphans=(75, 145), profiles=(2000, 1000, 20, 977),
+                   no_profile=236, users_without_tenant=10, queue=(3988, 3998, 2014), fuota=(475, 483, 542)),
+    "sf0.1": dict(sizes=(142500, 15000, 15000), device=(51, 289, 113767, 28393),
+                  gateway=(12, 108, 1380, 13500), relay=(7, 55, 826, 112), childless_orphans=(751, 1469),
+                  profiles=(20000, 10000, 200, 9775), no_profile=2624, users_without_tenant=100,
+                  queue=(39804, 40386, 19810), fuota=(4884, 4875, 5241)),
+}
+SCALES = ["sf0.001", "sf0.01"] + (["sf0.1"] if os.environ.get("FLEETLENS_BIG") else [])
 
 
 def _dist(df, col):
     return {r[0]: r[1] for r in df.groupBy(col).count().collect()}
 
 
-def test_sizes(t):
-    assert (t["device"].count(), t["application"].count(), t["gateway"].count()) == (1410, 150, 150)
+def _four(dist, labels):
+    return tuple(dist.get(label, 0) for label in labels)
 
 
-def test_device_and_gateway_status(t):
-    d = t["device"].select(device_activity(F.col("last_seen_at"), CTX).alias("s"))
-    assert _dist(d, "s") == {"Active": 1, "Recent": 6, "Inactive": 1122, "Never": 281}
+@pytest.mark.parametrize("sf", SCALES)
+def test_fixture_counts(spark, sf):
+    exp = EXPECTED[sf]
+    t = open_fleet(spark, f"/root/testdata/{sf}")
+    apps, dev, tenants = t["application"], t["device"], t["tenant"]
+    assert (dev.count(), apps.count(), t["gateway"].count()) == exp["sizes"]
+
+    d = dev.select(device_activity(F.col("last_seen_at"), CTX).alias("s"))
+    assert _four(_dist(d, "s"), ("Active", "Recent", "Inactive", "Never")) == exp["device"]
     g = t["gateway"].select(gateway_connection(F.col("last_seen_at"), CTX).alias("s"))
-    assert _dist(g, "s") == {"Recent": 1, "Offline": 14, "Never Seen": 135}
+    assert _four(_dist(g, "s"), ("Online", "Recent", "Offline", "Never Seen")) == exp["gateway"]
     r = t["relay_gateway"].select(gateway_connection(F.col("last_seen_at"), CTX).alias("s"))
-    assert _dist(r, "s") == {"Offline": 8, "Never Seen": 2}
-
+    assert _four(_dist(r, "s"), ("Online", "Recent", "Offline", "Never Seen")) == exp["relay"]
 
-def test_orphans_and_childless(t):
-    apps, dev = t["application"], t["device"]
     childless = apps.join(dev, apps["id"] == dev["application_id"], "left_anti").count()
     orphan = dev.join(apps, dev["application_id"] == apps["id"], "left_anti").count()
-    assert (childless, orphan) == (8, 15)
-    tenants = t["tenant"]
+    assert (childless, orphan) == exp["childless_orphans"]
     no_app = tenants.join(apps, tenants["id"] == apps["tenant_id"], "left_anti").count()
     no_gw = tenants.join(t["gateway"], tenants["id"] == t["gateway"]["tenant_id"], "left_anti").count()
     assert (no_app, no_gw) == (1, 1)
 
-
-def test_profiles(t):
     p = t["device_profile"]
     script = F.col("payload_codec_script")
-    assert p.count() == 200
-    assert p.filter(script.isNull()).count() == 0
-    assert p.filter(script.isNotNull() & (F.trim(script) == "")).count() == 4
-    used = t["device"].select(F.col("device_profile_id").alias("pid")).distinct()
+    used = dev.select(F.col("device_profile_id").alias("pid")).distinct()
     q8 = p.filter(non_blank(script)).join(used, p["id"] == used["pid"], "left_semi").count()
-    assert q8 == 164
-    assert t["device"].filter(F.col("device_profile_id").isNull()).count() == 27
-
+    assert (p.count(), p.filter(script.isNull()).count(),
+            p.filter(script.isNotNull() & (F.trim(script) == "")).count(), q8) == exp["profiles"]
+    assert dev.filter(F.col("device_profile_id").isNull()).count() == exp["no_profile"]
 
-def test_users_queue_deployments(t):
     users, tu = t["user"], t["tenant_user"]
-    assert users.join(tu, users["id"] == tu["user_id"], "left_anti").count() == 1
+    assert users.join(tu, users["id"] == tu["user_id"], "left_anti").count() == exp["users_without_tenant"]
     q = _dist(t["device_queue_item"], "is_pending")
-    assert q == {True: 398, False: 401, None: 201}
-    f = t["fuota_deployment"]
+    assert (q.get(True, 0), q.get(False, 0), q.get(None, 0)) == exp["queue"]
     status = (F.when(F.col("completed_at").isNotNull(), "Completed")
                .when(F.col("started_at").isNotNull(), "In Progress").otherwise("Pending"))
-    assert _dist(f.select(status.alias("s")), "s") == {"Completed": 49, "In Progress": 54, "Pending": 47}
+    f = _dist(t["fuota_deployment"].select(status.alias("s")), "s")
+    assert _four(f, ("Completed", "In Progress", "Pending")) == exp["fuota"]
