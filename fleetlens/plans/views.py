@@ -25,7 +25,9 @@ from fleetlens.operators.filters import (
 from fleetlens.operators.joins import application_dim, lookup, orphans
 from fleetlens.operators.ordering import page_rows, preview, top_tenants
 from fleetlens.operators.setops import combine_servers
-from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, codec_profiles, device_order_keys, devices_export
+from fleetlens.plans.exports import (
+    EXPORTS, RUN_EXPORTS, codec_profiles, device_order_keys, devices_export, only_keys,
+)
 from fleetlens.sources.schema import pick_column
 
 Tables = dict
@@ -116,9 +118,38 @@ def device_search_frame(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 def device_search(t: Tables, ctx: RunContext, q: str = "42", cap: int = 100) -> DataFrame:
-    """V6: matches of ``q`` (first ``cap`` by name) with the total count."""
-    total, rows = search(device_search_frame(t, ctx), q, SEARCH_COLUMNS, ("device_name", "device_eui"), cap)
-    return rows.withColumns({"query": F.lit((q or "").lower()), "match_count": F.lit(total).cast("bigint")})
+    """V6: matches of ``q`` (first ``cap`` by name) with the total count.
+
+    Same rows as searching :func:`device_search_frame`, planned so that the
+    device table is never joined whole with the applications: the
+    application-name test is evaluated on the application table, and devices
+    are only flagged against the applications that matched (usually few, so
+    AQE broadcasts them). Names are looked up for the ``cap`` result rows
+    only, against the applications those rows use."""
+    needle = (q or "").lower()
+
+    def has(c):
+        return F.coalesce(F.lower(c).contains(F.lit(needle)), F.lit(False))
+
+    apps = t["application"]
+    hit_apps = apps.filter(has(F.col("name"))).select(F.col("id").alias("__hit_app"))
+    d = t["device"].select(hex_lower(F.col("dev_eui")).alias("device_eui"), F.col("name").alias("device_name"),
+                           "application_id", "last_seen_at", "battery_level", "is_disabled")
+    flagged = d.join(hit_apps, d["application_id"] == hit_apps["__hit_app"], "left")
+    matches = flagged.filter(has(F.col("device_name")) | has(F.col("device_eui"))
+                             | F.col("__hit_app").isNotNull()).drop("__hit_app")
+    total = matches.count()
+    # the result rows (at most ``cap``) are written once to the shared
+    # checkpoint folder and read by both the name lookup and the output
+    top = (matches.orderBy(F.col("device_name").asc_nulls_last(), F.col("device_eui").asc_nulls_last())
+                  .limit(cap).checkpoint())
+    named = lookup(top, only_keys(apps, "id", top, "application_id"), "application_id", "id",
+                   {"application_name": "name"})
+    rows = named.select("device_eui", "device_name", "application_name",
+                        text("application_id").alias("application_id"), "battery_level", "is_disabled",
+                        device_activity(F.col("last_seen_at"), ctx).alias("activity_status"))
+    rows = rows.orderBy(F.col("device_name").asc_nulls_last(), F.col("device_eui").asc_nulls_last())
+    return rows.withColumns({"query": F.lit(needle), "match_count": F.lit(total).cast("bigint")})
 
 
 def devices_page(t: Tables, ctx: RunContext, page=3, limit=100) -> DataFrame:
