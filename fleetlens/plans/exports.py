@@ -22,8 +22,8 @@ from fleetlens.functions.exprs import (
 )
 from fleetlens.operators.aggs import avg_round, bucket_counts, count_when, string_agg
 from fleetlens.operators.filters import pending_only
-from fleetlens.operators.joins import application_dim, bridge, lookup, role_join
-from fleetlens.sources.schema import has_column, pick_column
+from fleetlens.operators.joins import application_dim, bridge, lookup, lookup_chain, role_join, semi
+from fleetlens.sources.schema import has_column, has_table, pick_column
 
 Tables = Mapping[str, DataFrame]
 
@@ -319,8 +319,12 @@ def _codec_metadata(t: Tables, ctx: RunContext) -> DataFrame:
 
 def codec_files(t: Tables) -> DataFrame:
     """One codec file per profile: file name (disk form) and content.
-    The file holds the script followed by a newline."""
-    p = codec_profiles(t)
+    The file holds the script followed by a newline. EXISTS is a semi join
+    against the distinct profile ids of the devices (the distinct combines
+    map-side, so a profile used by a third of all devices is one row)."""
+    used = t["device"].select("device_profile_id").distinct()
+    p = semi(t["device_profile"].filter(non_blank(F.col("payload_codec_script"))), used,
+             "id", "device_profile_id")
     return p.select(
         text("id").alias("profile_id"),
         safe_filename(F.col("name"), F.col("id")).alias("codec_file"),
@@ -453,9 +457,10 @@ def _device_queue(t: Tables, ctx: RunContext) -> DataFrame:
     """Q16: pending queue items (the filter runs before any join)."""
     q = pending_only(t["device_queue_item"])
     apps = application_dim(t["application"], t["tenant"])
-    q = lookup(q, t["device"], "dev_eui", "dev_eui", {"device_name": "name", "d_app": "application_id"})
-    q = lookup(q, apps, "d_app", "app_id",
-               {"application_name": "application_name", "tenant_name": "tenant_name"})
+    q = lookup_chain(q, [
+        (t["device"], "dev_eui", "dev_eui", {"device_name": "name", "d_app": "application_id"}),
+        (apps, "d_app", "app_id", {"application_name": "application_name", "tenant_name": "tenant_name"}),
+    ])
     return with_provenance(q.select(
         text("id").alias("queue_item_id"), hex_lower(F.col("dev_eui")).alias("device_eui"),
         "device_name", F.col("f_port").alias("frame_port"), "confirmed", "is_pending", "is_encrypted",
@@ -501,7 +506,7 @@ FUOTA_COLUMNS = ("deployment_id", "deployment_name", "application_name", "applic
 
 
 def _fuota_deployments(t: Tables, ctx: RunContext) -> DataFrame:
-    if "fuota_deployment" not in t:  # S11 probe: older servers have no such table
+    if not has_table(t, "fuota_deployment"):  # S11 probe: older servers have no such table
         from fleetlens.sources.schema import empty_export
         return empty_export(t["tenant"].sparkSession, FUOTA_COLUMNS)
     apps = application_dim(t["application"], t["tenant"])

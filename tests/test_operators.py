@@ -140,3 +140,18 @@ def test_avg_round_half_up_and_empty(spark):
     df = spark.createDataFrame([(1, 0.125), (1, None), (2, None)], "g int, b double")
     out = dict(df.groupBy("g").agg(avg_round(F.sum("b"), F.count("b")).alias("a")).collect())
     assert out == {1: 0.13, 2: None}
+
+
+def test_page_after_keyset(spark):
+    from fleetlens.operators.ordering import page_after
+    df = spark.createDataFrame([(k,) for k in ["b", "a", "d", "c", None]], "k string")
+    assert [r.k for r in page_after(df, "k", None, 2).collect()] == ["a", "b"]
+    assert [r.k for r in page_after(df, "k", "b", 2).collect()] == ["c", "d"]
+    assert page_after(df, "k", "d", 2).count() == 0
+
+
+def test_sum_columns_parses_text(spark):
+    from fleetlens.operators.aggs import sum_columns
+    df = spark.createDataFrame([("3", 2), ("x", 5), (None, None)], "a string, b int")
+    r = sum_columns(df, {"total_a": "a", "total_b": "b"}).first()
+    assert (r.total_a, r.total_b) == (3, 7)      # malformed text counts as nothing
