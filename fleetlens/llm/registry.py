@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import exact_dedup, mixing
+from fleetlens.llm import dac, exact_dedup, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op7_token_files": dac.op7_token_files,
+    "op8_packing": packing.op8_packing,
 }
 
 ORACLES: dict[str, str] = {
