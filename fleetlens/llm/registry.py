@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import ann, chat, dac, exact_dedup, mixing, packing
+from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": mixing.op2_mixing,
     "op3_ann": ann.op3_ann,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
+    "op6_jaccard": jaccard_join.op6_jaccard,
     "op7_token_files": dac.op7_token_files,
     "op8_packing": packing.op8_packing,
     "op9_chat_rotation": chat.op9_chat_rotation,
