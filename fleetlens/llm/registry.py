@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing
+from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": toxicity.op1_toxicity,
     "op2_mixing": mixing.op2_mixing,
     "op3_ann": ann.op3_ann,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
