@@ -11,11 +11,13 @@ library whole.
 from __future__ import annotations
 
 import re
+from array import array
 
 import numpy as np
 import regex
 
-CACHE_PARTS = 400_000
+#: Entries of the caches of a worker process: parts (words with their punctuation) and pieces.
+CACHE_PARTS, CACHE_PIECES = 900_000, 600_000
 _SPLIT_BYTE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPLIT_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile("[\n\x20-\x7e¡-ÿ]*")
@@ -34,7 +36,7 @@ def _byte_letters() -> list[str]:
     return letters
 
 
-_LETTERS = _byte_letters()
+_LETTERS = dict(enumerate(_byte_letters()))
 
 
 class CorpusEncoder:
@@ -60,9 +62,9 @@ class CorpusEncoder:
     def _piece(self, piece: str) -> bytes:
         got = self.pieces.get(piece)
         if got is None:
-            letters = "".join([_LETTERS[b] for b in piece.encode()])
-            got = np.asarray([t.id for t in self.tok.model.tokenize(letters)], dtype="<u4").tobytes()
-            if len(self.pieces) < CACHE_PARTS:
+            letters = piece.encode().decode("latin-1").translate(_LETTERS)  # a letter for each byte
+            got = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
+            if len(self.pieces) < CACHE_PIECES:
                 self.pieces[piece] = got
         return got
 
