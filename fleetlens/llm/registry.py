@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing, toxicity
+from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
     "op2_mixing": mixing.op2_mixing,
     "op3_ann": ann.op3_ann,
+    "op4_pii": pii.op4_pii,
     "op5_exact_dedup": exact_dedup.op5_exact_dedup,
     "op6_jaccard": jaccard_join.op6_jaccard,
     "op7_token_files": dac.op7_token_files,
