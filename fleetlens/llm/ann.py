@@ -8,12 +8,13 @@ the bits need), fitted on at most ``FIT_ROWS`` vectors, the smallest by a hash
 of their id. On the same sample the Hamming radius is learned that holds
 ``RADIUS_SHARE`` of the true neighbours.
 
-Codes are split into ``BITS / 16`` substrings of 16 bits. Within a block of at
-most about ``BLOCK_ROWS`` vectors each substring has an index from its value to
-its rows. A code within radius ``r`` of a query agrees with it to ``r // m``
-bits in at least one of the ``m`` substrings (pigeonhole), so probing all
-values that near in every index retrieves every code in the radius; these are
-reranked by the exact product of the original vectors. A query that finds fewer
+Codes are split into ``m = BITS / SUB`` substrings. Within a block of at most
+about ``BLOCK_ROWS`` vectors each substring has an index from its value to its
+rows. With ``r = m q + a``, a code within ``r`` bits of a query is within ``q``
+bits in one of the first ``a + 1`` substrings or within ``q - 1`` in one of the
+others (pigeonhole), so probing all values that near in every index retrieves
+every code in the radius; these are reranked by the exact product of the
+original vectors. A query that finds fewer
 than ``k`` in the radius is searched again with a radius of all bits, which is
 exact.
 
@@ -39,7 +40,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import load, staged
 
 BITS = 128
-SUB = 16
+SUB = 8
 FIT_ROWS = 10_000
 RADIUS_SHARE = 0.97
 BLOCK_ROWS = 16_384
@@ -83,7 +84,7 @@ class Codes:
 
     def _bits(self, lifted: np.ndarray) -> np.ndarray:
         on = (lifted - self.mean) @ self.basis > 0
-        return np.packbits(on, axis=1, bitorder="little").view("<u2")
+        return np.packbits(on, axis=1, bitorder="little")
 
     def of_candidates(self, x: np.ndarray) -> np.ndarray:
         return self._bits(self._lift(x))
@@ -105,30 +106,30 @@ class Codes:
 
 
 class SubstringIndex:
-    """Rows of a block by the value of each 16-bit substring of their codes."""
+    """Rows of a block by the value of each substring of their codes."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
-        self.rows = np.argsort(codes, axis=0, kind="stable").astype(np.int32)
-        self.starts = [np.searchsorted(codes[self.rows[:, j], j], np.arange((1 << SUB) + 1)).astype(np.int32)
-                       for j in range(codes.shape[1])]
-        self.near = np.argsort(np.bitwise_count(np.arange(1 << SUB, dtype=np.uint16)), kind="stable").astype(np.uint16)
+        self.words = codes.view("<u8")
+        self.rows = [np.argsort(codes[:, j], kind="stable").astype(np.int32) for j in range(codes.shape[1])]
+        self.starts = [np.searchsorted(codes[rows, j], np.arange((1 << SUB) + 1)).astype(np.int32)
+                       for j, rows in enumerate(self.rows)]
+        self.near = np.argsort(np.bitwise_count(np.arange(1 << SUB, dtype=np.uint8)), kind="stable").astype(np.uint8)
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All rows within ``radius`` bits of ``code``."""
         m = self.codes.shape[1]
-        near = self.near[: sum(math.comb(SUB, i) for i in range(min(SUB, radius // m) + 1))]
         found = np.zeros(len(self.codes), dtype=bool)
         for j in range(m):
-            values = near ^ code[j]
+            bits = min(SUB, radius // m) - (j > radius % m)
+            values = self.near[: sum(math.comb(SUB, i) for i in range(bits + 1))] ^ code[j]
             first = self.starts[j][values]
             count = self.starts[j][values.astype(np.int32) + 1] - first
-            some = count > 0
-            first, count = first[some], count[some]
-            at = np.repeat(first - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-            found[self.rows[at, j]] = True
+            at = np.repeat(first - np.cumsum(count) + count, count) + np.arange(count.sum())
+            found[self.rows[j][at]] = True
         rows = np.flatnonzero(found)
-        return rows[np.bitwise_count(self.codes[rows] ^ code).sum(axis=1) <= radius]
+        near = np.bitwise_count(self.words[rows] ^ code.view("<u8")).sum(axis=1)
+        return rows[near <= radius]
 
 
 _FOUND = "query_id long, vec_id long, score double"
