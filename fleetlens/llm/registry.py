@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, mixing, packing, pii, toxicity
+from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, lm_score, mixing, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -18,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_token_files": dac.op7_token_files,
     "op8_packing": packing.op8_packing,
     "op9_chat_rotation": chat.op9_chat_rotation,
+    "op10_lm_score": lm_score.op10_lm_score,
 }
 
 ORACLES: dict[str, str] = {
