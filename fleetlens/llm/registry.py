@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, lm_score, mixing, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_chat_rotation": chat.op9_chat_rotation,
     "op10_lm_score": lm_score.op10_lm_score,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
