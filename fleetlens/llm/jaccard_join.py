@@ -49,8 +49,8 @@ from fleetlens.llm.common import load, shuffle_partitions, staged
 from fleetlens.llm.components import components
 from fleetlens.llm.shingles import mix, shingle_set
 
-BATCH_DOCS = 16_384
-BATCH_SHINGLES = 4_000_000
+BATCH_DOCS = 4_096
+BATCH_SHINGLES = 1_000_000
 #: Segments per band: so many times the largest symmetric difference.
 SPREAD = 1.25
 _U64 = np.uint64
@@ -288,7 +288,7 @@ def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
     spark = docs.sparkSession
-    n_shards = min(shards or 2 * shuffle_partitions(spark), 60_000)
+    n_shards = min(shards or 4 * shuffle_partitions(spark), 60_000)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     made = staged(narrow.mapInArrow(_sketcher(n_shards), _SKETCHED), "jaccard-sketches")
     every = made.filter(F.col("kind") == DOC).select("ref", "doc_id", F.col("n").alias("n_shingles"))

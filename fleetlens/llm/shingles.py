@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 WORDS = 5
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 300_000
 _TURNS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
