@@ -40,7 +40,7 @@ from fleetlens.llm.elias_fano import NgramTrie, read_arrays, write_arrays
 from fleetlens.llm.shingles import mix, word_hashes
 from fleetlens.session import scratch_path
 
-BATCH_TOKENS = 4_000_000
+BATCH_TOKENS = 1_500_000
 MU = 4.0
 END, START = np.uint64(1), np.uint64(2)
 _U64 = np.uint64
