@@ -34,7 +34,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fleetlens.llm.common import load, staged
@@ -47,14 +47,15 @@ BLOCK_ROWS = 16_384
 QUERY_ROWS = 512
 
 
-def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v`` (array of doubles) of the vectors that take part."""
+def usable(vectors: DataFrame, is_query: Column) -> DataFrame:
+    """``vec_id, v`` (array of doubles), ``asked`` of the vectors that take part."""
     v = F.col("embedding").cast("array<double>")
     ok = F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0)
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     some = F.exists(v, lambda x: x != 0)
-    one = vectors.filter(ok & finite & some).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"))
-    return one.groupBy("vec_id").agg(F.min("v").alias("v"))
+    one = vectors.filter(ok & finite & some).select(
+        F.col("vec_id").cast("long").alias("vec_id"), v.alias("v"), is_query.alias("asked"))
+    return one.groupBy("vec_id").agg(F.min("v").alias("v"), F.max("asked").alias("asked"))
 
 
 class Codes:
@@ -133,6 +134,7 @@ class SubstringIndex:
 
 
 _FOUND = "query_id long, vec_id long, score double"
+_RESULT = "query_id long, rank int, vec_id long, score double"
 
 
 def _search_block(codes: Codes, k: int, radius: int):
@@ -173,32 +175,33 @@ def _search(queries: DataFrame, vectors: DataFrame, codes: Codes, k: int, radius
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
+def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     """``query_id, rank, vec_id, score`` of the ``k`` nearest found of every
-    query; a query's own id is no candidate."""
+    query, a row for which ``is_query`` holds; its own id is no candidate."""
     spark = vectors.sparkSession
-    every = staged(usable(vectors).withColumn("dim", F.size("v")), "ann-vectors")
-    dims = every.groupBy("dim").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "dim").first()
-    if dims is None:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    every = every.filter(F.col("dim") == dims["dim"]).drop("dim")
-    top = every.agg(F.max(F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)))).first()[0]
+    every = staged(usable(vectors, is_query).withColumn("dim", F.size("v")), "ann-vectors")
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))
+    kinds = every.groupBy("dim").agg(F.count("*").alias("n"), F.max(norm).alias("top"),
+                                     F.sum(F.col("asked").cast("long")).alias("asked")).collect()
+    if not kinds:
+        return spark.createDataFrame([], _RESULT)
+    most = max(kinds, key=lambda r: (r["n"], -r["dim"]))
+    every = every.filter(F.col("dim") == most["dim"])
     sample = np.array([r["v"] for r in every.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("v").collect()])
-    codes = Codes(sample, top * (1 + 1e-12), k)
-    asked = staged(every.join(queries.select("vec_id").distinct(), "vec_id", "left_semi"), "ann-queries")
-    n_queries = asked.count()
-    if not n_queries:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    found = staged(_search(asked, every, codes, k, codes.radius, n_queries, dims["n"]), "ann-found")
-    full = found.groupBy("query_id").agg(F.max("rank").alias("n")).filter(F.col("n") >= min(k, dims["n"] - 1))
-    rest = asked.join(full, asked["vec_id"] == full["query_id"], "left_anti")
-    n_rest = rest.count()
-    if n_rest:
-        again = _search(rest, every, codes, k, BITS, n_rest, dims["n"])
+    codes = Codes(sample, most["top"] * (1 + 1e-12), k)
+    asked = every.filter("asked").select("vec_id", "v")
+    if not most["asked"]:
+        return spark.createDataFrame([], _RESULT)
+    every = every.select("vec_id", "v")
+    found = staged(_search(asked, every, codes, k, codes.radius, most["asked"], most["n"]), "ann-found")
+    full = found.filter(F.col("rank") == min(k, most["n"] - 1)).select("query_id")
+    n_rest = most["asked"] - full.count()
+    if n_rest:  # searched again with every bit allowed
+        rest = asked.join(full, asked["vec_id"] == full["query_id"], "left_anti")
+        again = _search(rest, every, codes, k, BITS, n_rest, most["n"])
         found = found.join(full, "query_id", "left_semi").unionByName(again)
     return found.select("query_id", "rank", "vec_id", "score")
 
 
 def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = load(spark, sf_dir, "embeddings")
-    return nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), 20)
+    return nearest(load(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)

@@ -98,7 +98,8 @@ def best_filling(lengths: np.ndarray, value: np.ndarray, capacity: int) -> np.nd
 def fractional_fillings(lengths: np.ndarray, demand: np.ndarray, capacity: int,
                         rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
     """Fillings and their (fractional) numbers, by multiplicative weights."""
-    weight = lengths / capacity  # at first, what a piece takes of a sequence
+    share = lengths / capacity
+    weight = share * (1 + share / 2)  # at first by size, long pieces before the short ones that fill gaps
     covered = np.zeros(len(lengths))
     out = []
     for _ in range(rounds):
@@ -114,26 +115,12 @@ def fractional_fillings(lengths: np.ndarray, demand: np.ndarray, capacity: int,
     return out
 
 
-def plan_fillings(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """``[({length: count}, sequences), ...]`` that use every piece exactly once."""
-    left = {n: c for n, c in histogram.items() if c}
-    plan = []
-    if left.pop(capacity, 0):
-        plan.append(({capacity: 1}, histogram[capacity]))
-    lengths = np.array(sorted(left), dtype=np.int64)
-    if len(lengths):
-        demand = np.array([left[int(n)] for n in lengths], dtype=np.int64)
-        for counts, times in fractional_fillings(lengths, demand.astype(float), capacity):
-            used = counts > 0
-            whole = min(int(times), int((demand[used] // counts[used]).min()))
-            if whole and (counts * lengths).sum() == capacity:  # a filling with a gap is left to best fit
-                demand[used] -= whole * counts[used]
-                plan.append(({int(n): int(c) for n, c in zip(lengths[used], counts[used])}, whole))
-        left = {int(n): int(c) for n, c in zip(lengths, demand) if c}
-    while left:  # best fit decreasing, a filling used as often as its pieces last
-        order = sorted(left, reverse=True)
+def best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
+    """Best fit decreasing on a histogram, a filling used as often as its pieces last."""
+    left, plan = dict(left), []
+    while left:
         room, counts = capacity, {}
-        for n in order:
+        for n in sorted(left, reverse=True):
             take = min(room // n, left[n])
             if take:
                 counts[n] = take
@@ -147,6 +134,25 @@ def plan_fillings(histogram: dict[int, int], capacity: int = CAPACITY) -> list[t
     return plan
 
 
+def plan_fillings(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
+    """``[({length: count}, sequences), ...]`` that use every piece exactly once:
+    the rounded program with best fit for the rest or, if that needs fewer
+    sequences, best fit alone."""
+    every = {n: c for n, c in histogram.items() if c}
+    whole = [({capacity: 1}, every.pop(capacity))] if capacity in every else []
+    lengths = np.array(sorted(every), dtype=np.int64)
+    demand = np.array([every[int(n)] for n in lengths], dtype=np.int64)
+    plan = []
+    for counts, times in fractional_fillings(lengths, demand.astype(float), capacity) if len(lengths) else []:
+        used = counts > 0
+        times = min(int(times), int((demand[used] // counts[used]).min()))
+        if times and (counts * lengths).sum() == capacity:  # a filling with a gap is left to best fit
+            demand[used] -= times * counts[used]
+            plan.append(({int(n): int(c) for n, c in zip(lengths[used], counts[used])}, times))
+    plan += best_fit({int(n): int(c) for n, c in zip(lengths, demand) if c}, capacity)
+    return whole + min(plan, best_fit(every, capacity), key=lambda p: sum(t for _, t in p))
+
+
 def _placer(plan: list[tuple[dict[int, int], int]]):
     """Arrow function that gives pieces their sequence and offset by rank."""
     used: dict[int, int] = {}
