@@ -142,7 +142,7 @@ def _search_block(codes: Codes, k: int, radius: int):
         out = {"query_id": [], "vec_id": [], "score": []}
         if len(queries) and len(block):
             x, ids = np.stack(block["v"].to_numpy()), block["vec_id"].to_numpy()
-            q, qids = np.stack(queries["v"].to_numpy()), queries["vec_id"].to_numpy()
+            q, qids = np.stack(queries["qv"].to_numpy()), queries["qid"].to_numpy()
             index = SubstringIndex(codes.of_candidates(x))
             for vec, qid, code in zip(q, qids, codes.of_queries(q)):
                 rows = index.within(code, radius)
@@ -164,10 +164,9 @@ def _search(queries: DataFrame, vectors: DataFrame, codes: Codes, k: int, radius
             n_queries: int, n_vectors: int) -> DataFrame:
     """Nearest found of every query, merged over the blocks."""
     qb, vb = -(-n_queries // QUERY_ROWS), -(-n_vectors // BLOCK_ROWS)
-    deal = F.xxhash64("vec_id")
-    q = (queries.withColumn("qb", F.pmod(deal, F.lit(qb)))
+    q = (queries.withColumn("qb", F.pmod(F.xxhash64("qid"), F.lit(qb)))
          .withColumn("vb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(vb - 1).cast("long")))))
-    v = (vectors.withColumn("vb", F.pmod(deal, F.lit(vb)))
+    v = (vectors.withColumn("vb", F.pmod(F.xxhash64("vec_id"), F.lit(vb)))
          .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(qb - 1).cast("long")))))
     found = (q.groupBy("qb", "vb").cogroup(v.groupBy("qb", "vb"))
              .applyInPandas(_search_block(codes, k, radius), _FOUND))
@@ -189,7 +188,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     every = every.filter(F.col("dim") == most["dim"])
     sample = np.array([r["v"] for r in every.orderBy(F.xxhash64("vec_id"), "vec_id").limit(FIT_ROWS).select("v").collect()])
     codes = Codes(sample, most["top"] * (1 + 1e-12), k)
-    asked = every.filter("asked").select("vec_id", "v")
+    asked = every.filter("asked").select(F.col("vec_id").alias("qid"), F.col("v").alias("qv"))
     if not most["asked"]:
         return spark.createDataFrame([], _RESULT)
     every = every.select("vec_id", "v")
@@ -197,7 +196,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 20) -> DataFrame:
     full = found.filter(F.col("rank") == min(k, most["n"] - 1)).select("query_id")
     n_rest = most["asked"] - full.count()
     if n_rest:  # searched again with every bit allowed
-        rest = asked.join(full, asked["vec_id"] == full["query_id"], "left_anti")
+        rest = asked.join(full, F.col("qid") == F.col("query_id"), "left_anti")
         again = _search(rest, every, codes, k, BITS, n_rest, most["n"])
         found = found.join(full, "query_id", "left_semi").unionByName(again)
     return found.select("query_id", "rank", "vec_id", "score")
