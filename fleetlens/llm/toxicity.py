@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 
 import numpy as np
@@ -39,12 +40,12 @@ from pyspark.sql import functions as F
 
 from fleetlens.llm.common import crc_mod, load, staged
 
-MAX_ROWS = 24_000
+MAX_ROWS = 16_000
 MAX_TERMS = 3_000
 MIN_DOCS, MIN_Z = 3, 2.5
 STEMS = (4, 5)
 TREES, DEPTH = 20, 3
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 
 #: Common insults, and second-person words, of a few languages.
 INSULTS = frozenset("""
@@ -81,79 +82,98 @@ def _strip(token: str) -> str:
 
 
 class Features:
-    """Feature rows for one lexicon (``term -> weight``). What a token adds is
-    computed once and kept while the cache has room."""
+    """Feature rows of texts for some lexicons (``name -> term -> weight``).
 
-    def __init__(self, lexicon: dict[str, float]):
-        self.lexicon = lexicon
-        self._reset()
+    What a token adds is computed once and kept while there is room; tokens
+    that come later are computed again in each text."""
 
-    def _reset(self) -> None:
+    #: Numbers per token that no lexicon changes.
+    BASE = 9
+
+    def __init__(self, lexicons: dict):
+        self.lexicons = lexicons
+        self.column = {name: self.BASE + 2 * i for i, name in enumerate(lexicons)}
+        self.width = self.BASE + 2 * len(lexicons)
         self.ids: dict[str, int] = {}
-        self.values = np.zeros((1024, 12))
+        self.flat = array("f")
 
-    def _token(self, token: str) -> tuple:
+    def _token(self, token: str) -> list[float]:
         low = token.lower()
-        core = _strip(low)
-        weight = max((self.lexicon.get(t, 0.0) for t in terms(core)), default=0.0) if core else 0.0
+        if token.isalpha():
+            core, letters, mixed = low, len(token), False
+            caps = 0 if token.islower() else sum(map(str.isupper, token))
+            exclaim = 0
+        else:
+            core, letters = _strip(low), sum(map(str.isalpha, token))
+            caps = sum(map(str.isupper, token))
+            exclaim = token.count("!") + token.count("?")
+            inner = core.replace("'", "").replace("-", "")
+            mixed = bool(inner) and letters > 0 and not inner.isalpha()
+        stretched = core.isalpha() and _STRETCH.search(core) is not None
+        plain = core
+        if mixed or stretched:
+            plain = _STRETCH.sub(r"\1", "".join(_LETTERS.findall(core.translate(LOOKALIKES))))
         insult = core in INSULTS
-        plain = "".join(_LETTERS.findall(core.translate(LOOKALIKES)))
-        plain = _STRETCH.sub(r"\1", plain)
-        hidden = 0.0
-        if plain != core and not weight and not insult:
-            hidden = float(plain in INSULTS or any(t in self.lexicon for t in terms(plain)))
-        letters = sum(c.isalpha() for c in token)
-        caps = sum(c.isupper() for c in token)
-        inner = core.replace("'", "").replace("-", "")
-        mixed = bool(inner) and letters > 0 and not inner.isalpha()
-        return (weight > 0, weight, insult, hidden, core in SECOND_PERSON, letters, caps,
-                letters > 1 and caps == letters, token.count("!") + token.count("?"),
-                len(token) - letters, mixed, bool(_STRETCH.search(core)) and core.isalpha())
-
-    def _id(self, token: str) -> int:
-        n = len(self.ids)
-        if n == len(self.values):
-            self.values = np.concatenate([self.values, np.zeros_like(self.values)])
-        self.values[n] = self._token(token)
-        self.ids[token] = n
-        return n
-
-    def row(self, text: str | None) -> np.ndarray:
+        out = [insult, core in SECOND_PERSON, letters, caps, letters > 1 and caps == letters, exclaim,
+               len(token) - letters, mixed, stretched]
+        for lexicon in self.lexicons.values():
+            weight = _weight(lexicon, core)
+            hidden = plain != core and not weight and not insult and (plain in INSULTS or _weight(lexicon, plain) > 0)
+            out += (weight, hidden)
+        return out
+
+    def row(self, text: str | None, name=None) -> np.ndarray:
         tokens = (text or "").split()
-        if len(self.ids) > CACHE_WORDS:
-            self._reset()
-        found = list(map(self.ids.get, tokens))
+        ids, known = self.ids, len(self.ids)
+        found, new = list(map(ids.get, tokens)), []
         if None in found:
-            found = [self._id(t) if i is None and t not in self.ids else self.ids[t] for i, t in zip(found, tokens)]
+            for i, at in enumerate(found):
+                if at is None:
+                    at = ids.get(tokens[i])
+                    if at is None:
+                        at = ids[tokens[i]] = len(ids)
+                        new.append(tokens[i])
+                        self.flat.extend(self._token(tokens[i]))
+                    found[i] = at
         at = np.array(found, dtype=np.int64)
-        n = max(1, len(at))
-        v = self.values[at]
-        total = v.sum(axis=0)
-        hit = (v[:, 0] + v[:, 2] + v[:, 3]) > 0
-        where, you = np.flatnonzero(hit), np.flatnonzero(v[:, 4])
+        v = np.frombuffer(self.flat, "f4").reshape(-1, self.width)[at].astype(float) if len(at) else np.zeros((0, self.width))
+        if known >= CACHE_WORDS:  # no room: forget what this text added
+            for t in new:
+                del ids[t]
+            del self.flat[known * self.width:]
+        insult, you, letters, caps, shout, exclaim, punct, mixed, stretched = v[:, : self.BASE].sum(axis=0)
+        weight, hidden = v[:, self.column[name]], v[:, self.column[name] + 1]
+        n, hits = max(1, len(at)), (weight > 0).sum()
+        where, yous = np.flatnonzero((weight > 0) | (v[:, 0] > 0) | (hidden > 0)), np.flatnonzero(v[:, 1])
         near = 0
-        if len(where) and len(you):
-            i = np.searchsorted(you, where)
-            gap = np.minimum(np.abs(you[np.minimum(i, len(you) - 1)] - where), np.abs(you[np.maximum(i - 1, 0)] - where))
-            near = int((gap <= 5).sum())
-        kinds = len(np.unique(at[v[:, 0] > 0]))
-        letters = max(1.0, total[5])
-        runs = len(_RUNS.findall(text or ""))
-        return np.array([total[0] / n, total[1] / n, math.log1p(total[0]), kinds, v[:, 1].max(initial=0.0), total[2] / n,
-                         total[3] / n, near / n, total[4] / n, total[6] / letters, total[7] / n, total[8] / n,
-                         total[9] / n, runs / n, total[10] / n, total[11] / n, math.log1p(n)])
+        if len(where) and len(yous):
+            i = np.searchsorted(yous, where)
+            gap = np.minimum(np.abs(yous[np.minimum(i, len(yous) - 1)] - where), np.abs(yous[np.maximum(i - 1, 0)] - where))
+            near = (gap <= 5).sum()
+        letters = max(1.0, letters)
+        return np.array([hits / n, weight.sum() / n, math.log1p(hits), len(np.unique(at[weight > 0])), weight.max(initial=0.0),
+                         insult / n, hidden.sum() / n, near / n, you / n, caps / letters, shout / n, exclaim / n,
+                         punct / n, len(_RUNS.findall(text or "")) / n, mixed / n, stretched / n, math.log1p(n)])
+
+
+def _weight(lexicon: dict[str, float], word: str) -> float:
+    """The largest weight of a word's terms."""
+    out = lexicon.get(word, 0.0)
+    for n in STEMS:
+        if len(word) > n:
+            out = max(out, lexicon.get(word[:n] + "*", 0.0))
+    return out
 
 
-_CACHE: dict[int, Features] = {}
+_LAST: list = [None, None]
 
 
-def _features(lexicon: dict[str, float]) -> Features:
-    key = hash(frozenset(lexicon.items()))
-    if key not in _CACHE:
-        if len(_CACHE) > 6:
-            _CACHE.clear()
-        _CACHE[key] = Features(lexicon)
-    return _CACHE[key]
+def _features(lexicons: dict) -> Features:
+    """The worker's features for these lexicons; only the last ones are kept."""
+    key = hash(tuple((name, frozenset(lexicon.items())) for name, lexicon in lexicons.items()))
+    if _LAST[0] != key:
+        _LAST[:] = [key, Features(lexicons)]
+    return _LAST[1]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_ROWS) -> DataFrame:
@@ -220,7 +240,8 @@ def _feature_udf(lexicons: dict):
     """Feature arrays of ``(text, fold)``; fold 0 means the lexicon of all folds."""
     @F.pandas_udf("array<double>")
     def run(text: pd.Series, fold: pd.Series) -> pd.Series:
-        return pd.Series([_features(lexicons[f or None]).row(t).tolist() for t, f in zip(text, fold)])
+        features = _features(lexicons)
+        return pd.Series([features.row(t, f or None).tolist() for t, f in zip(text, fold)])
     return run
 
 
