@@ -1,7 +1,9 @@
 """Registry of every query the package offers, as ``(spark, sf_dir) -> DataFrame``.
 
 Each callable loads the driver tables of ``sf_dir`` lazily, maps them onto
-the fleet schema and returns the query's DataFrame without running it.
+the fleet schema and returns the query's DataFrame. Exports are returned
+without running; searches, pages and the queries over written files run the
+jobs that cut or write their rows first.
 """
 
 from __future__ import annotations
@@ -46,9 +48,6 @@ def _export_query(name: str, ctx: RunContext) -> QueryFn:
 
 def query_registry(ctx: RunContext = DEFAULT_CONTEXT) -> dict[str, QueryFn]:
     reg: dict[str, QueryFn] = {name: _export_query(name, ctx) for name in EXPORTS}
-    try:
-        from fleetlens.plans.views import view_registry
-        reg.update(view_registry(ctx))
-    except ImportError:
-        pass
+    from fleetlens.plans.views import view_registry
+    reg.update(view_registry(ctx))
     return reg

@@ -25,15 +25,19 @@ def safe_avg(total: Column, n: Column) -> Column:
 
 
 def round2(x: Column) -> Column:
-    """ROUND(x, 2) done on a decimal, half away from zero, returned as
-    double; going through a decimal makes ties independent of binary noise."""
-    return F.round(x.cast("decimal(20,6)"), 2).cast("double")
+    """ROUND(x, 2) on a decimal, half away from zero, returned as double."""
+    return F.round(x.cast("decimal(38,16)"), 2).cast("double")
 
 
 def avg_round(total: Column, n: Column) -> Column:
     """A3: ROUND(AVG(x), 2) from a sum and a count of non-NULL values (the
-    two partial aggregates Spark combines map-side); NULL for no values."""
-    return round2(safe_avg(total, n))
+    two partial aggregates Spark combines map-side); NULL for no values. The
+    quotient is never rounded to an intermediate scale: hundredths are counted
+    by an integer division of 200 * |sum| + n by 2 * n, which is half away
+    from zero."""
+    exact = total.cast("decimal(28,8)")
+    cents = F.call_function("div", F.abs(exact) * 200 + n, n * 2)
+    return F.when(n > 0, F.signum(exact) * cents / 100)
 
 
 def string_agg(col: str, sep: str = ", ") -> Column:

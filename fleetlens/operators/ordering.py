@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -68,11 +68,31 @@ def page_rows(df: DataFrame, keys: Sequence[str | tuple[str, str]], page=1, limi
     return ordered.offset((p - 1) * n).limit(n) if p > 1 else ordered.limit(n)
 
 
-def page_after(df: DataFrame, key: str, after, limit: int = 100) -> DataFrame:
-    """Keyset variant of L3 for deep pages: rows after the last key seen.
-    The filter is pushed to the scan and the top-k stays ``limit`` rows."""
-    out = df if after is None else df.filter(F.col(key) > F.lit(after))
-    return out.orderBy(F.col(key).asc_nulls_last()).limit(limit)
+def rows_after(keys: Sequence[str | tuple[str, str]], after: Mapping) -> Column:
+    """Rows that sort behind ``after`` (key column -> value): some key is
+    behind and all keys before it are equal. Ascending keys have NULLs last,
+    descending ones NULLs first, as in :func:`sort_export`."""
+    out, equal = F.lit(False), F.lit(True)
+    for k in keys:
+        name, direction = (k, "asc") if isinstance(k, str) else k
+        c, v = F.col(name), after[name]
+        if direction == "desc":
+            behind = c.isNotNull() if v is None else F.coalesce(c < F.lit(v), F.lit(False))
+        else:
+            behind = F.lit(False) if v is None else c.isNull() | (c > F.lit(v))
+        out = out | (equal & behind)
+        equal = equal & c.eqNullSafe(F.lit(v))
+    return out
+
+
+def page_after(df: DataFrame, keys: Sequence[str | tuple[str, str]], after: Mapping | None = None,
+               limit: int = 100) -> DataFrame:
+    """Keyset variant of L3 for deep pages: the ``limit`` rows behind the last
+    row seen (``after``: its key columns). The keys must end with a unique
+    one; ties and NULL keys are then read exactly once. The top-k stays
+    ``limit`` rows however deep the page is."""
+    out = df if after is None else df.filter(rows_after(keys, after))
+    return out.orderBy(*_keys(keys)).limit(limit)
 
 
 def page_info(total: int, page=1, limit=100) -> PageInfo:

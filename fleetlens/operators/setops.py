@@ -38,12 +38,13 @@ def upsert_if_newer(current: DataFrame, incoming: DataFrame, keys: Sequence[str]
 
 
 def content_hash(cols: Sequence[str]):
-    """NULL-safe content digest: each value tagged with NULL-ness first."""
+    """NULL-safe content digest: each value is preceded by its length, so no
+    text can look like a separator."""
     parts = []
     for c in cols:
         v = F.col(c).cast("string")
-        parts.append(F.when(v.isNull(), F.lit("N")).otherwise(F.concat(F.lit("V"), v)))
-    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+        parts.append(F.when(v.isNull(), F.lit("N")).otherwise(F.concat(F.length(v).cast("string"), F.lit(":"), v)))
+    return F.sha2(F.concat(*parts).cast("binary"), 256)
 
 
 def diff(old: DataFrame, new: DataFrame, keys: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:

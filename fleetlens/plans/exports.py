@@ -87,10 +87,11 @@ def device_classes(spark: SparkSession) -> DataFrame:
 
 def _device_classes(t: Tables, ctx: RunContext) -> DataFrame:
     """Q7 with the number of devices per class (A13: zero for unused ones).
-    The per-class counts have one row per class value (a proven bound), so
-    that side is broadcast to the 3-row literal it is joined to."""
+    Only the known classes are counted, so the counts have at most three rows
+    and that side is broadcast to the 3-row literal it is joined to."""
     spark = t["device"].sparkSession
-    per_class = (t["device"].groupBy(F.concat(F.lit("Class "), F.col("enabled_class")).alias("cls"))
+    known = [c[0].removeprefix("Class ") for c in DEVICE_CLASSES]
+    per_class = (t["device"].filter(F.col("enabled_class").isin(known)).groupBy(F.concat(F.lit("Class "), F.col("enabled_class")).alias("cls"))
                  .agg(F.count(F.lit(1)).alias("devices_in_class")))
     classes = device_classes(spark)
     out = classes.join(F.broadcast(per_class), classes["class_name"] == per_class["cls"], "left")
@@ -101,7 +102,10 @@ def _device_classes(t: Tables, ctx: RunContext) -> DataFrame:
 def _servers(t: Tables, ctx: RunContext) -> DataFrame:
     """Q1 / S3: server registry, one row per server of the fleet. The id is a
     hash of the name, so a re-run gives the same id."""
-    s = t["server"]
+    if has_table(t, "server"):
+        s = t["server"]
+    else:  # one network server: the registry is the run's own server, there is no such table
+        s = t["tenant"].sparkSession.createDataFrame([(ctx.server_name,)], "name string")
     return s.select(
         F.sha2(F.col("name"), 256).alias("server_id"),
         F.col("name").alias("server_name"),
@@ -496,19 +500,20 @@ def _relay_gateways(t: Tables, ctx: RunContext) -> DataFrame:
     )
 
 
-FUOTA_COLUMNS = ("deployment_id", "deployment_name", "application_name", "application_id",
+FUOTA_TYPED = ("deployment_id", "deployment_name", "application_name", "application_id",
                  "device_profile_name", "device_profile_id", "tenant_name", "multicast_address",
-                 "multicast_group_type", "multicast_class_c_scheduling_type", "data_rate",
-                 "multicast_frequency", "multicast_timeout", "fragmentation_fragment_size",
-                 "fragmentation_redundancy_percentage", "request_fragmentation_session_status",
-                 "created_at", "updated_at", "started_at", "completed_at", "deployment_status",
+                 "multicast_group_type", "multicast_class_c_scheduling_type", "data_rate int",
+                 "multicast_frequency bigint", "multicast_timeout int", "fragmentation_fragment_size int",
+                 "fragmentation_redundancy_percentage int", "request_fragmentation_session_status",
+                 "created_at {ts}", "updated_at {ts}", "started_at {ts}", "completed_at {ts}", "deployment_status",
                  "source_server", "export_timestamp")
+FUOTA_COLUMNS = tuple(c.split(" ", 1)[0] for c in FUOTA_TYPED)
 
 
 def _fuota_deployments(t: Tables, ctx: RunContext) -> DataFrame:
     if not has_table(t, "fuota_deployment"):  # S11 probe: older servers have no such table
         from fleetlens.sources.schema import empty_export
-        return empty_export(t["tenant"].sparkSession, FUOTA_COLUMNS)
+        return empty_export(t["tenant"].sparkSession, [c.format(ts=ctx.timestamp_type) for c in FUOTA_TYPED])
     apps = application_dim(t["application"], t["tenant"])
     f = lookup(t["fuota_deployment"], apps, "application_id", "app_id",
                {"application_name": "application_name", "tenant_name": "tenant_name"})

@@ -36,9 +36,16 @@ def previous_run(ctx: RunContext, days: int = 1) -> RunContext:
 # ------------------------------------------------------------ round trips
 
 def csv_roundtrip(t, ctx: RunContext) -> DataFrame:
-    """K1 + S4: the gateway export written as CSV and read back typed."""
+    """K1 + S4: the gateway export, with a text column of awkward values
+    (outer spaces, a tab, line breaks, quotes, '' and NULL), written as CSV
+    and read back typed."""
     spark = _spark(t)
     df = EXPORTS["gateways"].build(t, ctx)
+    last, name = F.substring("gateway_eui", -1, 1), F.col("gateway_name")
+    df = df.withColumn("note", F.when(last == "0", F.concat(F.lit("  "), name, F.lit(" ")))
+                       .when(last == "1", F.lit("\t")).when(last == "2", F.concat(name, F.lit("\r\nnext")))
+                       .when(last == "3", F.lit("")).when(last == "4", F.lit(None))
+                       .when(last == "5", F.concat(F.lit('"q", '), name)).otherwise(name))
     path = scratch_path(spark, "csv")
     snap.write_csv(df, path)
     return files.read_csv_export(spark, path, schema=df.schema)
@@ -98,18 +105,18 @@ def codec_completeness(t, ctx: RunContext) -> DataFrame:
 # ------------------------------------------------------------ runs and snapshots
 
 _RUN_CACHE: dict = {}
-MINI_RUN = ("servers", "tenants", "device_summary", "gateway_summary", "devices")
 
 
-def mini_runs(t, ctx: RunContext) -> str:
-    """Two published runs (yesterday's and today's) of a few exports, once
-    per session and input."""
+def two_runs(t, ctx: RunContext) -> str:
+    """Two published runs (yesterday's and today's) of every export, once
+    per session and input; today's also as CSV and JSON."""
     spark = _spark(t)
     key = (spark.sparkContext.applicationId, id(t), ctx.run_id)
     if key not in _RUN_CACHE:
         root = scratch_path(spark, "runs")
         for c in (previous_run(ctx), ctx):
-            snap.run_exports(spark, t, c, root, MINI_RUN, parallelism=4)
+            snap.run_exports(spark, t, c, root, parallelism=4,
+                             formats=("parquet", "csv", "json") if c is ctx else ("parquet",))
         _RUN_CACHE[key] = root
     return _RUN_CACHE[key]
 
@@ -117,49 +124,110 @@ def mini_runs(t, ctx: RunContext) -> str:
 def archive_current(t, ctx: RunContext) -> DataFrame:
     """K5 + K6: the device summary as the current (newest published) run."""
     spark = _spark(t)
-    root = mini_runs(t, ctx)
+    root = two_runs(t, ctx)
     return snap.read_snapshot(spark, root, "device_summary")
 
 
 def list_exports_view(t, ctx: RunContext) -> DataFrame:
-    """Exports of the current run with size and file count."""
+    """Exports of the current run; sizes and file counts depend on the
+    writer, so the query says whether there are any."""
     spark = _spark(t)
-    return snap.list_exports(spark, mini_runs(t, ctx)).select("name", "filename", "size", "files")
+    return snap.list_exports(spark, two_runs(t, ctx)).select(
+        "name", "filename", (F.col("size") > 0).alias("has_bytes"), (F.col("files") > 0).alias("has_files"))
+
+
+def _read_text_run(t, ctx: RunContext, form: str) -> DataFrame:
+    """Rows and rows' text length of every export of the current run, read back
+    from its CSV or JSON form."""
+    spark = _spark(t)
+    root = two_runs(t, ctx)
+    parts = []
+    for name in RUN_EXPORTS:
+        schema = EXPORTS[name].build(t, ctx).schema
+        path = snap.text_path(root, form, name, ctx.run_id)
+        df = (files.read_csv_export(spark, path, schema=schema) if form == "csv"
+              else files.read_json_export(spark, path, files.all_string(schema.names)))
+        filled = sum((F.coalesce(F.col(c).cast("string"), F.lit("")) != "").cast("int") for c in schema.names)
+        parts.append(df.agg(F.lit(name).alias("export_name"), F.count(F.lit(1)).alias("records"),
+                            F.coalesce(F.sum(filled), F.lit(0)).cast("bigint").alias("filled_values")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def run_csv(t, ctx: RunContext) -> DataFrame:
+    """K1 + S4: every export of a run read back from CSV."""
+    return _read_text_run(t, ctx, "csv")
+
+
+def run_json(t, ctx: RunContext) -> DataFrame:
+    """K2 + S5: every export of a run read back from JSON."""
+    return _read_text_run(t, ctx, "json")
+
+
+def fetch_export(t, ctx: RunContext, name: str = "tenant_user_roles.json") -> DataFrame:
+    """One export of the current run by name, with its row count."""
+    df, total = files.get_export(_spark(t), two_runs(t, ctx), name)
+    return df.withColumn("total_records", F.lit(total).cast("bigint"))
+
+
+def fetch_codec(t, ctx: RunContext) -> DataFrame:
+    """The first codec of the listing, fetched by its name."""
+    spark = _spark(t)
+    path = _written_codecs(t, ctx)
+    first = files.list_codecs(spark, path).orderBy("name").limit(1).first()
+    if first is None:
+        return files.get_codec(spark, path, "").select("codec_file", F.length("script").alias("script_chars"))
+    return files.get_codec(spark, path, first["name"]).select("codec_file", F.length("script").alias("script_chars"))
 
 
 def manifest_view(t, ctx: RunContext) -> DataFrame:
     """Listing of the current run joined with its record counts."""
     spark = _spark(t)
-    root = mini_runs(t, ctx)
+    root = two_runs(t, ctx)
     rid = snap.current_run_id(spark, root)
-    frames = {n: snap.read_snapshot(spark, root, n, rid) for n in MINI_RUN}
+    frames = {n: snap.read_snapshot(spark, root, n, rid) for n in RUN_EXPORTS}
     frames[snap.CODECS] = spark.read.parquet(snap.codecs_path(root, rid))
     counts = snap.record_counts(frames)
-    return snap.manifest(snap.list_exports(spark, root, rid), counts).select("name", "size", "files", "records")
+    return snap.manifest(snap.list_exports(spark, root, rid), counts).select(
+        "name", (F.col("files") > 0).alias("has_files"), "records")
+
+
+def _devices_per_run(spark: SparkSession, root: str) -> DataFrame:
+    """Device records of every published run."""
+    runs = [r["run_id"] for r in snap.published_runs(spark, root).select("run_id").collect()]  # a row per kept run
+    base = f"{root.rstrip('/')}/archive/devices"
+    d = spark.read.option("basePath", base).parquet(*[snap.snapshot_path(root, "devices", r) for r in runs])
+    return (d.groupBy(F.col("snapshot").cast("string").alias("run_id"))
+            .agg(F.count(F.lit(1)).alias("device_records"), F.max("last_seen_at").alias("last_contact")))
 
 
 def health(t, ctx: RunContext) -> DataFrame:
-    """Health row from the current metadata: status, last export,
-    server."""
+    """Health row: status, last export and server from the current
+    metadata, and the device records and last contact of that run."""
     spark = _spark(t)
-    root = mini_runs(t, ctx)
+    root = two_runs(t, ctx)
     rid = snap.current_run_id(spark, root)
     meta = files.read_metadata(spark, f"{root}/archive/_metadata/snapshot={rid}")
-    return meta.select(F.lit("ok").alias("status"),
-                       F.coalesce(F.col("export_date"), F.lit("unknown")).alias("last_export"),
-                       F.coalesce(F.col("server_name"), F.lit("unknown")).alias("server"))
+    d = snap.read_snapshot(spark, root, "devices", rid)
+    m = meta.first()
+    return d.agg(F.lit("ok").alias("status"), F.lit(m["export_date"] or "unknown").alias("last_export"),
+                 F.lit(m["server_name"] or "unknown").alias("server"),
+                 F.count(F.lit(1)).alias("device_records"), F.max("last_seen_at").alias("last_contact"))
 
 
 def sync_freshness(t, ctx: RunContext, checked_after_minutes: int = 20) -> DataFrame:
     """Age of every published run's export when checked 20 minutes
     after this run, next due time, healthy flag."""
     spark = _spark(t)
-    root = mini_runs(t, ctx)
+    root = two_runs(t, ctx)
     runs = snap.published_runs(spark, root)
     export_ts = F.to_timestamp_ntz(F.substring(F.col("export_date"), 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     check = RunContext(as_of=ctx.as_of + timedelta(minutes=checked_after_minutes))
     cols = sync_status_columns(export_ts, check)
-    return runs.select("run_id", *[v.alias(k) for k, v in cols.items()])
+    out = runs.select("run_id", *[v.alias(k) for k, v in cols.items()])
+    return out.join(_devices_per_run(spark, root), "run_id", "left")
 
 
 def current_device_search(t, ctx: RunContext, q: str = "42") -> DataFrame:
@@ -167,7 +235,7 @@ def current_device_search(t, ctx: RunContext, q: str = "42") -> DataFrame:
     export of the current run, with the total before the cap."""
     from fleetlens.plans import read_api
     spark = _spark(t)
-    total, rows = read_api.search_devices(spark, mini_runs(t, ctx), q)
+    total, rows = read_api.search_devices(spark, two_runs(t, ctx), q)
     return rows.withColumns({"query": F.lit((q or "").lower()), "match_count": F.lit(total).cast("bigint")})
 
 
@@ -182,30 +250,38 @@ def record_totals_view(t, ctx: RunContext) -> DataFrame:
 
 
 def export_run_status(t, ctx: RunContext) -> DataFrame:
-    """A run where one export fails: the others are written, the
-    failure is recorded, and the run is not published."""
+    """A run of every export and one that fails: the others are written,
+    the failure is recorded, and the run is not published."""
     spark = _spark(t)
     root = scratch_path(spark, "status")
 
     def broken():  # a source table this server does not have
         return spark.read.parquet(f"{root}/no_such_table")
 
-    res = snap.run_exports(spark, t, ctx, root, ("tenants", "gateway_summary", "api_keys"),
-                           extra={"broken_export": broken}, with_codecs=False)
+    res = snap.run_exports(spark, t, ctx, root, extra={"broken_export": broken}, with_codecs=False, parallelism=4)
     published = snap.current_run_id(spark, root) is not None
     return res.status.select("export_name", "ok", "records", F.col("error").isNotNull().alias("has_error"),
                              F.lit(published).alias("run_published"))
 
 
 def retention(t, ctx: RunContext, runs: int = 12, keep: int = 10) -> DataFrame:
-    """K8: twelve hourly snapshots of the gateway summary (each computed
-    from all gateways at its own time); the newest ten are kept."""
+    """K8: twelve hourly snapshots of the gateway summary (each computed from
+    all gateways at its own time); those beyond the newest ten are deleted, and
+    the kept ones are read back."""
     spark = _spark(t)
     root = scratch_path(spark, "retention")
     for k in range(runs):
         c = RunContext(as_of=ctx.as_of - timedelta(hours=k), server_name=ctx.server_name)
         snap.write_snapshot(EXPORTS["gateway_summary"].build(t, c), root, "gateway_summary", c.run_id)
-    return snap.expired_snapshots(snap.list_snapshots(spark, root, "gateway_summary"), keep)
+    ranked = snap.expired_snapshots(snap.list_snapshots(spark, root, "gateway_summary"), keep)
+    gone = [r["snapshot"] for r in ranked.filter("NOT keep").collect()]  # a row per run
+    snap.delete_paths(spark, [snap.snapshot_path(root, "gateway_summary", r) for r in gone])
+    base = f"{root}/archive/gateway_summary"
+    kept = (spark.read.option("basePath", base).parquet(base).groupBy(F.col("snapshot").cast("string").alias("snapshot"))
+            .agg(F.count(F.lit(1)).alias("tenants"), F.sum("total_gateways").alias("gateways"),
+                 F.sum("online_gateways").alias("online")))
+    left = snap.expired_snapshots(snap.list_snapshots(spark, root, "gateway_summary"), keep)
+    return left.join(kept, "snapshot", "left")
 
 
 # ------------------------------------------------------------ upsert / diff / stream
@@ -231,7 +307,8 @@ def snapshot_diff(t, ctx: RunContext) -> DataFrame:
 
 def stream_sync(t, ctx: RunContext) -> DataFrame:
     """yesterday's snapshot lands and is synced; then today's lands twice
-    (re-delivered) and is synced; the target is returned."""
+    (re-delivered) and is synced under a new checkpoint, so that everything is
+    delivered again to a target that has versions; the target is returned."""
     spark = _spark(t)
     old, new = _device_snapshots(t, ctx)
     landing = scratch_path(spark, "landing")
@@ -242,7 +319,7 @@ def stream_sync(t, ctx: RunContext) -> DataFrame:
     sync_stream(spark, landing, target, DEVICE_KEYS, schema, ckpt)
     new.write.mode("overwrite").parquet(f"{landing}/{ctx.run_id}")
     new.write.mode("overwrite").parquet(f"{landing}/{ctx.run_id}-redelivered")
-    sync_stream(spark, landing, target, DEVICE_KEYS, schema, ckpt)
+    sync_stream(spark, landing, target, DEVICE_KEYS, schema, scratch_path(spark, "stream-ckpt"))
     return read_target(spark, target, schema)
 
 
@@ -254,6 +331,10 @@ LIFECYCLE = {
     "codec_completeness": codec_completeness,
     "archive_current": archive_current,
     "list_exports": list_exports_view,
+    "run_csv": run_csv,
+    "run_json": run_json,
+    "fetch_export": fetch_export,
+    "fetch_codec": fetch_codec,
     "manifest": manifest_view,
     "health": health,
     "current_device_search": current_device_search,

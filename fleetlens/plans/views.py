@@ -23,11 +23,11 @@ from fleetlens.operators.filters import (
     active_servers, device_filter, filter_status, gateway_map, low_battery, restrict, search,
 )
 from fleetlens.operators.joins import application_dim, lookup, orphans
-from fleetlens.operators.ordering import page_rows, preview, top_tenants
-from fleetlens.operators.setops import combine_servers
+from fleetlens.operators.ordering import page_after, page_rows, preview, top_tenants
 from fleetlens.plans.exports import (
     EXPORTS, RUN_EXPORTS, codec_profiles, device_order_keys, devices_export, only_keys,
 )
+from fleetlens.sinks.snapshot import record_counts
 from fleetlens.sources.schema import pick_column
 
 Tables = dict
@@ -88,8 +88,13 @@ def dashboard_kpis(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 def device_status_breakdown(t: Tables, ctx: RunContext) -> DataFrame:
-    """V3: devices per activity status."""
-    return breakdown(device_status_frame(t, ctx), "activity_status")
+    """V3: devices per activity status, and the disabled ones (whatever their
+    activity) as the dashboard's fifth figure."""
+    d = device_status_frame(t, ctx)
+    status = F.array(F.coalesce("activity_status", F.lit("Unknown")),
+                     F.when(F.col("is_disabled"), F.lit("Disabled")))
+    return (d.select(F.explode(F.array_compact(status)).alias("status"))
+            .groupBy("status").agg(F.count(F.lit(1)).alias("count")))
 
 
 def gateway_status_breakdown(t: Tables, ctx: RunContext) -> DataFrame:
@@ -164,6 +169,36 @@ def devices_page(t: Tables, ctx: RunContext, page=3, limit=100) -> DataFrame:
     return page_rows(devices_export(t, ctx, cut, bounded=True), ["device_name", "device_eui"], 1, limit)
 
 
+def page_walk(t: Tables, ctx: RunContext, limit: int = 500) -> DataFrame:
+    """L3 by keyset: every page of the devices, each cut behind the last row of
+    the page before, with its page number. The driver sees one row per page,
+    the last; each page is a bounded top-k written to the shared folder."""
+    keys = ["name", "__eui"]
+    keyed = device_order_keys(t["device"]).select("name", "__eui", "application_id")
+    pages, after = [], None
+    while True:
+        cut = page_after(keyed, keys, after, limit).checkpoint()
+        last = cut.orderBy(F.col("name").desc_nulls_first(), F.col("__eui").desc_nulls_first()).first()
+        if last is None:
+            break
+        pages.append(cut.withColumn("page", F.lit(len(pages) + 1)))
+        after = last.asDict()
+    out = pages[0] if pages else keyed.limit(0).withColumn("page", F.lit(0))
+    for p in pages[1:]:
+        out = out.unionByName(p)
+    return out.select(F.lower(F.col("__eui")).alias("device_eui"), F.col("name").alias("device_name"), "page")
+
+
+def page_metadata(t: Tables, ctx: RunContext, page=3, limit=100) -> DataFrame:
+    """L3 metadata of one page of every export: total, pages and neighbours."""
+    counts = record_counts({n: _export(n, t, ctx) for n in RUN_EXPORTS})
+    info = F.ceil(F.col("records") / limit)
+    return counts.select(
+        "export_name", F.col("records").alias("total"), F.lit(page).alias("page"), F.lit(limit).alias("page_limit"),
+        info.alias("total_pages"), F.when(F.col("records") > page * limit, F.lit(page + 1)).alias("next_page"),
+        F.when(F.lit(page) > 1, F.lit(page - 1)).alias("previous_page"))
+
+
 def online_gateways(t: Tables, ctx: RunContext) -> DataFrame:
     """V8: gateways whose status is Online."""
     return filter_status(_export("gateways", t, ctx), "connection_status", "Online")
@@ -290,9 +325,10 @@ def orphan_devices(t: Tables, ctx: RunContext) -> DataFrame:
 
 def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
     """J11 for every foreign key: number of child rows without a parent.
-    The key values of all children of one parent table are stacked and meet
-    that parent in a single anti join, so each parent table is read once;
-    foreign keys without any orphan report 0."""
+    Each child is first counted per key value (combined within the tasks, so a
+    hot key is one row per task); the counts of all children of one parent
+    meet it in a single anti join, so each parent table is read once. Foreign
+    keys without any orphan report 0."""
     by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
     for child, fk, parent, pk in FOREIGN_KEYS:
         by_parent.setdefault((parent, pk), []).append((child, fk))
@@ -304,8 +340,9 @@ def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
             r = t[child].select(F.lit(child).alias("child_table"), F.lit(fk).alias("foreign_key"),
                                 F.col(fk).cast(ptype).alias("ref"))
             refs = r if refs is None else refs.unionByName(r)
-        missing = orphans(refs, t[parent], "ref", pk)
-        counts = missing.groupBy("child_table", "foreign_key").agg(F.count(F.lit(1)).alias("orphan_rows"))
+        per_key = refs.groupBy("ref", "child_table", "foreign_key").agg(F.count(F.lit(1)).alias("n"))
+        missing = orphans(per_key, t[parent], "ref", pk)
+        counts = missing.groupBy("child_table", "foreign_key").agg(F.sum("n").alias("orphan_rows"))
         parts.append(counts.withColumn("parent_table", F.lit(parent)))
     found = parts[0]
     for p in parts[1:]:
@@ -326,38 +363,22 @@ def preview_devices(t: Tables, ctx: RunContext, n: int = 10) -> DataFrame:
     return preview(devices_export(t, ctx, cut, bounded=True), ["device_eui"], n)
 
 
-def server_slices(t: Tables, ctx: RunContext, export: str = "applications") -> list[DataFrame]:
-    """One export per server of the fleet, each computed from that server's
-    own tenants and applications and tagged with the server, as separate
-    network servers would deliver them. The server list is small metadata."""
-    servers = [(r["id"], r["name"]) for r in t["server"].select("id", "name").orderBy("id").collect()]
-    out = []
-    for sid, sname in servers:
-        tenants = t["tenant"].filter(F.col("server_id") == F.lit(sid))
-        apps = t["application"].join(tenants.select(F.col("id").alias("__tid")),
-                                     F.col("tenant_id") == F.col("__tid"), "left_semi")
-        sub_t = _SubTables(t, {"tenant": tenants, "application": apps})
-        sctx = RunContext(as_of=ctx.as_of, server_name=sname, server_url=ctx.server_url, run_id=ctx.run_id)
-        out.append(EXPORTS[export].build(sub_t, sctx))
-    return out
-
-
-class _SubTables(dict):
-    def __init__(self, base, overrides):
-        super().__init__()
-        self._base, self._over = base, overrides
-
-    def __getitem__(self, k):
-        return self._over[k] if k in self._over else self._base[k]
-
-    def __contains__(self, k):
-        return k in self._over or k in self._base
+NO_SERVER = "unassigned"
 
 
 def combined_servers(t: Tables, ctx: RunContext) -> DataFrame:
     """The application export of every server in one frame, keyed by
-    (source_server, application_id)."""
-    return combine_servers(server_slices(t, ctx, "applications"))
+    (source_server, application_id). The server is a column reached by one
+    left join application -> tenant -> server; applications whose tenant or
+    server is missing stay, under the server ``unassigned``. Exports that
+    really come from different roots are stacked by ``combine_servers``."""
+    servers = lookup(t["tenant"].select("id", "server_id"), t["server"], "server_id", "id", {"server": "name"})
+    tagged = lookup(t["application"].select("id", "tenant_id"), servers, "tenant_id", "id", {"server": "server"})
+    apps = _export("applications", t, ctx)
+    tags = tagged.select(text("id").alias("__app"), F.col("server").alias("__server"))
+    return (apps.join(tags, apps["application_id"] == tags["__app"], "left")
+            .withColumn("source_server", F.coalesce(F.col("__server"), F.lit(NO_SERVER)))
+            .select(*apps.columns))
 
 
 def rows_by_server(t: Tables, ctx: RunContext) -> DataFrame:
@@ -390,26 +411,21 @@ def numeric_parse(t: Tables, ctx: RunContext) -> DataFrame:
 
 
 def page_counts(t: Tables, ctx: RunContext, limits=(1, 7, 100, 1000)) -> DataFrame:
-    """C17: number of pages of the device export for several page sizes."""
+    """C17: number of pages of the device export for several page sizes; the
+    devices are counted once."""
     total = t["device"].agg(F.count(F.lit(1)).alias("total"))
-    parts = [total.select(F.lit(n).alias("page_limit"), "total", page_count(F.col("total"), n).alias("total_pages"))
-             for n in limits]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    each = F.array(*[F.struct(F.lit(n).alias("page_limit"), page_count(F.col("total"), n).alias("total_pages")) for n in limits])
+    return total.select("total", F.inline(each)).select("page_limit", "total", "total_pages")
 
 
 def column_fallback(t: Tables, ctx: RunContext) -> DataFrame:
     """The frame counter picked from the current schema and from an
     older one where the column is called ``fcntup`` (NULL -> 0)."""
-    d = t["device"].select("dev_eui", "f_cnt_up")
-    old = d.withColumnRenamed("f_cnt_up", "fcntup")
-    return d.select(hex_lower(F.col("dev_eui")).alias("device_eui"),
-                    pick_column(d, ["f_cnt_up", "fcntup"]).alias("frame_counter_up")).join(
-        old.select(hex_lower(F.col("dev_eui")).alias("device_eui"),
-                   pick_column(old, ["f_cnt_up", "fcntup"]).alias("frame_counter_up_old_schema")),
-        "device_eui")
+    names = ["f_cnt_up", "fcntup"]
+    new = t["device"].select(hex_lower(F.col("dev_eui")).alias("device_eui"), "f_cnt_up")
+    new = new.withColumn("frame_counter_up", pick_column(new, names))
+    old = new.withColumnRenamed("f_cnt_up", "fcntup")
+    return old.select("device_eui", "frame_counter_up", pick_column(old, names).alias("frame_counter_up_old_schema"))
 
 
 ViewFn = Callable[[Tables, RunContext], DataFrame]
@@ -422,6 +438,8 @@ VIEWS: dict[str, ViewFn] = {
     "devices_per_tenant": devices_per_tenant,
     "device_search": device_search,
     "devices_page": devices_page,
+    "page_walk": page_walk,
+    "page_metadata": page_metadata,
     "online_gateways": online_gateways,
     "active_device_count": active_device_count,
     "device_quick_stats": device_quick_stats,

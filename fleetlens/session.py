@@ -74,15 +74,26 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
         return None
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Does the session run in one JVM on this machine."""
+    try:
+        return spark.sparkContext.master.split("[")[0] == "local"
+    except Exception:  # noqa: BLE001 - no SparkContext: a remote session
+        return False
+
+
 _LOCAL_CKPT: dict = {}
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; only when none is configured
-    (local runs and tests) create a private one."""
+    """Return the session's checkpoint folder. Local sessions without one get
+    a private folder; on a cluster it must be configured, since a folder of
+    one machine cannot be read by the others."""
     current = checkpoint_dir(spark)
     if current:
         return current
+    if not is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = _LOCAL_CKPT.setdefault("dir", tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
     try:
         spark.sparkContext.setCheckpointDir(local)

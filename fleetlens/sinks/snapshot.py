@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from fleetlens.context import RunContext
 from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, codec_files
-from fleetlens.sources.tables import LazyTables
+from fleetlens.sources.tables import LazyTables, path_exists
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
@@ -49,11 +49,12 @@ def database_text(df: DataFrame) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", as_database_text: bool = False) -> None:
     """K1: CSV with a header row. NULL is written as an empty field and the
-    empty string as ``""``, so both stay distinguishable in the file. With
-    ``as_database_text`` values are rendered as the source database's CSV
+    empty string as ``""``, so both stay distinguishable in the file; spaces
+    at the ends of a value are kept. With ``as_database_text`` values are rendered as the source database's CSV
     export renders them."""
     out = database_text(df) if as_database_text else df
     (out.write.mode(mode).option("header", True).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .option("timestampNTZFormat", TS_FORMAT).option("timestampFormat", TS_FORMAT)
         .csv(path))
 
@@ -129,6 +130,11 @@ def snapshot_path(root: str, export: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/archive/{export}/snapshot={run_id}"
 
 
+def text_path(root: str, form: str, export: str, run_id: str) -> str:
+    """Folder of the CSV or JSON form of an export of one run."""
+    return f"{root.rstrip('/')}/archive_{form}/{export}/snapshot={run_id}"
+
+
 def write_snapshot(df: DataFrame, root: str, export: str, run_id: str, ordered: bool = True) -> str:
     """K5: the export of one run, sorted as its file order, as parquet."""
     out = EXPORTS[export].ordered(df) if (ordered and export in EXPORTS) else df
@@ -165,11 +171,11 @@ def published_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_run_id(spark: SparkSession, root: str) -> str | None:
-    """The newest published run (max of fixed-width run ids)."""
-    try:
-        row = published_runs(spark, root).agg(F.max("run_id").alias("r")).first()
-    except Exception:  # noqa: BLE001 - nothing published yet
+    """The newest published run (max of fixed-width run ids); None only when
+    there is no pointer folder yet. Any other storage error is raised."""
+    if not path_exists(spark, f"{root.rstrip('/')}/current/pointer"):
         return None
+    row = published_runs(spark, root).agg(F.max("run_id").alias("r")).first()
     return row["r"] if row else None
 
 
@@ -185,12 +191,10 @@ def read_snapshot(spark: SparkSession, root: str, export: str, run_id: str | Non
 
 
 def list_snapshots(spark: SparkSession, root: str, export: str) -> DataFrame:
-    """Run ids present in an export's archive (from the file listing)."""
-    base = f"{root.rstrip('/')}/archive/{export}"
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base) \
-                 .select("path")
-    rid = F.regexp_extract(F.col("path"), r"/snapshot=([^/]+)/", 1)
-    return files.select(rid.alias("snapshot")).filter(F.col("snapshot") != "").distinct()
+    """Run ids present in an export's archive: one row per snapshot folder,
+    from one listing of the folder names (no files are listed)."""
+    names = [p.rsplit("snapshot=", 1)[1] for p in glob_paths(spark, f"{root.rstrip('/')}/archive/{export}/snapshot=*")]
+    return spark.createDataFrame([(n,) for n in sorted(names)], "snapshot string")
 
 
 def expired_snapshots(snapshots: DataFrame, keep: int = 10) -> DataFrame:
@@ -216,21 +220,25 @@ def delete_paths(spark: SparkSession, paths: Iterable[str]) -> int:
     return n
 
 
+def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Folders matching a Hadoop glob (names only)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().toString() for st in fs.globStatus(path) or []]
+
+
 def run_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
     """Run id -> folders of that run under the root (archive, staging,
     pointer), from one glob per layout level (file metadata only)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     base = root.rstrip("/")
     out: dict[str, list[str]] = {}
     for pattern, prefix in ((f"{base}/archive/*/snapshot=*", "snapshot="),
+                            (f"{base}/archive_csv/*/snapshot=*", "snapshot="),
+                            (f"{base}/archive_json/*/snapshot=*", "snapshot="),
                             (f"{base}/staging/snapshot=*", "snapshot="),
                             (f"{base}/current/pointer/run_id=*", "run_id=")):
-        path = jvm.org.apache.hadoop.fs.Path(pattern)
-        statuses = path.getFileSystem(conf).globStatus(path) or []
-        for st in statuses:
-            p = st.getPath()
-            out.setdefault(p.getName()[len(prefix):], []).append(p.toString())
+        for p in glob_paths(spark, pattern):
+            out.setdefault(p.rsplit("/", 1)[1][len(prefix):], []).append(p)
     return out
 
 
@@ -256,8 +264,10 @@ def list_exports(spark: SparkSession, root: str, run_id: str | None = None) -> D
     last change. Only file metadata is read; the content column of the
     listing is never selected."""
     rid = run_id or current_run_id(spark, root)
-    base = f"{root.rstrip('/')}/archive"
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(base)
+    # only this run's folders are listed, however many runs the archive keeps
+    folders = [p for p in glob_paths(spark, f"{root.rstrip('/')}/archive/*/snapshot={rid}")
+               if not p.rsplit("/", 2)[1].startswith("_")]
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folders)
                   .select("path", "length", "modificationTime"))
     rel = F.substring_index(F.col("path"), "/archive/", -1)
     name = F.substring_index(rel, "/", 1)
@@ -282,10 +292,11 @@ class RunResult:
     published: bool
 
 
-# Staged tables that are joined on the device EUI; with ``buckets`` they are
-# written bucketed and sorted on it, so those joins need no shuffle.
-DEVICE_KEYED = {"device": "dev_eui", "device_keys": "dev_eui", "device_queue_item": "dev_eui",
-                "multicast_group_device": "dev_eui", "relay_device": "dev_eui"}
+# Staged tables with one row per device; with ``buckets`` they are written
+# bucketed and sorted on the EUI, so their join needs no shuffle. Tables in
+# which one device may hold any share of the rows (queue, multicast members,
+# relay links) are not bucketed: their joins keep an exchange that AQE can split.
+DEVICE_KEYED = {"device": "dev_eui", "device_keys": "dev_eui"}
 
 
 def stage_table_name(run_id: str, name: str) -> str:
@@ -336,7 +347,7 @@ def drop_stage_tables(spark: SparkSession, run_id: str) -> None:
 
 
 # Source tables the run exports read; staged once per run.
-RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "device_keys", "gateway",
+RUN_SOURCES = ("tenant", "application", "device_profile", "device", "device_keys", "gateway",
                "user", "tenant_user", "application_integration", "multicast_group",
                "multicast_group_device", "device_queue_item", "api_key", "relay_device", "relay_gateway",
                "fuota_deployment")
@@ -345,7 +356,8 @@ RUN_SOURCES = ("server", "tenant", "application", "device_profile", "device", "d
 def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str,
                 names: Iterable[str] = RUN_EXPORTS, extra: Mapping | None = None,
                 publish: bool = True, with_codecs: bool = True, stage: bool = False,
-                parallelism: int = 1, sort_on_write: bool = True, buckets: int = 0) -> RunResult:
+                parallelism: int = 1, sort_on_write: bool = True, buckets: int = 0,
+                formats: Iterable[str] = ("parquet",)) -> RunResult:
     """Write every export of a run, each in its own try; a failing
     export is recorded and the run goes on, but the run is only published
     when all of them succeeded. ``stage`` snapshots the sources first (for a
@@ -353,12 +365,16 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
     that many export jobs at once (each is an independent Spark job, so small
     exports fill the cluster together). ``sort_on_write=False`` skips the
     range sort of each export file: readers page and search with a top-k on
-    the same keys, so only consumers of the raw files need the file order."""
+    the same keys, so only consumers of the raw files need the file order.
+    ``formats`` adds "csv" and "json" next to the parquet of every export,
+    made from the written parquet, so an export is computed once."""
     from concurrent.futures import ThreadPoolExecutor
 
+    if path_exists(spark, f"{root.rstrip('/')}/current/pointer/run_id={ctx.run_id}"):
+        raise ValueError(f"run {ctx.run_id} is published under {root} and is not written again")
     if stage:
-        tables = stage_sources(spark, tables, root, ctx.run_id, [n for n in RUN_SOURCES if n in tables],
-                               parallelism, buckets)
+        tables = stage_sources(spark, tables, root, ctx.run_id,
+                               [n for n in (*RUN_SOURCES, "server") if n in tables], parallelism, buckets)
     builders = {n: (lambda n=n: EXPORTS[n].build(tables, ctx)) for n in names}
     builders.update(extra or {})
 
@@ -367,9 +383,14 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
         try:
             df = build()
             path = write_snapshot(df, root, name, ctx.run_id, ordered=sort_on_write)
-            return (name, True, spark.read.parquet(path).count(), None)
+            written = spark.read.parquet(path)
+            if "csv" in formats:
+                write_csv(written, text_path(root, "csv", name, ctx.run_id))
+            if "json" in formats:
+                write_json(written, text_path(root, "json", name, ctx.run_id), stringly_typed=True)
+            return (name, True, written.count(), None)
         except Exception as e:  # noqa: BLE001 - recorded, the run continues
-            return (name, False, None, f"{type(e).__name__}: {str(e).splitlines()[0][:200]}")
+            return (name, False, None, f"{type(e).__name__}: {e}")
 
     items = list(builders.items())
     if with_codecs:
@@ -389,7 +410,7 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
             n = codecs().count()
             rows.append((CODECS, True, n, None))
         except Exception as e:  # noqa: BLE001
-            rows.append((CODECS, False, None, f"{type(e).__name__}: {str(e)[:200]}"))
+            rows.append((CODECS, False, None, f"{type(e).__name__}: {e}"))
     if stage and buckets > 0:
         drop_stage_tables(spark, ctx.run_id)
     ok = all(r[1] for r in rows)
@@ -402,14 +423,14 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
 
 def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, keep: int = 10,
             stage: bool = False, parallelism: int = 4, sort_on_write: bool = True,
-            buckets: int = 0) -> RunResult:
+            buckets: int = 0, formats: Iterable[str] = ("parquet", "csv", "json")) -> RunResult:
     """The scheduled job: one full run (every export, the codecs),
     publication, then removal of snapshots beyond the newest ``keep``
     published runs. Stage the sources (``stage=True``) when they are read
     over JDBC; file sources are already immutable snapshots and copying them
     every run would rewrite the whole fleet each time."""
     res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism,
-                      sort_on_write=sort_on_write, buckets=buckets)
+                      sort_on_write=sort_on_write, buckets=buckets, formats=formats)
     if res.published:
         runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
         ranked = expired_snapshots(runs, keep).collect()      # one row per published run

@@ -31,7 +31,8 @@ def pick_column(df: DataFrame, candidates: Sequence[str], default=0) -> Column:
 
 def empty_export(spark: SparkSession, columns: Sequence[str] | T.StructType) -> DataFrame:
     """Zero-row placeholder with a fixed header when the source table is
-    absent. Plain column names give string columns."""
+    absent. A ``name type`` column has that type, a plain name is text."""
     schema = columns if isinstance(columns, T.StructType) else T.StructType(
-        [T.StructField(c, T.StringType(), True) for c in columns])
+        [T.StructField(c.split(" ", 1)[0], T.DataType.fromDDL(c.split(" ", 1)[1]) if " " in c else T.StringType(), True)
+         for c in columns])
     return spark.createDataFrame([], schema)

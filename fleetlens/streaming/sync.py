@@ -7,8 +7,11 @@ wins, rows are inserted or updated and never deleted. Re-delivering a
 snapshot changes nothing, and a batch that is retried after a failure
 rewrites only its own version folder, so the job is idempotent.
 
-Target layout: ``<target>/version=<batch_id>/`` (write-once); readers take
-the newest version that has a ``_SUCCESS`` marker.
+Target layout: ``<target>/version=<n>.<batch>.<stream>/`` (write-once);
+readers take the committed folder (it has a ``_SUCCESS`` marker) with the
+largest ``n``. ``n`` counts up whatever stream writes it, so a new checkpoint,
+whose batch numbers start again, continues behind the old versions; the batch
+and the stream's id tell a retried batch, which is skipped if it was committed.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order_col: str = ORDER_CO
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 
-def _versions(spark: SparkSession, target: str) -> list[int]:
+def _versions(spark: SparkSession, target: str) -> list[tuple[int, str]]:
+    """Committed versions in order: number and folder name."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     root = jvm.org.apache.hadoop.fs.Path(target)
@@ -44,7 +48,7 @@ def _versions(spark: SparkSession, target: str) -> list[int]:
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if name.startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            out.append(int(name.split("=", 1)[1]))
+            out.append((int(name.split("=", 1)[1].split(".")[0]), name))
     return sorted(out)
 
 
@@ -53,28 +57,30 @@ def read_target(spark: SparkSession, target: str, schema: T.StructType | None =
     versions = _versions(spark, target)
     if not versions:
         return None if schema is None else spark.createDataFrame([], schema)
-    return spark.read.parquet(f"{target.rstrip('/')}/version={versions[-1]}")
+    return spark.read.parquet(f"{target.rstrip('/')}/{versions[-1][1]}")
 
 
 def merge_batch(spark: SparkSession, batch: DataFrame, batch_id: int, target: str,
-                keys: Sequence[str], order_col: str = ORDER_COL, keep_versions: int = 2) -> None:
+                keys: Sequence[str], order_col: str = ORDER_COL, keep_versions: int = 2,
+                stream_id: str = "stream") -> None:
     """foreachBatch body: newest row per key over (target ∪ batch), written as
-    the version of this batch. A retried batch overwrites its own version and
-    reads the same older one again. Once the new version is committed, all
-    but the newest ``keep_versions`` committed versions are removed (a reader
-    still on the previous version keeps working)."""
+    the next version. A batch whose version is committed is not applied again;
+    one that failed half-way is written anew under the same name. Once the new
+    version is committed, all but the newest ``keep_versions`` are removed (a
+    reader still on the previous version keeps working)."""
     from fleetlens.sinks.snapshot import delete_paths
     base = target.rstrip("/")
-    current = None
-    versions = [v for v in _versions(spark, target) if v < batch_id]
-    if versions:
-        current = spark.read.parquet(f"{base}/version={versions[-1]}")
+    versions = _versions(spark, target)
+    mark = f".{batch_id}.{stream_id}"
+    if any(name.endswith(mark) for _, name in versions):
+        return
+    current = spark.read.parquet(f"{base}/{versions[-1][1]}") if versions else None
     merged_in = batch if current is None else current.unionByName(batch.select(*current.columns))
     merged = newest_per_key(merged_in, keys, order_col)
-    merged.write.mode("overwrite").parquet(f"{base}/version={batch_id}")
-    committed = [v for v in _versions(spark, target) if v <= batch_id]
-    stale = committed[:-keep_versions] if keep_versions > 0 else []
-    delete_paths(spark, [f"{base}/version={v}" for v in stale])
+    n = versions[-1][0] + 1 if versions else 0
+    merged.write.mode("overwrite").parquet(f"{base}/version={n}{mark}")
+    stale = _versions(spark, target)[:-keep_versions] if keep_versions > 0 else []
+    delete_paths(spark, [f"{base}/{name}" for _, name in stale])
 
 
 def sync_stream(spark: SparkSession, src_dir: str, target: str, keys: Sequence[str],
@@ -86,10 +92,14 @@ def sync_stream(spark: SparkSession, src_dir: str, target: str, keys: Sequence[s
     (``<root>/archive/devices``): files are found recursively and the run
     stamp is a column of every row."""
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetlens-sync/{target.strip('/').replace('/', '_')}"
-    stream = (spark.readStream.schema(schema).option("recursiveFileLookup", True)
-                   .option("maxFilesPerTrigger", 64).parquet(src_dir))
+    # every file that arrived is one batch, so the target is rewritten once a call
+    stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(src_dir)
+
+    def apply(df, batch_id):
+        stream_id = spark.read.text(f"{ckpt.rstrip('/')}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+        merge_batch(spark, df, batch_id, target, keys, order_col, stream_id=stream_id)
     q = (stream.writeStream
-               .foreachBatch(lambda df, bid: merge_batch(spark, df, bid, target, keys, order_col))
+               .foreachBatch(apply)
                .option("checkpointLocation", ckpt)
                .trigger(availableNow=True)
                .start())

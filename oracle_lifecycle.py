@@ -63,7 +63,11 @@ new AS (SELECT * FROM ({DEVICES_SELECT}) WHERE activity_status <> 'Never')
 def lifecycle_queries() -> dict[str, str]:
     ex = export_queries()
     q: dict[str, str] = {}
-    q["csv_roundtrip"] = with_ctes(("f_gateway", "f_tenant"), GATEWAYS_SELECT)
+    q["csv_roundtrip"] = with_ctes(("f_gateway", "f_tenant"), f"""
+SELECT *, CASE right(gateway_eui, 1) WHEN '0' THEN '  ' || gateway_name || ' ' WHEN '1' THEN chr(9)
+            WHEN '2' THEN gateway_name || chr(13) || chr(10) || 'next' WHEN '3' THEN '' WHEN '4' THEN NULL
+            WHEN '5' THEN '"q", ' || gateway_name ELSE gateway_name END AS note
+FROM ({GATEWAYS_SELECT})""")
     q["json_roundtrip"] = _profiles_stringly(ex["device_profiles"])
     codec_base = with_ctes(("f_device_profile", "f_device"), "")
     q["codec_listing"] = codec_base + f"""
@@ -85,31 +89,45 @@ hits AS (SELECT * FROM cur WHERE contains(lower(device_name), '42') OR contains(
                             OR contains(lower(application_name), '42'))
 SELECT h.*, '42' AS query, (SELECT COUNT(*) FROM hits) AS match_count
 FROM (SELECT * FROM hits ORDER BY device_name, device_eui LIMIT 100) h"""
-    q["health"] = f"SELECT 'ok' AS status, '{EXPORT_DATE}' AS last_export, '{SERVER}' AS server"
-    q["sync_freshness"] = f"""
-SELECT run_id, CAST(floor((epoch({AS_OF} + INTERVAL 20 MINUTE) - epoch(ts)) / 60) AS BIGINT) AS minutes_since_export,
+    q["health"] = with_ctes(("f_device",), f"""
+SELECT 'ok' AS status, '{EXPORT_DATE}' AS last_export, '{SERVER}' AS server,
+       COUNT(*) AS device_records, MAX(last_seen_at) AS last_contact FROM f_device""")
+    q["sync_freshness"] = with_ctes(("f_device",), f"""
+SELECT v.run_id, CAST(floor((epoch({AS_OF} + INTERVAL 20 MINUTE) - epoch(ts)) / 60) AS BIGINT) AS minutes_since_export,
        ts + INTERVAL 15 MINUTE AS next_export_due,
        (epoch({AS_OF} + INTERVAL 20 MINUTE) - epoch(ts)) / 60.0 <= 30 AS healthy
-FROM (VALUES ('{PREV_RUN_ID}', {PREV_AS_OF}), ('{RUN_ID}', {AS_OF})) v(run_id, ts)"""
+     , device_records, last_contact
+FROM (VALUES ('{PREV_RUN_ID}', {PREV_AS_OF}), ('{RUN_ID}', {AS_OF})) v(run_id, ts),
+     (SELECT COUNT(*) AS device_records, MAX(last_seen_at) AS last_contact FROM f_device)""")
     counts = "\nUNION ALL\n".join(
         f"SELECT '{n}' AS export_name, COUNT(*) AS records FROM ({ex[n]})" for n in RUN_EXPORTS)
     q["record_counts"] = counts
     q["record_totals"] = (f"SELECT CAST(SUM(records) AS BIGINT) AS total_records, COUNT(*) AS export_count "
                           f"FROM ({counts})")
     q["export_run_status"] = f"""
-SELECT * FROM (
-  SELECT 'tenants' AS export_name, true AS ok, (SELECT COUNT(*) FROM ({ex['tenants']})) AS records,
-         false AS has_error, false AS run_published
-  UNION ALL
-  SELECT 'gateway_summary', true, (SELECT COUNT(*) FROM ({ex['gateway_summary']})), false, false
-  UNION ALL
-  SELECT 'api_keys', true, (SELECT COUNT(*) FROM ({ex['api_keys']})), false, false
-  UNION ALL
-  SELECT 'broken_export', false, NULL, true, false)"""
-    q["retention"] = f"""
-SELECT snapshot, CAST(k + 1 AS INTEGER) AS rank, k + 1 <= 10 AS keep
-FROM (SELECT k, strftime({AS_OF} - to_hours(CAST(k AS INTEGER)), '%Y%m%d_%H%M%S') AS snapshot
-      FROM range(12) r(k))"""
+SELECT export_name, true AS ok, records, false AS has_error, false AS run_published FROM ({counts})
+UNION ALL
+SELECT 'broken_export', false, NULL, true, false"""
+    codec_count = f"SELECT 'codec_scripts' AS export_name, codec_count AS records FROM ({ex['codec_count']})"
+    q["list_exports"] = f"""
+SELECT export_name AS name, export_name || '/snapshot={RUN_ID}' AS filename, true AS has_bytes, true AS has_files
+FROM ({counts} UNION ALL {codec_count})"""
+    q["manifest"] = f"SELECT export_name AS name, true AS has_files, records FROM ({counts} UNION ALL {codec_count})"
+    filled = "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS export_name, (SELECT COUNT(*) FROM ({ex[n]})) AS records, (SELECT COUNT(*) FROM (UNPIVOT "
+        f"(SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({ex[n]})) ON COLUMNS(*) INTO NAME c VALUE v) WHERE v <> '') AS filled_values"
+        for n in RUN_EXPORTS)
+    q["run_csv"] = filled
+    q["run_json"] = filled
+    q["fetch_export"] = f"SELECT *, COUNT(*) OVER () AS total_records FROM ({ex['tenant_user_roles']})"
+    q["fetch_codec"] = f"SELECT codec_file, script_chars FROM ({q['codec_by_name']}) WHERE with_suffix ORDER BY regexp_replace(codec_file, '\\.js$', '') LIMIT 1"
+    q["retention"] = with_ctes(("f_tenant", "f_gateway"), f"""
+SELECT strftime(taken, '%Y%m%d_%H%M%S') AS snapshot, CAST(k + 1 AS INTEGER) AS rank, true AS keep,
+       (SELECT COUNT(*) FROM f_tenant) AS tenants,
+       (SELECT COUNT(*) FROM f_gateway g SEMI JOIN f_tenant t ON t.id = g.tenant_id) AS gateways,
+       (SELECT COUNT(*) FROM f_gateway g SEMI JOIN f_tenant t ON t.id = g.tenant_id
+        WHERE epoch(taken) - epoch(g.last_seen_at) < 300) AS online
+FROM (SELECT k, {AS_OF} - to_hours(CAST(k AS INTEGER)) AS taken FROM range(10) r(k))""")
     keys_eq = "o.source_server = n.source_server AND o.device_eui = n.device_eui"
     q["upsert_devices"] = _device_snapshots() + f"""
 SELECT * FROM new

@@ -63,7 +63,9 @@ SELECT (SELECT COUNT(*) FROM ds) AS tenants,
        (SELECT n FROM codecs) AS codecs_available, '{EXPORT_DATE}' AS last_export,
        (SELECT COUNT(*) FROM f_server) AS servers""")
     q["device_status_breakdown"] = with_ctes(("f_device",), f"""
-SELECT COALESCE({DEVICE_ACTIVITY}, 'Unknown') AS status, COUNT(*) AS count FROM f_device d GROUP BY 1""")
+SELECT {DEVICE_ACTIVITY} AS status, COUNT(*) AS count FROM f_device d GROUP BY 1
+UNION ALL
+SELECT 'Disabled', COUNT(*) FROM f_device WHERE is_disabled HAVING COUNT(*) > 0""")
     q["gateway_status_breakdown"] = with_ctes(("f_gateway",), f"""
 SELECT COALESCE({_connection("g")}, 'Unknown') AS status, COUNT(*) AS count FROM f_gateway g GROUP BY 1""")
     q["devices_per_tenant"] = with_ctes(DEVICE_SUMMARY_CTES, f"""
@@ -83,6 +85,14 @@ FROM (SELECT * FROM hits ORDER BY device_name, device_eui LIMIT 100) h""")
     q["device_search"] = search_base.replace("\n, m AS", ", m AS", 1)
     q["devices_page"] = with_ctes(DEVICES_CTES, f"""
 SELECT * FROM ({DEVICES_SELECT}) ORDER BY device_name, device_eui LIMIT 100 OFFSET 200""")
+    q["page_walk"] = with_ctes(("f_device",), f"""
+SELECT device_eui, device_name, CAST(1 + (row_number() OVER (ORDER BY device_name NULLS LAST, device_eui) - 1) // 500 AS INTEGER) AS page
+FROM (SELECT {_hex("dev_eui")} AS device_eui, name AS device_name FROM f_device)""")
+    from oracle_lifecycle import RUN_EXPORTS
+    q["page_metadata"] = "\nUNION ALL\n".join(f"""
+SELECT '{n}' AS export_name, total, 3 AS page, 100 AS page_limit, CAST((total + 99) // 100 AS BIGINT) AS total_pages,
+       CASE WHEN total > 300 THEN 4 END AS next_page, 2 AS previous_page
+FROM (SELECT COUNT(*) AS total FROM ({ex[n]}))""" for n in RUN_EXPORTS)
     q["online_gateways"] = with_ctes(("f_gateway", "f_tenant"), f"""
 SELECT * FROM ({GATEWAYS_SELECT}) WHERE connection_status = 'Online'""")
     q["active_device_count"] = with_ctes(("f_device",), f"""
@@ -144,12 +154,12 @@ WHERE d.application_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM f_application a
     q["combined_servers"] = with_ctes(("f_application", "f_tenant", "f_server"), f"""
 SELECT CAST(a.id AS VARCHAR) AS application_id, a.name AS application_name, a.description,
        t.name AS tenant_name, CAST(a.tenant_id AS VARCHAR) AS tenant_id, a.created_at, a.updated_at,
-       s.name AS source_server, '{RUN_ID}' AS export_timestamp
-FROM f_application a JOIN f_tenant t ON a.tenant_id = t.id JOIN f_server s ON t.server_id = s.id""")
+       COALESCE(s.name, 'unassigned') AS source_server, '{RUN_ID}' AS export_timestamp
+FROM f_application a LEFT JOIN f_tenant t ON a.tenant_id = t.id LEFT JOIN f_server s ON t.server_id = s.id""")
     q["by_server"] = with_ctes(("f_application", "f_tenant", "f_server"), """
-SELECT s.name AS source_server, COUNT(*) AS row_count
-FROM f_application a JOIN f_tenant t ON a.tenant_id = t.id JOIN f_server s ON t.server_id = s.id
-GROUP BY s.name""")
+SELECT COALESCE(s.name, 'unassigned') AS source_server, COUNT(*) AS row_count
+FROM f_application a LEFT JOIN f_tenant t ON a.tenant_id = t.id LEFT JOIN f_server s ON t.server_id = s.id
+GROUP BY 1""")
     q["age_labels"] = with_ctes(("f_gateway",), f"""
 SELECT {_hex("gateway_id")} AS gateway_eui, last_seen_at, {_age_label("last_seen_at")} AS age_label
 FROM f_gateway""")

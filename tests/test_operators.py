@@ -1,3 +1,5 @@
+from decimal import Decimal
+
 """Joins, aggregations, paging, search and restriction on small frames."""
 
 from datetime import datetime, timedelta
@@ -143,11 +145,16 @@ def test_avg_round_half_up_and_empty(spark):
 
 
 def test_page_after_keyset(spark):
-    from fleetlens.operators.ordering import page_after
-    df = spark.createDataFrame([(k,) for k in ["b", "a", "d", "c", None]], "k string")
-    assert [r.k for r in page_after(df, "k", None, 2).collect()] == ["a", "b"]
-    assert [r.k for r in page_after(df, "k", "b", 2).collect()] == ["c", "d"]
-    assert page_after(df, "k", "d", 2).count() == 0
+    from fleetlens.operators.ordering import page_after, sort_export
+    rows = [("a", 1), ("a", 2), ("a", 3), ("b", 4), (None, 5), (None, 6), ("", 7)]
+    df = spark.createDataFrame(rows, "k string, id int")
+    for keys in (["k", "id"], [("k", "desc"), "id"], [("k", "desc"), ("id", "desc")]):
+        seen, after = [], None
+        while page := page_after(df, keys, after, 2).collect():
+            seen += page
+            after = page[-1].asDict()
+        whole = [tuple(r) for r in sort_export(df, keys).collect()]
+        assert [tuple(r) for r in seen] == whole and len(seen) == len(rows)  # ties and NULL keys once each
 
 
 def test_sum_columns_parses_text(spark):
@@ -155,3 +162,18 @@ def test_sum_columns_parses_text(spark):
     df = spark.createDataFrame([("3", 2), ("x", 5), (None, None)], "a string, b int")
     r = sum_columns(df, {"total_a": "a", "total_b": "b"}).first()
     assert (r.total_a, r.total_b) == (3, 7)      # malformed text counts as nothing
+
+
+def test_average_is_rounded_once(spark):
+    from fleetlens.operators.aggs import avg_round
+    df = spark.createDataFrame([(Decimal("468999.91"), 200000), (Decimal("-468999.91"), 200000), (Decimal("0.01"), 2),
+                                (Decimal("5"), 0), (None, 3)], "total decimal(12,2), n long")
+    got = [r[0] for r in df.select(avg_round(F.col("total"), F.col("n"))).collect()]
+    assert got == [2.34, -2.34, 0.01, None, None]  # 2.34499955 is not 2.345 first
+
+
+def test_content_hash_keeps_values_apart(spark):
+    from fleetlens.operators.setops import diff
+    old = spark.createDataFrame([(1, "a\u0001Vb", "c")], "id int, x string, y string")
+    new = spark.createDataFrame([(1, "a", "b\u0001Vc")], "id int, x string, y string")
+    assert diff(old, new, ["id"]).first().change == "changed"
