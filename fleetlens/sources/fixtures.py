@@ -17,13 +17,12 @@ from fleetlens.sources.tables import LazyTables
 DAY_SHIFT = 8217                     # 2001-08-01 + 8217 days = 2024-01-30
 ORPHAN_TENANT_NATION = 24            # customer of this nation -> no tenant
 ORPHAN_DEVICE_MODULUS = 97           # orderkey % 97 = 0 -> application -1
-DEVICE_SKIP_CUSTKEY = (20, 7)        # custkey % 20 = 7 -> no device
-TENANT_USER_SHIPDATE = "1995-02-15"  # bridge rows shipped before this day
-TENANT_USER_SKIP_SUPPKEY = (10, 3)   # suppkey % 10 = 3 -> user without tenant
+CHILDLESS_CUSTKEY = (20, 7)          # custkey % 20 = 7 -> its devices have application -1
+NO_SUCH_USER = (10, 3)               # suppkey % 10 = 3 -> bridge rows of a user that does not exist
+KEYLESS_MODULUS = 3                  # orderkey % 3 = 0 -> keys of a device that does not exist
+NO_SUCH_DEVICE = 1 << 40             # added to such a key
 PROFILE_BLANK_MODULUS = 50           # partkey % 50 = 0 -> script of 3 spaces
-MULTICAST_MAX_SIZE = 5               # parts with p_size <= 5 are groups
 RELAY_NEVER_MODULUS = 9              # suppkey % 9 = 0 -> relay never seen
-FUOTA_MODULUS = 10                   # orderkey % 10 = 0 -> deployment
 
 
 def eui8(c: Column) -> Column:
@@ -94,8 +93,8 @@ def _order_lines(t: dict) -> DataFrame:
 
 
 def _device(t: dict) -> DataFrame:
-    mod, rem = DEVICE_SKIP_CUSTKEY
-    o = t["orders"].filter(F.col("o_custkey") % mod != rem)
+    mod, rem = CHILDLESS_CUSTKEY
+    o = t["orders"]
     lines = t["order_lines"].select("l_orderkey", "first_partkey")
     d = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
     key = F.col("o_orderkey")
@@ -103,7 +102,7 @@ def _device(t: dict) -> DataFrame:
     return d.select(
         eui8(key).alias("dev_eui"),
         eui8(F.col("o_custkey")).alias("join_eui"),
-        F.when(key % ORPHAN_DEVICE_MODULUS == 0, F.lit(-1).cast("bigint"))
+        F.when((key % ORPHAN_DEVICE_MODULUS == 0) | (F.col("o_custkey") % mod == rem), F.lit(-1).cast("bigint"))
          .otherwise(F.col("o_custkey")).alias("application_id"),
         F.col("first_partkey").alias("device_profile_id"),
         F.concat(F.lit("dev-"), _s(key)).alias("name"),
@@ -131,10 +130,10 @@ def _device(t: dict) -> DataFrame:
 
 
 def _device_keys(t: dict) -> DataFrame:
-    o = t["orders"].filter(F.col("o_orderkey") % 3 != 0)
-    k = _s(F.col("o_orderkey"))
-    return o.select(
-        eui8(F.col("o_orderkey")).alias("dev_eui"),
+    key = F.col("o_orderkey")
+    k = _s(key)
+    return t["orders"].select(
+        eui8(F.when(key % KEYLESS_MODULUS == 0, key + NO_SUCH_DEVICE).otherwise(key)).alias("dev_eui"),
         F.unhex(F.md5(k)).alias("app_key"),
         F.unhex(F.md5(F.concat(k, F.lit("-nwk")))).alias("nwk_key"),
     )
@@ -217,11 +216,9 @@ def _user(t: dict) -> DataFrame:
 
 
 def _tenant_user(t: dict) -> DataFrame:
-    mod, rem = TENANT_USER_SKIP_SUPPKEY
-    li = (t["lineitem"]
-          .filter((F.col("l_shipdate") < ts(f"{TENANT_USER_SHIPDATE} 00:00:00"))
-                  & (F.col("l_suppkey") % mod != rem))
-          .select("l_orderkey", "l_suppkey"))
+    mod, rem = NO_SUCH_USER
+    supp = F.col("l_suppkey")
+    li = t["lineitem"].select("l_orderkey", F.when(supp % mod == rem, -supp).otherwise(supp).alias("l_suppkey"))
     o = t["orders"].select("o_orderkey", "o_custkey")
     c = t["customer"].select("c_custkey", "c_nationkey")
     pairs = (li.join(o, li["l_orderkey"] == o["o_orderkey"])
@@ -251,7 +248,7 @@ def _application_integration(t: dict) -> DataFrame:
 
 
 def _multicast_parts(t: dict) -> DataFrame:
-    return t["part"].filter(F.col("p_size") <= MULTICAST_MAX_SIZE)
+    return t["part"]
 
 
 def _multicast_group(t: dict) -> DataFrame:
@@ -275,10 +272,7 @@ def _multicast_group(t: dict) -> DataFrame:
 
 
 def _multicast_group_device(t: dict) -> DataFrame:
-    p = t["multicast_parts"].select("p_partkey")
-    li = t["lineitem"].select("l_partkey", "l_orderkey", "l_shipdate")
-    j = li.join(p, li["l_partkey"] == p["p_partkey"], "left_semi")
-    g = j.groupBy("l_partkey", "l_orderkey").agg(F.min("l_shipdate").alias("created_at"))
+    g = t["lineitem"].groupBy("l_partkey", "l_orderkey").agg(F.min("l_shipdate").alias("created_at"))
     return g.select(
         F.col("l_partkey").alias("multicast_group_id"),
         eui8(F.col("l_orderkey")).alias("dev_eui"),
@@ -317,8 +311,7 @@ def _api_key(t: dict) -> DataFrame:
 
 
 def _relay_device(t: dict) -> DataFrame:
-    g = (t["lineitem"].filter(F.col("l_returnflag") == "R")
-         .groupBy("l_suppkey", "l_orderkey")
+    g = (t["lineitem"].groupBy("l_suppkey", "l_orderkey")
          .agg(F.min("l_shipdate").alias("created_at")))
     return g.select(
         eui8(F.col("l_suppkey")).alias("relay_dev_eui"),
@@ -347,7 +340,7 @@ def _relay_gateway(t: dict) -> DataFrame:
 
 
 def _fuota_deployment(t: dict) -> DataFrame:
-    o = t["orders"].filter(F.col("o_orderkey") % FUOTA_MODULUS == 0)
+    o = t["orders"]
     lines = t["order_lines"]
     j = o.join(lines, o["o_orderkey"] == lines["l_orderkey"], "left")
     key = F.col("o_orderkey")

@@ -14,16 +14,16 @@ from fleetlens.functions.exprs import device_activity, gateway_connection, non_b
 
 # The counts table of FIXTURES.md, per scale factor.
 EXPECTED = {
-    "sf0.001": dict(sizes=(1410, 150, 150), device=(1, 6, 1122, 281), gateway=(0, 1, 14, 135),
-                    relay=(0, 0, 8, 2), childless_orphans=(8, 15), profiles=(200, 0, 4, 164),
-                    no_profile=27, users_without_tenant=1, queue=(398, 401, 201), fuota=(49, 54, 47)),
-    "sf0.01": dict(sizes=(14225, 1500, 1500), device=(1, 39, 11323, 2862), gateway=(1, 12, 137, 1350),
-                   relay=(1, 10, 77, 12), childless_orphans=(75, 145), profiles=(2000, 1000, 20, 977),
-                   no_profile=236, users_without_tenant=10, queue=(3988, 3998, 2014), fuota=(475, 483, 542)),
-    "sf0.1": dict(sizes=(142500, 15000, 15000), device=(51, 289, 113767, 28393),
-                  gateway=(12, 108, 1380, 13500), relay=(7, 55, 826, 112), childless_orphans=(751, 1469),
-                  profiles=(20000, 10000, 200, 9775), no_profile=2624, users_without_tenant=100,
-                  queue=(39804, 40386, 19810), fuota=(4884, 4875, 5241)),
+    "sf0.001": dict(sizes=(1500, 150, 150), device=(1, 8, 1194, 297), gateway=(0, 1, 14, 135),
+                    relay=(0, 0, 8, 2), childless_orphans=(8, 105), profiles=(200, 0, 4, 168),
+                    no_profile=27, users_without_tenant=1, queue=(398, 401, 201), fuota=(484, 507, 509)),
+    "sf0.01": dict(sizes=(15000, 1500, 1500), device=(1, 42, 11937, 3020), gateway=(1, 12, 137, 1350),
+                   relay=(1, 10, 77, 12), childless_orphans=(75, 920), profiles=(2000, 1000, 20, 977),
+                   no_profile=257, users_without_tenant=10, queue=(3988, 3998, 2014), fuota=(4859, 4884, 5257)),
+    "sf0.1": dict(sizes=(150000, 15000, 15000), device=(56, 306, 119718, 29920),
+                  gateway=(12, 108, 1380, 13500), relay=(7, 55, 826, 112), childless_orphans=(751, 8969),
+                  profiles=(20000, 10000, 200, 9780), no_profile=2764, users_without_tenant=100,
+                  queue=(39804, 40386, 19810), fuota=(48735, 49198, 52067)),
 }
 SCALES = ["sf0.001", "sf0.01"] + (["sf0.1"] if os.environ.get("FLEETLENS_BIG") else [])
 

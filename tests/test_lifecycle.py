@@ -137,7 +137,7 @@ def test_refresh_keeps_newest_runs(spark):
     runs = sorted(r.run_id for r in snap.published_runs(spark, root).collect())
     assert runs == ["20240102_120000", "20240103_120000"]
     assert sorted(r.snapshot for r in snap.list_snapshots(spark, root, "devices").collect()) == runs
-    assert snap.read_snapshot(spark, root, "devices").count() == 1410
+    assert snap.read_snapshot(spark, root, "devices").count() == 1500
 
 
 def test_read_api_over_published_root(spark):
@@ -147,17 +147,17 @@ def test_read_api_over_published_root(spark):
     t = open_fleet(spark, "/root/testdata/sf0.001")
     assert snap.refresh(spark, t, RunContext(as_of=datetime(2024, 1, 30, 23, 58)), root).published
     info, rows = read_api.export_page(spark, root, "devices.json", page=2, limit=100)
-    assert (info.total, info.total_pages, info.next_page, info.previous_page) == (1410, 15, 3, 1)
+    assert (info.total, info.total_pages, info.next_page, info.previous_page) == (1500, 15, 3, 1)
     names = [r.device_name for r in rows.collect()]
     assert len(names) == 100 and names == sorted(names)
     total, hits = read_api.search_devices(spark, root, "DEV-1")
     assert total > 100 and hits.count() == 100
     listing = read_api.codecs(spark, root)
-    assert listing.count() == 164
+    assert listing.count() == 168
     first = listing.orderBy("name").first()
     assert read_api.codec(spark, root, first.name).count() == 1
     st = read_api.stats(spark, root)
-    assert st.exports_available == 20 and st.codecs_available == 164
+    assert st.exports_available == 20 and st.codecs_available == 168
     assert st.device_summary.count() == 25
     assert read_api.health(spark, root).first().status == "ok"
 
@@ -176,7 +176,7 @@ def test_exports_on_an_older_schema(spark):
     old_dev = {r.device_eui: r.frame_counter_up for r in EXPORTS["devices"].build(old, ctx).collect()}
     assert old_dev == new_dev
     mg = EXPORTS["multicast_groups"].build(old, ctx)
-    assert mg.filter("class_b_ping_slot_periodicity IS NOT NULL").count() == 0 and mg.count() == 25
+    assert mg.filter("class_b_ping_slot_periodicity IS NOT NULL").count() == 0 and mg.count() == 200
 
     without = {n: base[n] for n in base if n != "fuota_deployment"}
     empty = EXPORTS["fuota_deployments"].build(without, ctx)
@@ -224,7 +224,7 @@ def test_stream_sync_from_archive_layout(spark):
         assert snap.run_exports(spark, t, c, root, ("devices",), with_codecs=False).published
         sync_stream(spark, f"{root}/archive/devices", target, keys, schema, ckpt)
     out = read_target(spark, target)
-    assert out.count() == 1410
+    assert out.count() == 1500
     assert {r[0] for r in out.select("export_timestamp").distinct().collect()} == {"20240130_235800"}
 
 
