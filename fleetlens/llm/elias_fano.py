@@ -136,7 +136,7 @@ def quantise(values: np.ndarray, bins: int = 255) -> tuple[np.ndarray, np.ndarra
 class NgramTrie:
     """Words, and under each word its successors with their probability.
 
-    Level 0 is the sorted word hashes and, as monotone pointers, where each
+    Level 0 is the sorted word numbers and, as monotone pointers, where each
     word's successors start in level 1. Level 1 holds successors as positions
     in level 0, made monotone by adding what the words before have used, so a
     successor is searched relative to its context. Probabilities are codes.
@@ -149,8 +149,8 @@ class NgramTrie:
 
     @staticmethod
     def build(words: np.ndarray, context: np.ndarray, successor: np.ndarray, log_p: np.ndarray) -> bytes:
-        """From sorted distinct word hashes (below 2^48) and the bigrams sorted
-        by context and successor (positions in ``words``)."""
+        """From sorted distinct word numbers and the bigrams sorted by context
+        and successor (positions in ``words``)."""
         n = len(words)
         starts = np.searchsorted(context, np.arange(n + 1))
         # each context's successors lie above the largest value of the context before
@@ -160,7 +160,7 @@ class NgramTrie:
         base = np.cumsum(last)[:-1]
         values = base[context] + successor
         codes, book = quantise(log_p)
-        return write_arrays([*EliasFano.parts(words, 1 << 48), *EliasFano.parts(starts, len(context) + 1),
+        return write_arrays([*EliasFano.parts(words, int(words[-1]) + 1 if n else 1), *EliasFano.parts(starts, len(context) + 1),
                              *EliasFano.parts(values, int(values[-1]) + 1 if len(values) else 1), codes, book])
 
     def ranges(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -172,7 +172,7 @@ class NgramTrie:
         return lo, hi, base
 
     def codes_of(self, contexts: np.ndarray, which: np.ndarray, successors: np.ndarray) -> np.ndarray:
-        """Codes of bigrams ``(contexts[which], successors)`` of word hashes; 0 if not there."""
+        """Codes of bigrams ``(contexts[which], successors)`` of word numbers; 0 if not there."""
         out = np.zeros(len(which), dtype=np.uint8)
         if not self.successors.n:
             return out

@@ -10,7 +10,8 @@ with counts from the training documents; ``v`` is the word before or the start.
 Seen bigrams' ``log10 p(x|v)`` are quantised to 8 bits in tries; unseen ones
 back off exactly.
 
-The model is dealt by bigram hash to shards, so a word that follows or precedes
+Words get dense numbers from the shard that counts them, small ones for
+frequent words. The model is dealt by bigram hash to shards, so a word that follows or precedes
 a third of everything is spread over all of them. Documents are tokenised once
 in batches of at most ``BATCH_TOKENS`` tokens (or one document); a batch sends
 each shard its distinct words, later its distinct bigrams, with their training
@@ -40,7 +41,7 @@ from fleetlens.llm.elias_fano import NgramTrie, read_arrays, write_arrays
 from fleetlens.llm.shingles import mix, word_hashes
 from fleetlens.session import scratch_path
 
-BATCH_TOKENS = 1_500_000
+BATCH_TOKENS = 1_000_000
 MU = 4.0
 END, START = np.uint64(1), np.uint64(2)
 _U64 = np.uint64
@@ -59,6 +60,15 @@ def _planes(a: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(a.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
 
 
+def _wide_planes(a: np.ndarray) -> np.ndarray:
+    """As :func:`_planes`, for 8 bytes."""
+    return np.ascontiguousarray(a.astype("<i8").view(np.uint8).reshape(-1, 8).T).ravel()
+
+
+def _join_wide_planes(p: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(p.reshape(8, -1).T).view("<i8").ravel()
+
+
 def _join_planes(p: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(p.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
@@ -165,26 +175,39 @@ def _answers(kind, rows):
                     names=["kind", "batch", "shard", "distinct", "data"])
 
 
-def _count_words(key, table):
-    """Training count of every word asked for; the first row says how many the shard has."""
+def _count_words(shards: int):
+    """Training count and number of every word asked for; the first row says
+    how many words with a count the shard has. A shard numbers its words from
+    the most frequent on, in steps of ``shards``; 0 is the start."""
+    def run(key, table):
+        return _answer_words(shards, key, table)
+    return run
+
+
+def _answer_words(shards: int, key, table):
     asked = [_unpack(d) for d in table.column("data").to_pylist()]
     words, inverse = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
     total = np.bincount(inverse, weights=np.concatenate([a[1] for a in asked])).astype("<u4")
-    rows, at, distinct = [], 0, int((total > 0).sum())
+    rows, at, distinct, shard = [], 0, int((total > 0).sum()), key[0].as_py()
+    number = np.empty(len(total), np.int64)
+    number[np.argsort(-total.astype(np.int64), kind="stable")] = np.arange(len(total)) * shards + shard + 1
     for batch, a in zip(table.column("batch").to_pylist(), asked):
-        rows.append((batch, key[0].as_py(), distinct, _pack([total[inverse[at: at + len(a[0])]]])))
+        mine = inverse[at: at + len(a[0])]
+        rows.append((batch, shard, distinct, _pack([_planes(total[mine]), _wide_planes(number[mine])])))
         distinct, at = 0, at + len(a[0])
     return _answers(0, rows)
 
 
-def _counts_of(t: _Batch, answers, shards: int) -> np.ndarray:
-    """Training counts of the batch's words."""
+def _counts_of(t: _Batch, answers, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """Training counts and numbers of the batch's words."""
     order, cut = t.word_shards(shards)
-    out = np.zeros(len(t.words), np.int64)
+    counts, numbers = np.zeros((2, len(t.words)), np.int64)
     for r in answers:
         if r["kind"] == 0:
-            out[order[cut[r["shard"]]: cut[r["shard"] + 1]]] = _unpack(r["data"])[0]
-    return out
+            mine = order[cut[r["shard"]]: cut[r["shard"] + 1]]
+            c, n = _unpack(r["data"])
+            counts[mine], numbers[mine] = _join_planes(c), _join_wide_planes(n)
+    return counts, numbers
 
 
 def _send_bigrams(shards: int, docs: int):
@@ -192,22 +215,22 @@ def _send_bigrams(shards: int, docs: int):
         rows = []
         for r in left.to_pylist():
             t = _Batch(r["data"])
-            counts = np.append(_counts_of(t, right.to_pylist(), shards), docs)  # every training document has one start
-            hashes = np.append(t.words, START) & _U64((1 << 48) - 1)
+            counts, numbers = _counts_of(t, right.to_pylist(), shards)
+            counts, numbers = np.append(counts, docs), np.append(numbers, 0)  # every training document has one start
             cut, v, x, number = t.bigrams(shards)
             train = np.bincount(number[t.train], minlength=len(v))
             for s in range(shards):
                 a, z = cut[s], cut[s + 1]
                 if a < z:
                     used, both = np.unique(np.concatenate([v[a:z], x[a:z]]), return_inverse=True)
-                    rank = np.argsort(np.argsort(hashes[used], kind="stable"), kind="stable")
-                    words = np.empty(len(used), _U64)
-                    words[rank] = hashes[used]
-                    c = np.empty(len(used), np.int64)
-                    c[rank] = counts[used]
-                    low, high = words.astype("<u4"), (words >> _U64(32)).astype("<u2")
-                    rows.append((s, r["batch"], _pack([low, high, _planes(c), _planes(rank[both[: z - a]]),
-                                                       _planes(rank[both[z - a:]]), _planes(train[a:z])])))
+                    order = np.argsort(numbers[used])
+                    rank = np.empty_like(order)
+                    rank[order] = np.arange(len(order))
+                    left_, right_ = rank[both[: z - a]], rank[both[z - a:]]
+                    sort = np.argsort(left_, kind="stable")  # contexts in steps; the answer comes in this order
+                    rows.append((s, r["batch"], _pack([
+                        _wide_planes(np.diff(numbers[used][order], prepend=0)), _planes(counts[used][order]),
+                        _planes(np.diff(left_[sort], prepend=0)), _planes(right_[sort]), _planes(train[a:z][sort])])))
         return pa.Table.from_batches([_sent(rows)])
     return run
 
@@ -217,17 +240,17 @@ def _trie_shard(folder: str, total: int, distinct: int):
     def run(key, table):
         shard = key[0].as_py()
         asked = [_unpack(d) for d in table.column("data").to_pylist()]
-        words = [a[0].astype(_U64) | a[1].astype(_U64) << _U64(32) for a in asked]
-        counts = [_join_planes(a[2]) for a in asked]
+        words = [np.cumsum(_join_wide_planes(a[0])) for a in asked]
+        counts = [_join_planes(a[1]) for a in asked]
         vocabulary, at = np.unique(np.concatenate(words), return_index=True)
         c = np.concatenate(counts)[at]
         n = len(vocabulary)
         keys = []
         for w, a in zip(words, asked):
             ids = np.searchsorted(vocabulary, w)
-            keys.append(ids[_join_planes(a[3])] * n + ids[_join_planes(a[4])])
+            keys.append(ids[np.cumsum(_join_planes(a[2]))] * n + ids[_join_planes(a[3])])
         kinds, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        train = np.bincount(inverse, weights=np.concatenate([_join_planes(a[5]) for a in asked]))
+        train = np.bincount(inverse, weights=np.concatenate([_join_planes(a[4]) for a in asked]))
         v, x = kinds // n, kinds % n
         seen = train > 0
         p1 = (c[x] + 1) / (total + distinct + 1)
@@ -269,14 +292,15 @@ def _score_batches(shards: int, docs: int, total: int, distinct: int):
         answers = right.to_pylist()
         for r in left.to_pylist():
             t = _Batch(r["data"])
-            counts = _counts_of(t, answers, shards)
+            counts, numbers = _counts_of(t, answers, shards)
             log_1 = np.log10((counts + 1) / (total + distinct + 1))
             cut, v, x, number = t.bigrams(shards)
             log_p = np.log10(MU / (np.append(counts, docs)[v] + MU)) + log_1[x]  # unseen bigrams
             for a in answers:
                 if a["kind"] == 1:
                     codes, book = _unpack(a["data"])
-                    part = slice(cut[a["shard"]], cut[a["shard"] + 1])
+                    part = np.arange(cut[a["shard"]], cut[a["shard"] + 1])
+                    part = part[np.argsort(np.append(numbers, 0)[v[part]], kind="stable")]  # the order it was sent in
                     log_p[part] = np.where(codes > 0, book[codes], log_p[part])
             base = np.add.reduceat(log_1[t.tokens], t.first)
             score = np.add.reduceat(log_p[number], t.first)
@@ -293,11 +317,11 @@ def _score_batches(shards: int, docs: int, total: int, distinct: int):
 def score_documents(docs: DataFrame, held_out, shards: int | None = None) -> DataFrame:
     """Scores of all documents by a model of those that are not ``held_out`` (a column)."""
     spark = docs.sparkSession
-    n = shards or 2 * shuffle_partitions(spark)
+    n = shards or shuffle_partitions(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held"), F.col("text").cast("string").alias("text"))
     made = staged(rows.mapInArrow(_tokenise, _BATCHES), "lm-batches")
     sent = made.select("batch", "data").mapInArrow(_send_words(n), _SENT)
-    words = staged(sent.groupBy("shard").applyInArrow(_count_words, _ANSWERS), "lm-words")
+    words = staged(sent.groupBy("shard").applyInArrow(_count_words(n), _ANSWERS), "lm-words")
     total = made.agg(F.sum("n_train")).first()[0] or 0
     distinct = words.agg(F.sum("distinct")).first()[0] or 0
     train_docs = docs.filter(~held_out).count()
