@@ -24,11 +24,15 @@ have more than ``D``; both sides of a pair then meet at the level at which the
 first of them passes.
 
 *Verify.* Documents with equal sets are one (copies in one batch at once, the
-others by set hash). In each segment's group the members are compared with the
-smallest member, first one comparison per document, then one per group; links
-are contracted to components, and only pairs of different components in a group
-are compared in full. So a large group of near copies costs about one
-comparison per document, and no link between different components is missed.
+others by set hash). Each document is first compared with the smallest member
+of its segments' groups, so a large group of near copies costs one comparison
+per document; links are contracted to components. Members of different
+components in a group are then held against each other by a sketch of single
+bits, 4 to 8 per shingle: its Hamming distance bounds the symmetric difference
+from below and rules out nearly all pairs that do not link, inside the task.
+First each document's nearest partner left is verified, then every pair left
+between components. Large groups are dealt in blocks of ``BLOCK`` members. No
+link between different components is missed.
 
 Sketch segments travel as packed arrays between batches of documents and hash
 shards, both of bounded size. Defined results: null or wordless text has an
@@ -51,6 +55,8 @@ from fleetlens.llm.shingles import mix, shingle_set
 
 BATCH_DOCS = 4_096
 BATCH_SHINGLES = 1_000_000
+#: Members of a segment's group that one task compares with as many others.
+BLOCK = 1024
 #: Segments per band: so many times the largest symmetric difference.
 SPREAD = 1.25
 _U64 = np.uint64
@@ -88,7 +94,7 @@ def sketches(hashes: np.ndarray):
         most, level = largest_difference(n, c), 0
         while True:
             keys = sketch(hashes, c, level)
-            yield keys, most
+            yield keys, most, c
             if len(keys) > most or level >= 24:
                 break
             level += 1
@@ -137,10 +143,10 @@ def _sketcher(shards: int):
                         ref = known[digest] = (batch << 15) + len(known)
                         h1, h2 = np.frombuffer(digest, "<i8").tolist()
                         rows.append((SET, batch, None, ref, doc_id, len(hashes), h1, h2, None))
-                        for k, most in sketches(hashes):
+                        for k, most, c in sketches(hashes):
                             keys.append(k)
                             unit_keys.append(len(k))
-                            units.append((ref & 0x7FFF, most))
+                            units.append((ref & 0x7FFF, most, c))
                 rows.append((DOC, batch, None, ref, doc_id, len(hashes), None, None, None))
                 if len(rows) >= 10_000:
                     yield _rows(rows)
@@ -156,7 +162,7 @@ def _sketcher(shards: int):
                     a, z = cut[s], cut[s + 1]
                     if a < z:
                         rows.append((KEYS, batch, s, None, None, int(z - a), None, None, _pack(every[a:z], unit[a:z])))
-                meta = np.array([(u, m, k) for (u, m), k in zip(units, unit_keys)], "<i4")
+                meta = np.array([(u, m, k, c) for (u, m, c), k in zip(units, unit_keys)], "<i4")
                 rows.append((UNITS, batch, None, None, None, len(units), None, None, meta.tobytes()))
             yield _rows(rows)
     return run
@@ -201,11 +207,11 @@ def _shared_keys(key, table):
 
 def _prefixes(key, left, right):
     """Of one batch: the shared keys among the first ``D + 1`` of every set that can have a partner."""
-    none = pa.table({"key": pa.array([], pa.int64()), "ref": pa.array([], pa.int64())})
+    none = pa.table({c: pa.array([], k) for c, k in (("key", pa.int64()), ("ref", pa.int64()), ("band", pa.int32()))})
     if not left.num_rows or not right.num_rows:
         return none
     batch = key[0].as_py()
-    meta = np.frombuffer(left.column("data")[0].as_py(), "<i4").reshape(-1, 3).astype(np.int64)
+    meta = np.frombuffer(left.column("data")[0].as_py(), "<i4").reshape(-1, 4).astype(np.int64)
     keys, units, often = [], [], []
     for d in right.column("data").to_pylist():
         n = len(d) // 16
@@ -222,7 +228,90 @@ def _prefixes(key, left, right):
     first = np.searchsorted(units, units, side="left")
     keep = np.arange(len(units)) - first < room[units]
     return pa.table({"key": pa.array(keys[keep].view(np.int64), pa.int64()),
-                     "ref": pa.array((batch << 15) + meta[units[keep], 0], pa.int64())})
+                     "ref": pa.array((batch << 15) + meta[units[keep], 0], pa.int64()),
+                     "band": pa.array(meta[units[keep], 3], pa.int32())})
+
+
+def parity_bits(hashes: np.ndarray, band: int) -> np.ndarray:
+    """The sketch of single bits, as 64-bit words."""
+    width = max(6, band + 3)
+    at = mix(hashes ^ _U64(0x2545F4914F6CDD1D)) >> _U64(64 - width)
+    return np.packbits(np.bincount(at.astype(np.int64), minlength=1 << width).astype(np.uint8) & 1).view("<u8")
+
+
+def _bit_sketches(batches):
+    for b in batches:
+        rows = []
+        for ref, data in zip(b.column("ref").to_pylist(), b.column("hashes").to_pylist()):
+            hashes = np.frombuffer(data, "<u8")
+            n = len(hashes)
+            band = n.bit_length() - 1
+            for c in (band, band + 1):
+                if c == band or 4 * n // 3 >= 1 << c:
+                    rows.append((ref, c, n, parity_bits(hashes, c).tobytes()))
+        cols = list(zip(*rows)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))],
+                                         ["ref", "band", "n", "bits"])
+
+
+def _candidates_of(rows: list[tuple], nearest: bool) -> set[tuple[int, int]]:
+    """Pairs of one group, or of two blocks of it, that the bits do not rule
+    out; only the nearest of each member if ``nearest``."""
+    if len({r[2] for r in rows}) < 2:
+        return set()
+    ref, side, root, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
+    bits = np.frombuffer(b"".join(r[4] for r in rows), "<u8").reshape(len(rows), -1)
+    out = set()
+    for i in range(len(rows)):
+        j = np.flatnonzero((root != root[i]) & ((side == 2) | (side != side[i]))
+                           & (np.minimum(n, n[i]) * 100 >= 75 * np.maximum(n, n[i])))
+        if not nearest:
+            j = j[ref[j] > ref[i]]
+        if len(j):
+            apart = np.bitwise_count(bits[j] ^ bits[i]).sum(axis=1, dtype=np.int64)
+            fits = apart <= (n[j] + n[i]) // 7
+            if fits.any():
+                found = ref[j[fits]]
+                if nearest:
+                    found = found[[np.lexsort((found, apart[fits]))[0]]]
+                out.update((min(int(ref[i]), int(x)), max(int(ref[i]), int(x))) for x in found)
+    return out
+
+
+def _compare_groups(nearest: bool):
+    """Rows come sorted by ``key, lo, hi``; a group may go on in the next batch."""
+    def run(batches):
+        held: list[tuple] = []
+        last = None
+
+        def emit(pairs):
+            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+        for b in batches:
+            pairs = []
+            for key, lo, hi, block, ref, root, n, bits in zip(*(b.column(c).to_pylist() for c in (
+                    "key", "lo", "hi", "block", "ref", "root", "n", "bits"))):
+                if (key, lo, hi) != last:
+                    pairs += _candidates_of(held, nearest)
+                    held, last = [], (key, lo, hi)
+                # members of one block meet each other, members of two blocks only the other block
+                held.append((ref, 2 if lo == hi else int(block == hi), root, n, bits))
+            yield emit(pairs)
+        yield emit(list(_candidates_of(held, nearest)))
+    return run
+
+
+def _open_pairs(stars: DataFrame, roots: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
+    """Pairs of different components in a group that the bits leave open."""
+    named = _with_root(stars.select("key", "ref", "band", "size"), roots)
+    mixed = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
+    rows = named.join(mixed, "key").join(bits, ["ref", "band"])
+    blocks = F.ceil(F.col("size") / BLOCK)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("ref"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    rows = rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
+    dealt = (rows.select("key", "lo", "hi", "block", "ref", "root", "n", "bits")
+             .repartition(shuffle_partitions(stars.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
+    return dealt.mapInArrow(_compare_groups(nearest), "u long, v long").distinct()
 
 
 def _make_sets(batches):
@@ -262,27 +351,19 @@ def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, root`` of the components of the sets that share a bucket."""
-    stars = staged(buckets.join(buckets.groupBy("key").agg(F.min("ref").alias("low"), F.count("*").alias("size"))
-                                .filter("size > 1"), "key"), "jaccard-buckets")
-    one = stars.filter("ref > low").groupBy("ref").agg(F.min("low").alias("u")).select("u", F.col("ref").alias("v"))
-    links = _verified(one, sets, "jaccard-links-1")
-    roots = components(links)
-    many = _with_root(stars.select("key", "ref", "low"), roots)
-    low_root = _with_root(many.select(F.col("low").alias("ref")).distinct(), roots).select(
-        F.col("ref").alias("low"), F.col("root").alias("low_root"))
-    open_ = staged(many.join(low_root, "low").filter("ref > low AND root <> low_root")
-                   .select(F.col("low").alias("u"), F.col("ref").alias("v")).distinct()
-                   .join(one, ["u", "v"], "left_anti"), "jaccard-pairs-2")
-    links = links.unionByName(_verified(open_, sets, "jaccard-links-2"))
+    groups = (buckets.groupBy("key").agg(F.min("ref").alias("low"), F.count("*").alias("size")).filter("size > 1"))
+    stars = staged(buckets.join(groups, "key"), "jaccard-buckets")
+    bits = staged(sets.mapInArrow(_bit_sketches, "ref long, band int, n long, bits binary"), "jaccard-bits")
+    done = staged(stars.filter("ref > low").groupBy("ref").agg(F.min("low").alias("u"))
+                  .select("u", F.col("ref").alias("v")), "jaccard-pairs")
+    links = _verified(done, sets, "jaccard-links")
     roots = components(links)
-    named = _with_root(stars.select("key", "ref"), roots)
-    mixed = staged(named.join(named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b"))
-                              .filter("a <> b").select("key"), "key"), "jaccard-mixed")
-    x = mixed.select("key", F.col("ref").alias("u"), F.col("root").alias("ru"))
-    y = mixed.select("key", F.col("ref").alias("v"), F.col("root").alias("rv"))
-    rest = (x.join(y, "key").filter("u < v AND ru <> rv").select("u", "v").distinct()
-            .join(one, ["u", "v"], "left_anti").join(open_, ["u", "v"], "left_anti"))
-    return components(links.unionByName(_verified(rest, sets, "jaccard-links-3")))
+    for nearest in (True, False):
+        pairs = staged(_open_pairs(stars, roots, bits, nearest).join(done, ["u", "v"], "left_anti"), "jaccard-pairs")
+        links = links.unionByName(_verified(pairs, sets, "jaccard-links"))
+        done = done.unionByName(pairs)
+        roots = components(links)
+    return roots
 
 
 def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
@@ -300,7 +381,7 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
               .groupBy("shard").applyInArrow(_shared_keys, "batch long, data binary"))
     units = made.filter(F.col("kind") == UNITS).select("batch", "data")
     prefixes = (units.groupBy("batch").cogroup(shared.groupBy("batch"))
-                .applyInArrow(_prefixes, "key long, ref long"))
+                .applyInArrow(_prefixes, "key long, ref long, band int"))
     only = canon.filter("ref = same").select("ref")
     buckets = staged(prefixes.join(only, "ref", "left_semi"), "jaccard-prefixes")
 
@@ -312,7 +393,7 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
     again = texts.mapInArrow(_make_sets, "h1 long, h2 long, hashes binary")
     sets = staged(again.join(wanted.select("ref", "h1", "h2"), ["h1", "h2"]).select("ref", "hashes"), "jaccard-busy-sets")
 
-    roots = _links(buckets.select("key", "ref"), sets)
+    roots = _links(buckets, sets)
     canon = canon.select("ref", F.col("same").alias("set_ref"))
     rooted = (canon.join(roots.withColumnRenamed("node", "set_ref"), "set_ref", "left")
               .select("ref", F.coalesce("root", "set_ref").alias("root")))

@@ -193,7 +193,9 @@ def test_jaccard_components(docs):
     assert collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in got) == want
 
 
-def test_jaccard_finds_every_link_of_random_families(spark):
+@pytest.mark.parametrize("block", [1024, 7])
+def test_jaccard_finds_every_link_of_random_families(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
     r = random.Random(11)
     rows, n = [], 0
     for _ in range(60):
@@ -235,7 +237,10 @@ def test_sketch_differences_bound_the_set_difference():
         b = np.unique(np.concatenate([a[: max(1, n - n // 10)], r.integers(0, 2**63, n // 10, dtype=np.uint64)]))
         for c in (len(a).bit_length() - 1, len(a).bit_length()):
             x, y = set(jaccard_join.sketch(a, c, 0).tolist()), set(jaccard_join.sketch(b, c, 0).tolist())
-            assert max(len(x - y), len(y - x)) <= len(set(a.tolist()) ^ set(b.tolist()))
+            apart = len(set(a.tolist()) ^ set(b.tolist()))
+            assert max(len(x - y), len(y - x)) <= apart
+            bits = jaccard_join.parity_bits(a, c) ^ jaccard_join.parity_bits(b, c)
+            assert int(np.bitwise_count(bits).sum()) <= apart
 
 
 @pytest.mark.parametrize("kind,name", [("byte", "byte_bpe_50k.json"), ("word", "word_bpe_49k.json")])
