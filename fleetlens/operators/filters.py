@@ -11,11 +11,6 @@ from fleetlens.functions.exprs import age_label, badge
 from fleetlens.context import RunContext
 
 
-def project(df: DataFrame, columns: dict) -> DataFrame:
-    """projection with renaming, ``{output name: column or expression}``."""
-    return df.select(*[(F.col(c) if isinstance(c, str) else c).alias(out) for out, c in columns.items()])
-
-
 def pending_only(df: DataFrame, col: str = "is_pending") -> DataFrame:
     """boolean equality filter; NULL rows are dropped."""
     return df.filter(F.col(col) == F.lit(True))

@@ -22,7 +22,7 @@ from fleetlens.functions.exprs import (
 )
 from fleetlens.operators.aggs import avg_round, bucket_counts, count_when, string_agg
 from fleetlens.operators.filters import pending_only
-from fleetlens.operators.joins import application_dim, bridge, lookup, lookup_chain, role_join, semi
+from fleetlens.operators.joins import application_dim, bridge, lookup, lookup_chain, role_join, semi, with_counts
 from fleetlens.sources.schema import has_column, has_table, pick_column
 
 Tables = Mapping[str, DataFrame]
@@ -179,19 +179,14 @@ def gateway_rollup_by_tenant(gateway: DataFrame, ctx: RunContext) -> DataFrame:
 def _tenants_with_counts(t: Tables, ctx: RunContext) -> DataFrame:
     """Tenants with device and gateway counts, each side aggregated on
     its own and left-joined (J9), missing counts 0."""
-    dev = device_rollup_by_tenant(t, ctx).select(
-        F.col("tenant_id").alias("dk"), "total_devices", "active_devices")
-    gw = gateway_rollup_by_tenant(t["gateway"], ctx).select(
-        F.col("tenant_id").alias("gk"), "total_gateways", "online_gateways")
-    tn = t["tenant"]
-    j = tn.join(dev, tn["id"] == dev["dk"], "left").join(gw, tn["id"] == gw["gk"], "left")
-    zero = F.lit(0).cast("bigint")
+    dev = device_rollup_by_tenant(t, ctx).select("tenant_id", "total_devices", "active_devices")
+    gw = gateway_rollup_by_tenant(t["gateway"], ctx).select("tenant_id", "total_gateways", "online_gateways")
+    j = with_counts(t["tenant"], "id", [(dev, "tenant_id"), (gw, "tenant_id")])
     return with_provenance(j.select(
         text("id").alias("tenant_id"), F.col("name").alias("tenant_name"), "description",
         "max_device_count", "max_gateway_count", "can_have_gateways", "private_gateways_up",
         "private_gateways_down", "created_at", "updated_at",
-        *[F.coalesce(F.col(c), zero).alias(c) for c in
-          ("total_devices", "active_devices", "total_gateways", "online_gateways")]), ctx)
+        "total_devices", "active_devices", "total_gateways", "online_gateways"), ctx)
 
 
 def _applications(t: Tables, ctx: RunContext) -> DataFrame:

@@ -20,7 +20,7 @@ from fleetlens.functions.exprs import (
 )
 from fleetlens.operators.aggs import breakdown, by_server, child_counts, count_when
 from fleetlens.operators.filters import (
-    active_servers, device_filter, filter_status, gateway_map, low_battery, restrict, search,
+    active_servers, by_id, device_filter, filter_status, gateway_map, low_battery, restrict, search,
 )
 from fleetlens.operators.joins import application_dim, lookup, orphans
 from fleetlens.operators.ordering import page_after, page_rows, preview, top_tenants
@@ -428,6 +428,14 @@ def column_fallback(t: Tables, ctx: RunContext) -> DataFrame:
     return old.select("device_eui", "frame_counter_up", pick_column(old, names).alias("frame_counter_up_old_schema"))
 
 
+def device_by_eui(t: Tables, ctx: RunContext) -> DataFrame:
+    """the device with the smallest EUI, fetched by it; the key filter
+    reaches the device table before any lookup."""
+    keyed = device_order_keys(t["device"])
+    first = keyed.agg(F.min("__eui")).first()[0]
+    return devices_export(t, ctx, by_id(keyed, "__eui", first or "").drop("__eui"))
+
+
 ViewFn = Callable[[Tables, RunContext], DataFrame]
 
 VIEWS: dict[str, ViewFn] = {
@@ -438,6 +446,7 @@ VIEWS: dict[str, ViewFn] = {
     "devices_per_tenant": devices_per_tenant,
     "device_search": device_search,
     "devices_page": devices_page,
+    "device_by_eui": device_by_eui,
     "page_walk": page_walk,
     "page_metadata": page_metadata,
     "online_gateways": online_gateways,

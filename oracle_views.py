@@ -85,6 +85,7 @@ FROM (SELECT * FROM hits ORDER BY device_name, device_eui LIMIT 100) h""")
     q["device_search"] = search_base.replace("\n, m AS", ", m AS", 1)
     q["devices_page"] = with_ctes(DEVICES_CTES, f"""
 SELECT * FROM ({DEVICES_SELECT}) ORDER BY device_name, device_eui LIMIT 100 OFFSET 200""")
+    q["device_by_eui"] = _wrap(ex["devices"], "SELECT * FROM __q ORDER BY device_eui LIMIT 1")
     q["page_walk"] = with_ctes(("f_device",), f"""
 SELECT device_eui, device_name, CAST(1 + (row_number() OVER (ORDER BY device_name NULLS LAST, device_eui) - 1) // 500 AS INTEGER) AS page
 FROM (SELECT {_hex("dev_eui")} AS device_eui, name AS device_name FROM f_device)""")

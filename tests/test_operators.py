@@ -128,13 +128,11 @@ def test_restrict_masks_keys(spark):
     assert "app_key" not in restrict(df, "viewer", mode="drop").columns
 
 
-def test_by_id_and_project(spark):
-    from fleetlens.operators.filters import by_id, project
+def test_by_id(spark):
+    from fleetlens.operators.filters import by_id
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id long, v string")
     assert [r.v for r in by_id(df, "id", 2).collect()] == ["b"]
     assert by_id(df, "id", "not-a-number").count() == 0      # malformed id matches nothing
-    out = project(df, {"key": "id", "upper_v": F.upper("v")})
-    assert out.columns == ["key", "upper_v"] and out.orderBy("key").first().upper_v == "A"
 
 
 def test_avg_round_half_up_and_empty(spark):
