@@ -8,7 +8,7 @@ Language, source, id and labels are no features.
 Learning uses labelled rows whose crc32(id) mod 5 is not 0, at most
 ``MAX_ROWS`` of them, the smallest by a hash of the id. The other four
 remainders are folds. The learned lexicon holds the terms with the largest
-log-odds of label 1 over their standard error; the features of a training
+lower bounds of the log-odds of label 1; the features of a training
 document use a lexicon learned without its fold, so terms that are there by
 chance do not look as good in training as they are. Folds 1-3 train Spark's
 GBTClassifier, fold 4 its IsotonicRegression on the trees' margin. The score is
@@ -42,7 +42,9 @@ from fleetlens.llm.common import crc_mod, load, staged
 
 MAX_ROWS = 16_000
 MAX_TERMS = 3_000
-MIN_DOCS, MIN_Z = 3, 2.5
+#: Terms in the lexicon: in so many documents of label 1, with so large a lower
+#: bound (95 %) of the log-odds of label 1.
+MIN_DOCS, MIN_BOUND, SIDE = 3, 1.6, 1.64
 STEMS = (4, 5)
 TREES, DEPTH = 20, 3
 CACHE_WORDS = 500_000
@@ -215,9 +217,10 @@ def _weights(rows, without: int | None, totals: dict) -> dict[str, float]:
     for r in rows:
         a, b = sum(r[f"a{f}"] for f in folds), sum(r[f"b{f}"] for f in folds)
         if a >= MIN_DOCS:
-            z = (math.log((a + 0.5) / (pos + 1)) - math.log((b + 0.5) / (neg + 1))) / math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-            if z >= MIN_Z:
-                out[r["term"]] = z
+            odds = math.log((a + 0.5) / (pos + 1)) - math.log((b + 0.5) / (neg + 1))
+            bound = odds - SIDE * math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+            if bound >= MIN_BOUND:
+                out[r["term"]] = bound
     return out
 
 
@@ -231,8 +234,10 @@ def learn_lexicons(training: DataFrame, totals: dict) -> dict[int | None, dict[s
     a = F.col("a1") + F.col("a2") + F.col("a3") + F.col("a4")
     b = F.col("b1") + F.col("b2") + F.col("b3") + F.col("b4")
     pos, neg = (sum(totals.get((f, y), 0) for f in range(1, 5)) for y in (1, 0))
-    z = ((F.log((a + 0.5) / (pos + 1)) - F.log((b + 0.5) / (neg + 1))) / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)))
-    rows = per.filter(a >= MIN_DOCS).withColumn("z", z).filter(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "term").limit(MAX_TERMS).collect()
+    odds = F.log((a + 0.5) / (pos + 1)) - F.log((b + 0.5) / (neg + 1))
+    bound = odds - SIDE * F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+    rows = (per.filter(a >= MIN_DOCS).withColumn("bound", bound).filter(F.col("bound") >= MIN_BOUND)
+            .orderBy(F.desc("bound"), "term").limit(MAX_TERMS).collect())
     return {f: _weights(rows, f, totals) for f in (None, 1, 2, 3, 4)}
 
 
