@@ -351,7 +351,10 @@ def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
 
 def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     """``node, root`` of the components of the sets that share a bucket."""
-    groups = (buckets.groupBy("key").agg(F.min("ref").alias("low"), F.count("*").alias("size")).filter("size > 1"))
+    # groups with the same members (told by two 64-bit parities of their hashes) give the same pairs: one stays
+    members = [F.bit_xor(F.xxhash64("ref", F.lit(i))).alias(f"m{i}") for i in (1, 2)]
+    groups = (buckets.groupBy("key").agg(F.min("ref").alias("low"), F.count("*").alias("size"), *members).filter("size > 1")
+              .groupBy("low", "size", "m1", "m2").agg(F.min("key").alias("key")).select("key", "low", "size"))
     stars = staged(buckets.join(groups, "key"), "jaccard-buckets")
     bits = staged(sets.mapInArrow(_bit_sketches, "ref long, band int, n long, bits binary"), "jaccard-bits")
     done = staged(stars.filter("ref > low").groupBy("ref").agg(F.min("low").alias("u"))
