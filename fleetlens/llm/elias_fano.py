@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import numpy as np
 
+#: Values looked up at once.
+CHUNK = 100_000
 _POP = np.array([bin(b).count("1") for b in range(256)], dtype=np.uint8)
 #: Position of the r-th one of a byte.
 _SELECT = np.zeros((256, 8), dtype=np.uint8)
@@ -30,8 +32,10 @@ class EliasFano:
         v = values.astype(np.int64)
         n = len(v)
         l = max(0, int(universe // max(n, 1)).bit_length() - 1)
-        bits = (v[:, None] >> np.arange(l)) & 1 if l else np.zeros((n, 0))
-        lows = np.concatenate([np.packbits(bits.astype(np.uint8).ravel(), bitorder="little"), np.zeros(8, np.uint8)])
+        bits = np.empty((n, l), dtype=np.uint8)
+        for j in range(l):
+            bits[:, j] = (v >> j) & 1
+        lows = np.concatenate([np.packbits(bits.ravel(), bitorder="little"), np.zeros(8, np.uint8)])
         size = -(-(n + (universe >> l) + 2) // 64) * 64
         unary = np.zeros(size, dtype=np.uint8)
         unary[(v >> l) + np.arange(n)] = 1
@@ -73,6 +77,10 @@ class EliasFano:
     def locate(self, values: np.ndarray, lo=None, hi=None) -> np.ndarray:
         """Position of each value within ``[lo, hi)``, or -1: the run of equal
         high bits is found in the unary part, then its low bits are bisected."""
+        if len(values) > CHUNK:  # bounds the working arrays
+            parts = [slice(at, at + CHUNK) for at in range(0, len(values), CHUNK)]
+            return np.concatenate([self.locate(values[p], None if lo is None else lo[p], None if hi is None else hi[p])
+                                   for p in parts])
         if not self.n or not len(values):
             return np.full(len(values), -1, dtype=np.int64)
         v = values.astype(np.int64)
