@@ -409,7 +409,8 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay: of every component the document with the
-    smallest ``doc_id``. A null ``doc_id`` and documents without words stay."""
+    smallest ``doc_id``. A null ``doc_id`` and documents without words stay;
+    rows that share an id go or stay together."""
     gone = (jaccard_components(docs).filter("doc_id <> component_id")
             .select(F.col("doc_id").alias("__gone")).distinct())
     return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
