@@ -194,6 +194,21 @@ def manifest_view(t, ctx: RunContext) -> DataFrame:
         "name", (F.col("files") > 0).alias("has_files"), "records")
 
 
+def run_stats(t, ctx: RunContext) -> DataFrame:
+    """V1 from the published run: exports and codecs counted in its folders,
+    totals of both written summaries."""
+    from fleetlens.plans import read_api
+    st = read_api.stats(_spark(t), two_runs(t, ctx))
+    both = st.device_summary.select("tenant_id", "total_devices", "active_devices").unionByName(
+        st.gateway_summary.select("total_gateways", "online_gateways"), allowMissingColumns=True)
+    return both.agg(F.lit(st.server_name).alias("server_name"), F.lit(st.last_export).alias("last_export"),
+                    F.lit(st.exports_available).cast("bigint").alias("exports_available"),
+                    F.lit(st.codecs_available).cast("bigint").alias("codecs_available"),
+                    F.count("tenant_id").alias("tenants"),
+                    *[F.sum(c).cast("bigint").alias(c) for c in
+                      ("total_devices", "active_devices", "total_gateways", "online_gateways")])
+
+
 def _devices_per_run(spark: SparkSession, root: str) -> DataFrame:
     """Device records of every published run."""
     runs = [r["run_id"] for r in snap.published_runs(spark, root).select("run_id").collect()]  # a row per kept run
@@ -331,6 +346,7 @@ LIFECYCLE = {
     "codec_completeness": codec_completeness,
     "archive_current": archive_current,
     "list_exports": list_exports_view,
+    "run_stats": run_stats,
     "run_csv": run_csv,
     "run_json": run_json,
     "fetch_export": fetch_export,

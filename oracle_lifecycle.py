@@ -117,6 +117,13 @@ FROM ({counts} UNION ALL {codec_count})"""
         f"SELECT '{n}' AS export_name, (SELECT COUNT(*) FROM ({ex[n]})) AS records, (SELECT COUNT(*) FROM (UNPIVOT "
         f"(SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({ex[n]})) ON COLUMNS(*) INTO NAME c VALUE v) WHERE v <> '') AS filled_values"
         for n in RUN_EXPORTS)
+    q["run_stats"] = f"""
+SELECT '{SERVER}' AS server_name, '{EXPORT_DATE}' AS last_export, (SELECT COUNT(*) FROM ({counts})) AS exports_available,
+       (SELECT records FROM ({codec_count})) AS codecs_available, d.*, g.*
+FROM (SELECT COUNT(*) AS tenants, CAST(SUM(total_devices) AS BIGINT) AS total_devices,
+             CAST(SUM(active_devices) AS BIGINT) AS active_devices FROM ({ex['device_summary']})) d,
+     (SELECT CAST(SUM(total_gateways) AS BIGINT) AS total_gateways,
+             CAST(SUM(online_gateways) AS BIGINT) AS online_gateways FROM ({ex['gateway_summary']})) g"""
     q["run_csv"] = filled
     q["run_json"] = filled
     q["fetch_export"] = f"SELECT *, COUNT(*) OVER () AS total_records FROM ({ex['tenant_user_roles']})"
