@@ -43,6 +43,8 @@ rows; other columns are ignored.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -52,6 +54,7 @@ from pyspark.sql import functions as F
 from fleetlens.llm.common import load, shuffle_partitions, staged
 from fleetlens.llm.components import components
 from fleetlens.llm.shingles import mix, shingle_set
+from fleetlens.session import scratch_path
 
 BATCH_DOCS = 4_096
 BATCH_SHINGLES = 1_000_000
@@ -340,10 +343,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     """The pairs ``(u, v)`` that link."""
     left = sets.select(F.col("ref").alias("u"), F.col("hashes").alias("left"))
     right = sets.select(F.col("ref").alias("v"), F.col("hashes").alias("right"))
-    both = pairs.join(right, "v").join(left, "u").select("u", "v", "left", "right")
+    both = pairs.join(right.hint("merge"), "v").join(left.hint("merge"), "u").select("u", "v", "left", "right")
     return staged(both.mapInArrow(_verify_batches, "u long, v long"), name)
 
 
+def _kept_by_ref(sets: DataFrame) -> tuple[DataFrame, str]:
+    """The sets as a table bucketed and sorted by ``ref`` in the shared folder:
+    each round of verification then moves its pairs to the sets, not all sets
+    to the pairs. Also the table's name, to be dropped afterwards."""
+    spark = sets.sparkSession
+    n, name = shuffle_partitions(spark), f"fleetlens_sets_{uuid.uuid4().hex}"
+    (sets.repartition(n, "ref").write.bucketBy(n, "ref").sortBy("ref")
+     .option("path", scratch_path(spark, "jaccard-sets-by-ref")).format("parquet").saveAsTable(name))
+    return spark.table(name), name
+
+
 def _with_root(rows: DataFrame, roots: DataFrame) -> DataFrame:
     return (rows.join(roots.withColumnRenamed("node", "ref"), "ref", "left")
             .withColumn("root", F.coalesce("root", "ref")))
@@ -394,9 +408,9 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
     texts = narrow.join(wanted.select(F.col("doc_id").alias("id")).distinct(),
                         F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     again = texts.mapInArrow(_make_sets, "h1 long, h2 long, hashes binary")
-    sets = staged(again.join(wanted.select("ref", "h1", "h2"), ["h1", "h2"]).select("ref", "hashes"), "jaccard-busy-sets")
-
+    sets, table = _kept_by_ref(again.join(wanted.select("ref", "h1", "h2"), ["h1", "h2"]).select("ref", "hashes"))
     roots = _links(buckets, sets)
+    spark.sql(f"DROP TABLE IF EXISTS {table}")  # the catalog entry; nothing reads the files any more
     canon = canon.select("ref", F.col("same").alias("set_ref"))
     rooted = (canon.join(roots.withColumnRenamed("node", "set_ref"), "set_ref", "left")
               .select("ref", F.coalesce("root", "set_ref").alias("root")))

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from fleetlens.llm.caches import worker_cache
+
 WORDS = 5
 CACHE_WORDS = 300_000
 _TURNS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -21,9 +23,6 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit numbers over all others."""
     h = (h ^ (h >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
@@ -34,7 +33,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words (runs of other than space and 0x09-0x0D), A-Z lowered."""
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
-    return np.fromiter(map(_HASHES.__getitem__, words), dtype=np.uint64, count=len(words))
+    hashes = worker_cache("words", _WordHashes)
+    return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def shingle_set(text: str | None) -> np.ndarray:

@@ -16,8 +16,10 @@ from array import array
 import numpy as np
 import regex
 
+from fleetlens.llm.caches import worker_cache
+
 #: Entries of the caches of a worker process: parts (words with their punctuation) and pieces.
-CACHE_PARTS, CACHE_PIECES = 900_000, 600_000
+CACHE_PARTS, CACHE_PIECES = 700_000, 500_000
 _SPLIT_BYTE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPLIT_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile("[\n\x20-\x7e¡-ÿ]*")
@@ -103,12 +105,7 @@ class CorpusEncoder:
         return b"".join(out)
 
 
-_ENCODERS: dict[tuple[str, str], CorpusEncoder] = {}
-
-
 def encoder(path: str, kind: str) -> CorpusEncoder:
     """The process's encoder for a vocabulary file; its cache serves all tasks
     that run in the worker."""
-    if (path, kind) not in _ENCODERS:
-        _ENCODERS[path, kind] = CorpusEncoder(path, kind)
-    return _ENCODERS[path, kind]
+    return worker_cache(("encoder", path, kind), lambda: CorpusEncoder(path, kind))

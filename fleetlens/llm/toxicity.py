@@ -38,6 +38,7 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fleetlens.llm.caches import worker_cache
 from fleetlens.llm.common import crc_mod, load, staged
 
 MAX_ROWS = 16_000
@@ -47,7 +48,7 @@ MAX_TERMS = 3_000
 MIN_DOCS, MIN_BOUND, SIDE = 3, 1.6, 1.64
 STEMS = (4, 5)
 TREES, DEPTH = 20, 3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 400_000
 
 #: Common insults, and second-person words, of a few languages.
 INSULTS = frozenset("""
@@ -167,15 +168,10 @@ def _weight(lexicon: dict[str, float], word: str) -> float:
     return out
 
 
-_LAST: list = [None, None]
-
-
 def _features(lexicons: dict) -> Features:
     """The worker's features for these lexicons; only the last ones are kept."""
     key = hash(tuple((name, frozenset(lexicon.items())) for name, lexicon in lexicons.items()))
-    if _LAST[0] != key:
-        _LAST[:] = [key, Features(lexicons)]
-    return _LAST[1]
+    return worker_cache(("features", key), lambda: Features(lexicons))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, limit: int = MAX_ROWS) -> DataFrame:
