@@ -19,7 +19,7 @@ import regex
 from fleetlens.llm.caches import worker_cache
 
 #: Entries of the caches of a worker process: parts (words with their punctuation) and pieces.
-CACHE_PARTS, CACHE_PIECES = 700_000, 500_000
+CACHE_PARTS, CACHE_PIECES = 400_000, 300_000
 _SPLIT_BYTE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPLIT_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile("[\n\x20-\x7e¡-ÿ]*")
