@@ -18,8 +18,10 @@ import regex
 
 from fleetlens.llm.caches import worker_cache
 
-#: Entries of the caches of a worker process: parts (words with their punctuation) and pieces.
-CACHE_PARTS, CACHE_PIECES = 400_000, 300_000
+#: Entries of the caches of a worker process: parts (words with their
+#: punctuation) and pieces. The byte-level kind tells upper from lower case and
+#: words behind a space from others, so it meets more of both.
+CACHE = {"byte": (900_000, 600_000), "word": (400_000, 300_000)}
 _SPLIT_BYTE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 _SPLIT_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
 _PLAIN = re.compile("[\n\x20-\x7e¡-ÿ]*")
@@ -53,6 +55,7 @@ class CorpusEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.kind = kind
+        self.max_parts, self.max_pieces = CACHE[kind]
         self.parts: dict[str, bytes] = {}
         self.first: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
@@ -66,7 +69,7 @@ class CorpusEncoder:
         if got is None:
             letters = piece.encode().decode("latin-1").translate(_LETTERS)  # a letter for each byte
             got = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
-            if len(self.pieces) < CACHE_PIECES:
+            if len(self.pieces) < self.max_pieces:
                 self.pieces[piece] = got
         return got
 
@@ -99,7 +102,7 @@ class CorpusEncoder:
                     got = cache.get(part)
                     if got is None:
                         got = self._part(before + part) if before or part else b""
-                        if len(cache) < CACHE_PARTS:
+                        if len(cache) < self.max_parts:
                             cache[part] = got
                     out[i] = got
         return b"".join(out)
