@@ -5,15 +5,22 @@ the assistant's, the other speakers are users named by their role, system turns
 stay system turns. The mask lists the stretches to learn from, the assistant's
 contents with their end marker, as code points ``start:end`` (end exclusive).
 
-A dialogue is rendered in windows of ``WINDOW`` turns, so a conversation of any
-length is dealt by its turn numbers and no window is larger than that. A
-participant is a speaker of the window.
+A rendering is written in parts of ``WINDOW`` turns, cut by position in the
+dialogue, so no row is larger than that. A participant is a speaker of the whole
+dialogue and gets every part, also those it is silent in. The parts of a
+perspective, ordered by ``block`` (null last), then ``part``, join to the whole
+rendering; the mask counts from the start of its part. Parts are numbered by
+``block``; a part of unnumbered turns alone (they come last) has a null block
+and is numbered by ``part``.
+
+A position is a rank within (dialogue, stretch of turn numbers) plus the counts
+of the stretches before, so a long dialogue is not ranked in one task.
 
 Only DataFrame expressions are used. Defined results: turns are ordered by
 number (null last), then role, then text; a null role speaks as "unknown"; a
 null text is empty; repeated rows are separate turns; the two characters
 ``<|`` in names and texts are written ``< |`` so that a text cannot close its
-own turn; a window of system turns alone has no participant and gives no row;
+own turn; a dialogue of system turns alone has no participant and gives no row;
 an empty table gives no rows; other columns are ignored.
 """
 
@@ -34,23 +41,38 @@ def _plain(c):
 
 
 def windows(turns: DataFrame, size: int = WINDOW) -> DataFrame:
-    """One row per window: ``conv_id, block, part, turns`` in order, and ``speakers``."""
+    """One row per part of a dialogue: ``conv_id, block, part, turns`` in order,
+    and ``speakers``, the participants of the whole dialogue."""
     t = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         _plain(F.coalesce(F.col("role").cast("string"), F.lit("unknown"))).alias("speaker"),
         _plain(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("text"))
-    t = t.withColumn("block", F.floor(F.col("turn") / size))
-    order = Window.partitionBy("conv_id", "block").orderBy(F.col("turn").asc_nulls_last(), "speaker", "text")
-    t = t.withColumn("n", F.row_number().over(order)).withColumn("part", F.floor((F.col("n") - 1) / size))
-    one = t.groupBy("conv_id", "block", "part").agg(
+    # keys without nulls: the rank and the join below need one exchange of the texts
+    t = t.select(F.coalesce("conv_id", F.lit(0)).alias("conv"), F.col("conv_id").isNull().alias("no_conv"),
+                 F.coalesce(F.floor(F.col("turn") / size), F.lit(0)).alias("stretch"),
+                 F.col("turn").isNull().alias("no_turn"), "turn", "speaker", "text")
+    dialogue, stretch = ["conv", "no_conv"], ["conv", "no_conv", "stretch", "no_turn"]
+    people = t.filter(F.col("speaker") != SYSTEM).groupBy(dialogue).agg(F.collect_set("speaker").alias("speakers"))
+    counts = t.groupBy(stretch).agg(F.count("*").alias("rows"))
+    by = Window.partitionBy(dialogue).orderBy("no_turn", "stretch")
+    counts = counts.withColumn("before", F.sum("rows").over(by) - F.col("rows")).drop("rows").join(people, dialogue)
+    order = Window.partitionBy(stretch).orderBy("turn", "speaker", "text")
+    t = (t.withColumn("n", F.row_number().over(order)).join(counts, stretch)
+         .withColumn("n", F.col("before") + F.col("n")).withColumn("nth", F.floor((F.col("n") - 1) / size)))
+    one = t.groupBy(*dialogue, "nth").agg(
+        F.count("turn").alias("numbered"), F.max(F.when(F.col("no_turn"), F.col("before"))).alias("earlier"),
+        F.max(F.when((F.col("n") - 1) % size == 0, F.col("speakers"))).alias("speakers"),  # once per part
         F.sort_array(F.collect_list(F.struct("n", "speaker", "text"))).alias("turns"))
-    return one.withColumn("speakers", F.array_distinct(F.transform(
-        F.filter("turns", lambda x: x["speaker"] != SYSTEM), lambda x: x["speaker"])))
+    last = F.col("numbered") == 0  # unnumbered turns alone: ``earlier`` counts the numbered ones
+    return one.select(
+        F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), F.when(~last, F.col("nth")).alias("block"),
+        F.when(last, F.col("nth") - F.ceil(F.col("earlier") / size)).otherwise(F.lit(0)).cast("long").alias("part"),
+        "turns", "speakers")
 
 
 def rotate(turns: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``conv_id, block, part, perspective, n_turns, rendered, mask`` of every participant."""
+    """``conv_id, block, part, perspective, n_turns, rendered, mask``: every part for every participant."""
     w = windows(turns, size).withColumn("perspective", F.explode("speakers"))
 
     def head(x):
@@ -80,6 +102,9 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(load(spark, sf_dir, "conversations"))
 
 
+#: Windows by turn number: the same rows where dialogues are numbered from 0 without gaps
+#: or repeats and all their participants speak in every window, as in the small tables.
+#: Whole dialogues are tested against an oracle that does not cut (``tests/llm/test_chat_whole.py``).
 ORACLE = f"""
 WITH t AS (
   SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
