@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import load, shuffle_partitions, staged
+from fleetlens.llm.common import load, shuffle_partitions, staged, stored
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -140,11 +140,18 @@ def _digest_batches(batches):
             ["doc_id", "row", "digest"])
 
 
-def text_digests(docs: DataFrame) -> DataFrame:
-    """``doc_id, row, digest`` of every row, written once. ``row`` is the
-    row's position in ``docs``, which tells repeated rows apart."""
+def numbered(docs: DataFrame) -> DataFrame:
+    """``docs`` with the number ``__row``, written once: the number of a row is
+    stored with it and does not depend on how a later job splits the files."""
+    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+
+
+def text_digests(docs: DataFrame, row: str | None = None) -> DataFrame:
+    """``doc_id, row, digest`` of every row, written once. ``row`` tells repeated
+    rows apart: the column of that name, or else the row's position in this scan,
+    which names it in the result only and not in another scan of ``docs``."""
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.monotonically_increasing_id().alias("row"),
+                         (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
                          F.col("text").cast("binary").alias("text"))
     return staged(narrow.mapInArrow(_digest_batches, _DIGESTS), "digests")
 
@@ -182,9 +189,9 @@ def group_index(digests: DataFrame, shards: int | None = None) -> DataFrame:
     return partial.repartition(n, "digest").mapInArrow(_merge_batches, _GROUPS)
 
 
-def exact_groups(docs: DataFrame) -> DataFrame:
+def exact_groups(docs: DataFrame, row: str | None = None) -> DataFrame:
     """One row per input row: its group's keeper and size, and whether it stays."""
-    digests = text_digests(docs)
+    digests = text_digests(docs, row)
     groups = group_index(digests)
     # the docs side of a hot digest is split by AQE's skew join; the other side has one row per key
     return digests.join(groups, "digest").select(
@@ -194,12 +201,12 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` (a table, read the same way each time) that stay,
-    with all their columns. Other rows go, each because an equal text with a
-    larger ``doc_id`` (or a later repeat of the row) stays."""
-    keep = exact_groups(docs).filter("kept").select(F.col("row").alias("__row"))
-    return (docs.withColumn("__row", F.monotonically_increasing_id())
-            .join(keep, "__row", "left_semi").drop("__row"))
+    """The rows of ``docs`` that stay, with all their columns. Other rows go,
+    each because an equal text with a larger ``doc_id`` (or a later repeat of
+    the row) stays. The decision and the rows come from one numbered copy."""
+    rows = numbered(docs)
+    keep = exact_groups(rows, "__row").filter("kept").select(F.col("row").alias("__row"))
+    return rows.join(keep, "__row", "left_semi").drop("__row")
 
 
 def _apply_changes(batches):
