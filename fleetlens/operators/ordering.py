@@ -7,7 +7,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -95,6 +95,25 @@ def page_after(df: DataFrame, keys: Sequence[str | tuple[str, str]], after: Mapp
     return out.orderBy(*_keys(keys)).limit(limit)
 
 
+def page_numbers(df: DataFrame, keys: Sequence[str | tuple[str, str]], limit: int = 100) -> DataFrame:
+    """Every row with the number ``page`` of its page. The rows are dealt by
+    key range and sorted once, written with their place within the partition,
+    and the counts of the partitions before give the place in the whole. The
+    keys must end with a unique one."""
+    by = _keys(keys)
+    at = F.monotonically_increasing_id()  # partition in the high bits, place in the low 33
+    placed = (df.repartitionByRange(*by).sortWithinPartitions(*by)
+              .withColumn("__part", F.shiftright(at, 33))
+              .withColumn("__place", at.bitwiseAND(F.lit((1 << 33) - 1))).checkpoint())
+    counts = placed.groupBy("__part").agg(F.count("*").alias("__rows"))
+    # one row per partition from here on, so a window over all of them is small
+    before = F.sum("__rows").over(Window.orderBy("__part")) - F.col("__rows")
+    first = counts.select("__part", before.alias("__before"))
+    return (placed.join(first, "__part")
+            .withColumn("page", (F.floor((F.col("__before") + F.col("__place")) / limit) + 1).cast("int"))
+            .drop("__part", "__place", "__before"))
+
+
 def page_info(total: int, page=1, limit=100) -> PageInfo:
     """L3 metadata, as the read API reports it."""
     p = _parse_positive(page, DEFAULT_PAGE)

@@ -23,7 +23,7 @@ from fleetlens.operators.filters import (
     active_servers, by_id, device_filter, filter_status, gateway_map, low_battery, restrict, search,
 )
 from fleetlens.operators.joins import application_dim, lookup, orphans
-from fleetlens.operators.ordering import page_after, page_rows, preview, top_tenants
+from fleetlens.operators.ordering import page_numbers, page_rows, preview, top_tenants
 from fleetlens.plans.exports import (
     EXPORTS, RUN_EXPORTS, codec_profiles, device_order_keys, devices_export, only_keys,
 )
@@ -170,22 +170,10 @@ def devices_page(t: Tables, ctx: RunContext, page=3, limit=100) -> DataFrame:
 
 
 def page_walk(t: Tables, ctx: RunContext, limit: int = 500) -> DataFrame:
-    """L3 by keyset: every page of the devices, each cut behind the last row of
-    the page before, with its page number. The driver sees one row per page,
-    the last; each page is a bounded top-k written to the shared folder."""
-    keys = ["name", "__eui"]
-    keyed = device_order_keys(t["device"]).select("name", "__eui", "application_id")
-    pages, after = [], None
-    while True:
-        cut = page_after(keyed, keys, after, limit).checkpoint()
-        last = cut.orderBy(F.col("name").desc_nulls_first(), F.col("__eui").desc_nulls_first()).first()
-        if last is None:
-            break
-        pages.append(cut.withColumn("page", F.lit(len(pages) + 1)))
-        after = last.asDict()
-    out = pages[0] if pages else keyed.limit(0).withColumn("page", F.lit(0))
-    for p in pages[1:]:
-        out = out.unionByName(p)
+    """L3: every device with the number of its page, numbered in one sort on
+    Spark. Single deep pages are cut by keyset (``page_after``)."""
+    keyed = device_order_keys(t["device"]).select("name", "__eui")
+    out = page_numbers(keyed, ["name", "__eui"], limit)
     return out.select(F.lower(F.col("__eui")).alias("device_eui"), F.col("name").alias("device_name"), "page")
 
 
