@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from fleetlens.llm import ann, chat, dac, exact_dedup, jaccard_join, lm_score, mixing, packing, pii, toxicity
+from fleetlens.llm import (ann, chat, dac, exact_dedup, jaccard_join, lm_score, merkle, mixing, packing, pii,
+                           toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -20,10 +21,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_chat_rotation": chat.op9_chat_rotation,
     "op10_lm_score": lm_score.op10_lm_score,
+    "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_chat_rotation": chat.ORACLE,
+    "op12_merkle_manifest": merkle.ORACLE,
 }
