@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from fleetlens.llm import (ann, chat, dac, exact_dedup, jaccard_join, lm_score, merkle, mixing, packing, pii,
-                           repair, toxicity)
+                           repair, rlz, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": toxicity.op1_toxicity,
@@ -21,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": packing.op8_packing,
     "op9_chat_rotation": chat.op9_chat_rotation,
     "op10_lm_score": lm_score.op10_lm_score,
+    "op11_substring_dedup": rlz.op11_substring_dedup,
     "op12_merkle_manifest": merkle.op12_merkle_manifest,
     "op13_conversation_repair": repair.op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_chat_rotation": chat.ORACLE,
+    "op11_substring_dedup": rlz.ORACLE,
     "op12_merkle_manifest": merkle.ORACLE,
     "op13_conversation_repair": repair.ORACLE,
 }

@@ -13,7 +13,7 @@ _TURNS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                    0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
-class _WordHashes(dict):
+class WordCache(dict):
     """64-bit hash of a word, kept for words seen before; emptied when full."""
 
     def __missing__(self, word: bytes) -> int:
@@ -33,7 +33,7 @@ def mix(h: np.ndarray) -> np.ndarray:
 def word_hashes(text: str | None) -> np.ndarray:
     """Hashes of the words (runs of other than space and 0x09-0x0D), A-Z lowered."""
     words = (text or "").encode().lower().split()  # bytes: ASCII letters and white space only
-    hashes = worker_cache("words", _WordHashes)
+    hashes = worker_cache("words", WordCache)
     return np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
