@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -16,11 +16,30 @@ def combine_servers(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Insert or update by key, never delete: every incoming row, plus
-    the current rows whose key the incoming export does not carry."""
-    kept = current.join(incoming.select(*keys), list(keys), "left_anti")
-    return incoming.unionByName(kept.select(*incoming.columns))
+def row_rank(df: DataFrame, order: Sequence[str]) -> Column:
+    """What decides between rows of one key: the ``order`` columns, NULL first, then a
+    hash of the row, so that ties fall the same way in every run."""
+    return F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie"))
+
+
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row per key (NULL is a key like others): the one of the highest
+    :func:`row_rank`. An aggregate that Spark combines map-side."""
+    others = [c for c in df.columns if c not in keys]
+    packed = F.struct(*[F.col(c) for c in others])
+    agg = df.groupBy(*keys).agg(F.max_by(packed, row_rank(df, order)).alias("__row"))
+    return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
+
+
+def upsert(current: DataFrame, incoming: DataFrame, keys: Sequence[str],
+           order_col: str = "export_timestamp") -> DataFrame:
+    """Insert or update by key, never delete: one row per key, the incoming one
+    before the current one; of several incoming rows of a key the newest. A NULL
+    key is a key like others. One aggregation over both sides, no join."""
+    order = [order_col] if order_col in incoming.columns else []
+    both = (incoming.withColumn("__incoming", F.lit(1))
+            .unionByName(current.select(*incoming.columns).withColumn("__incoming", F.lit(0))))
+    return newest_per_key(both, keys, ["__incoming", *order]).drop("__incoming")
 
 
 def is_newer(incoming_ts: str | None, last_applied_ts: str | None) -> bool:

@@ -19,7 +19,7 @@ from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS
 from fleetlens.session import scratch_path
 from fleetlens.sinks import snapshot as snap
 from fleetlens.sources import files
-from fleetlens.streaming.sync import read_target, sync_stream
+from fleetlens.streaming.sync import read_target, sync_published
 
 DEVICE_KEYS = ("source_server", "device_eui")
 
@@ -321,21 +321,22 @@ def snapshot_diff(t, ctx: RunContext) -> DataFrame:
 
 
 def stream_sync(t, ctx: RunContext) -> DataFrame:
-    """yesterday's snapshot lands and is synced; then today's lands twice
-    (re-delivered) and is synced under a new checkpoint, so that everything is
-    delivered again to a target that has versions; the target is returned."""
+    """T1 + K6: yesterday's run is published and synced; then today's is published
+    next to one that was written and never published, and synced under a new
+    checkpoint, so that both published runs are delivered (again) to a target
+    that has versions. The target is returned."""
     spark = _spark(t)
     old, new = _device_snapshots(t, ctx)
-    landing = scratch_path(spark, "landing")
-    target = scratch_path(spark, "target")
-    ckpt = scratch_path(spark, "stream-ckpt")
-    schema = old.schema
-    old.write.mode("overwrite").parquet(f"{landing}/{previous_run(ctx).run_id}")
-    sync_stream(spark, landing, target, DEVICE_KEYS, schema, ckpt)
-    new.write.mode("overwrite").parquet(f"{landing}/{ctx.run_id}")
-    new.write.mode("overwrite").parquet(f"{landing}/{ctx.run_id}-redelivered")
-    sync_stream(spark, landing, target, DEVICE_KEYS, schema, scratch_path(spark, "stream-ckpt"))
-    return read_target(spark, target, schema)
+    root, target, before = scratch_path(spark, "published"), scratch_path(spark, "target"), previous_run(ctx)
+    failed = RunContext(as_of=ctx.as_of + timedelta(hours=1))
+    snap.write_snapshot(old, root, "devices", before.run_id, ordered=False)
+    snap.publish_current(spark, root, before)
+    sync_published(spark, root, "devices", target, DEVICE_KEYS, scratch_path(spark, "stream-ckpt"))
+    snap.write_snapshot(new.withColumn("export_timestamp", F.lit(failed.run_id)), root, "devices", failed.run_id, ordered=False)
+    snap.write_snapshot(new, root, "devices", ctx.run_id, ordered=False)
+    snap.publish_current(spark, root, ctx)
+    sync_published(spark, root, "devices", target, DEVICE_KEYS, scratch_path(spark, "stream-ckpt"))
+    return read_target(spark, target, old.schema)
 
 
 LIFECYCLE = {
