@@ -17,6 +17,7 @@ from fleetlens.functions.exprs import sync_status_columns
 from fleetlens.operators.setops import diff, upsert_if_newer
 from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS
 from fleetlens.session import scratch_path
+from fleetlens.sinks import directory
 from fleetlens.sinks import snapshot as snap
 from fleetlens.sources import files
 from fleetlens.streaming.sync import read_target, sync_published
@@ -116,7 +117,7 @@ def two_runs(t, ctx: RunContext) -> str:
         root = scratch_path(spark, "runs")
         for c in (previous_run(ctx), ctx):
             snap.run_exports(spark, t, c, root, parallelism=4,
-                             formats=("parquet", "csv", "json") if c is ctx else ("parquet",))
+                             formats=("parquet", "csv", "json") if c is ctx else ("parquet",), indexes=("pages", "search"))
         _RUN_CACHE[key] = root
     return _RUN_CACHE[key]
 
@@ -183,17 +184,82 @@ def fetch_codec(t, ctx: RunContext) -> DataFrame:
 
 
 def manifest_view(t, ctx: RunContext) -> DataFrame:
-    """Listing of the current run joined with its record counts."""
+    """Listing of the current run joined with the counts gathered while it was written."""
     spark = _spark(t)
     root = two_runs(t, ctx)
     rid = snap.current_run_id(spark, root)
-    frames = {n: snap.read_snapshot(spark, root, n, rid) for n in RUN_EXPORTS}
-    frames[snap.CODECS] = spark.read.parquet(snap.codecs_path(root, rid))
-    counts = snap.record_counts(frames)
+    counts = snap.run_manifest(spark, root, rid).select("export_name", "records")
     return snap.manifest(snap.list_exports(spark, root, rid), counts).select(
         "name", (F.col("files") > 0).alias("has_files"), "records")
 
 
+def gathered_counts(t, ctx: RunContext) -> DataFrame:
+    """K9: what the current run's manifest holds of every export: rows, smallest and
+    largest key, and the NULLs of all its columns together."""
+    spark = _spark(t)
+    m = snap.run_manifest(spark, two_runs(t, ctx)).filter(F.col("export_name") != snap.CODECS)
+    nulls = F.aggregate(F.map_values(F.coalesce("null_counts", F.create_map().cast("map<string, bigint>"))),
+                        F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return m.select("export_name", "records", "first_key", "last_key", nulls.alias("null_values"))
+
+
+def export_order(t, ctx: RunContext) -> DataFrame:
+    """L1 + L2: the place of every row of every sorted export of the current run, from
+    the page directory and the row's place in its file, with the row's identifying
+    columns as text."""
+    spark = _spark(t)
+    root = two_runs(t, ctx)
+    rid = snap.current_run_id(spark, root)
+    out = None
+    for name in RUN_EXPORTS:
+        if not directory.order_keys(name) or not EXPORTS[name].unique:
+            continue
+        files_ = directory.read_directory(spark, root, rid, name).orderBy("ordinal").collect()  # a row per file
+        rows = directory.placed(spark, root, rid, name, files_) if files_ else None
+        if rows is not None:
+            key = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in EXPORTS[name].unique])
+            rows = rows.select(F.lit(name).alias("export_name"), F.col("__place").alias("place"), key.alias("row_key"))
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def current_devices_page(t, ctx: RunContext, page: int = 3, limit: int = 100) -> DataFrame:
+    """V7 on the read path: a page of the published device export by the page directory."""
+    from fleetlens.plans import read_api
+    return read_api.export_page(_spark(t), two_runs(t, ctx), "devices", page, limit)[1]
+
+
+def current_device_by_eui(t, ctx: RunContext) -> DataFrame:
+    """F6 on the read path: the published device of the smallest EUI, fetched by it, and
+    of an EUI that no device has (no row)."""
+    from fleetlens.plans import read_api
+    spark, root = _spark(t), two_runs(t, ctx)
+    first = snap.run_manifest(spark, root).filter("export_name = 'devices'").first()["first_key"]
+    return (read_api.device_by_eui(spark, root, first or "")
+            .unionByName(read_api.device_by_eui(spark, root, "no such device")))
+
+
+#: Needles of the search cases: one, two and three characters, an application name
+#: in part, a whole EUI and one that nothing holds.
+SEARCH_CASES = ("7", "V-", "dev", "#00000012", "0000000000000001", "r#000000077", "no such device at all")
+
+
+def current_search_cases(t, ctx: RunContext) -> DataFrame:
+    """F9 on the read path, by the index: several needles, each with its total and the
+    first hundred devices (one row without a device where nothing matches)."""
+    from fleetlens.plans import read_api
+    spark, root = _spark(t), two_runs(t, ctx)
+    out = None
+    for q in SEARCH_CASES:
+        total, rows = read_api.search_devices(spark, root, q)
+        rows = rows.select(F.col("device_eui"))
+        if not total:
+            rows = spark.createDataFrame([(None,)], "device_eui string")
+        rows = rows.select(F.lit(q).alias("query"), F.lit(total).cast("bigint").alias("match_count"), "device_eui")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def run_stats(t, ctx: RunContext) -> DataFrame:
     """V1 from the published run: exports and codecs counted in its folders,
     totals of both written summaries."""
@@ -355,6 +421,11 @@ LIFECYCLE = {
     "manifest": manifest_view,
     "health": health,
     "current_device_search": current_device_search,
+    "current_search_cases": current_search_cases,
+    "current_devices_page": current_devices_page,
+    "current_device_by_eui": current_device_by_eui,
+    "gathered_counts": gathered_counts,
+    "export_order": export_order,
     "sync_freshness": sync_freshness,
     "record_counts": record_counts_view,
     "record_totals": record_totals_view,

@@ -5,6 +5,9 @@ Layout under a shared root (a cluster path, never a machine-local folder):
     archive/<export>/snapshot=<run_id>/part-*    one write-once dataset per export and run
     archive/codec_scripts/snapshot=<run_id>/part-*     the codec dataset of the run
     archive/_metadata/snapshot=<run_id>/part-*.json
+    archive/_manifest/snapshot=<run_id>/part-*.json     rows, null counts and key range of every export
+    archive_index/pages/snapshot=<run_id>/part-*        the page directory (``sinks.directory``)
+    archive_index/search/snapshot=<run_id>/...          the search index of the devices (``sinks.search_index``)
     current/pointer/run_id=<run_id>/part-*.json   written after every export of the run succeeded
 
 Readers resolve "current" as the newest published run, so a run that fails
@@ -17,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,12 +87,14 @@ def write_json(df: DataFrame, path: str, stringly_typed: bool = False, mode: str
 
 # ------------------------------------------------------------------ K3, K4
 
-def write_codecs(tables: Mapping, path: str, mode: str = "overwrite") -> None:
+def write_codecs(tables: Mapping, path: str, mode: str = "overwrite", gathered: Gathered | None = None) -> None:
     """K3: every exportable codec script in one job, as a dataset keyed by
     its file name (one parquet file per task, however many codecs). The
-    listing and the fetch by name are projections and filters over it."""
-    (codec_files(tables).withColumn("size_bytes", F.octet_length("script") + 1)
-        .write.mode(mode).parquet(path))
+    listing and the fetch by name are projections and filters over it. Each file
+    is sorted by the name and has Bloom filters of it (S9), without a shuffle."""
+    df = codec_files(tables).withColumn("size_bytes", F.octet_length("script") + 1).sortWithinPartitions("codec_file")
+    df = gathered.over(df) if gathered else df
+    df.write.mode(mode).options(**key_options(["codec_file"])).parquet(path)
 
 
 def write_codec_files(tables: Mapping, path: str, mode: str = "overwrite") -> None:
@@ -135,11 +140,70 @@ def text_path(root: str, form: str, export: str, run_id: str) -> str:
     return f"{root.rstrip('/')}/archive_{form}/{export}/snapshot={run_id}"
 
 
-def write_snapshot(df: DataFrame, root: str, export: str, run_id: str, ordered: bool = True) -> str:
-    """K5: the export of one run, sorted as its file order, as parquet."""
-    out = EXPORTS[export].ordered(df) if (ordered and export in EXPORTS) else df
+def key_options(columns: Iterable[str]) -> dict[str, str]:
+    """Parquet write options for looking rows up by these columns: a Bloom filter
+    of each per row group, so that a lookup opens the row groups that may hold
+    the key and an absent key opens none. The filters are sized by the values
+    they get, up to 1 MB a row group."""
+    out = {"parquet.bloom.filter.adaptive.enabled": "true"}
+    for c in columns:
+        out[f"parquet.bloom.filter.enabled#{c}"] = "true"
+    return out
+
+
+class Gathered:
+    """K9: rows, NULLs per column and the smallest and largest key of a frame,
+    gathered by the job that writes it."""
+
+    def __init__(self, name: str, key: str | None = None):
+        self.name, self.key, self.observation = name, key, Observation(f"gathered-{name}")
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """``df``, observed. Put it on what is written, behind the sort: a sort's
+        sampling job then does not count."""
+        self.columns = df.columns
+        key = F.col(self.key).cast("string") if self.key else F.lit(None).cast("string")
+        nulls = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null_{i}") for i, c in enumerate(df.columns)]
+        return df.observe(self.observation, F.count(F.lit(1)).alias("records"), F.min(key).alias("first_key"),
+                          F.max(key).alias("last_key"), *nulls)
+
+    def entry(self) -> dict:
+        """The manifest's row, once the frame is written."""
+        got = self.observation.get
+        nulls = {c: got.get(f"null_{i}", 0) for i, c in enumerate(self.columns)}
+        return {"export_name": self.name, "records": got.get("records", 0), "key_column": self.key,
+                "first_key": got.get("first_key"), "last_key": got.get("last_key"),
+                "null_counts": {c: n for c, n in nulls.items() if n}}
+
+
+MANIFEST_SCHEMA = ("export_name string, records bigint, key_column string, first_key string, last_key string, "
+                   "null_counts map<string, bigint>")
+
+
+def manifest_path(root: str, run_id: str) -> str:
+    return f"{root.rstrip('/')}/archive/_manifest/snapshot={run_id}"
+
+
+def run_manifest(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
+    """What was gathered while a run (default: the current one) was
+    written, a row per export; no export is read."""
+    rid = run_id or current_run_id(spark, root)
+    if rid is None:
+        raise FileNotFoundError(f"no published run under {root}")
+    return spark.read.schema(MANIFEST_SCHEMA).json(manifest_path(root, rid))
+
+
+def write_snapshot(df: DataFrame, root: str, export: str, run_id: str, ordered: bool = True,
+                   gathered: Gathered | None = None) -> str:
+    """K5: the export of one run, sorted as its file order, as parquet, with Bloom
+    filters of its identifying text columns; ``gathered`` takes its counts."""
+    known = EXPORTS.get(export)
+    out = known.ordered(df) if (ordered and known) else df
+    types = dict(df.dtypes)
+    keys = [c for c in (known.unique if known else ()) if types.get(c) == "string"]
+    out = gathered.over(out) if gathered else out
     path = snapshot_path(root, export, run_id)
-    out.write.mode("overwrite").parquet(path)
+    out.write.mode("overwrite").options(**key_options(keys)).parquet(path)
     return path
 
 
@@ -235,6 +299,7 @@ def run_folders(spark: SparkSession, root: str) -> dict[str, list[str]]:
     for pattern, prefix in ((f"{base}/archive/*/snapshot=*", "snapshot="),
                             (f"{base}/archive_csv/*/snapshot=*", "snapshot="),
                             (f"{base}/archive_json/*/snapshot=*", "snapshot="),
+                            (f"{base}/archive_index/*/snapshot=*", "snapshot="),
                             (f"{base}/staging/snapshot=*", "snapshot="),
                             (f"{base}/current/pointer/run_id=*", "run_id=")):
         for p in glob_paths(spark, pattern):
@@ -357,7 +422,7 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
                 names: Iterable[str] = RUN_EXPORTS, extra: Mapping | None = None,
                 publish: bool = True, with_codecs: bool = True, stage: bool = False,
                 parallelism: int = 1, sort_on_write: bool = True, buckets: int = 0,
-                formats: Iterable[str] = ("parquet",)) -> RunResult:
+                formats: Iterable[str] = ("parquet",), indexes: Iterable[str] = ("pages",)) -> RunResult:
     """Write every export of a run, each in its own try; a failing
     export is recorded and the run goes on, but the run is only published
     when all of them succeeded. ``stage`` snapshots the sources first (for a
@@ -367,7 +432,9 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
     range sort of each export file: readers page and search with a top-k on
     the same keys, so only consumers of the raw files need the file order.
     ``formats`` adds "csv" and "json" next to the parquet of every export,
-    made from the written parquet, so an export is computed once."""
+    made from the written parquet, so an export is computed once. Counts are
+    gathered while writing (K9) and kept as the run's manifest. ``indexes``: "pages"
+    writes the page directory, "search" the device search index, both of a sorted run."""
     from concurrent.futures import ThreadPoolExecutor
 
     if path_exists(spark, f"{root.rstrip('/')}/current/pointer/run_id={ctx.run_id}"):
@@ -381,36 +448,49 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
     def one(item):
         name, build = item
         try:
+            known = EXPORTS.get(name)
+            gathered = Gathered(name, known.unique[0] if known and known.unique else None)
             df = build()
-            path = write_snapshot(df, root, name, ctx.run_id, ordered=sort_on_write)
-            written = spark.read.parquet(path)
+            path = write_snapshot(df, root, name, ctx.run_id, ordered=sort_on_write, gathered=gathered)
             if "csv" in formats:
-                write_csv(written, text_path(root, "csv", name, ctx.run_id))
+                write_csv(spark.read.parquet(path), text_path(root, "csv", name, ctx.run_id))
             if "json" in formats:
-                write_json(written, text_path(root, "json", name, ctx.run_id), stringly_typed=True)
-            return (name, True, written.count(), None)
+                write_json(spark.read.parquet(path), text_path(root, "json", name, ctx.run_id), stringly_typed=True)
+            entry = gathered.entry()
+            entries.append(entry)
+            schemas[name] = df.schema
+            return (name, True, entry["records"], None)
         except Exception as e:  # noqa: BLE001 - recorded, the run continues
             return (name, False, None, f"{type(e).__name__}: {e}")
 
-    items = list(builders.items())
-    if with_codecs:
-        def codecs():
-            path = codecs_path(root, ctx.run_id)
-            write_codecs(tables, path)
-            return spark.read.parquet(path)
-        items.append((CODECS, lambda: None))
-    rows = []
+    entries: list[dict] = []
+    schemas: dict[str, T.StructType] = {}
     if parallelism > 1:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            rows = list(pool.map(one, [i for i in items if i[0] != CODECS]))
+            rows = list(pool.map(one, builders.items()))
     else:
-        rows = [one(i) for i in items if i[0] != CODECS]
+        rows = [one(i) for i in builders.items()]
     if with_codecs:
         try:
-            n = codecs().count()
-            rows.append((CODECS, True, n, None))
+            gathered = Gathered(CODECS, "codec_file")
+            write_codecs(tables, codecs_path(root, ctx.run_id), gathered=gathered)
+            entries.append(gathered.entry())
+            rows.append((CODECS, True, entries[-1]["records"], None))
         except Exception as e:  # noqa: BLE001
             rows.append((CODECS, False, None, f"{type(e).__name__}: {e}"))
+    if entries:  # a row per export
+        (spark.createDataFrame(entries, MANIFEST_SCHEMA).coalesce(1)
+         .write.mode("overwrite").json(manifest_path(root, ctx.run_id)))
+    written = {n: schemas[n] for n in sorted(schemas) if n in EXPORTS}
+    if sort_on_write and written:
+        from fleetlens.sinks import directory, search_index
+        wanted = {"pages": lambda: directory.write_directory(spark, root, ctx.run_id, written),
+                  "search": lambda: "devices" in written and search_index.write_index(spark, root, ctx.run_id)}
+        for index in indexes:
+            try:
+                wanted[index]()
+            except Exception as e:  # noqa: BLE001 - recorded; the run is then not published
+                rows.append((f"index {index}", False, None, f"{type(e).__name__}: {e}"))
     if stage and buckets > 0:
         drop_stage_tables(spark, ctx.run_id)
     ok = all(r[1] for r in rows)
@@ -423,14 +503,15 @@ def run_exports(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str
 
 def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, keep: int = 10,
             stage: bool = False, parallelism: int = 4, sort_on_write: bool = True,
-            buckets: int = 0, formats: Iterable[str] = ("parquet", "csv", "json")) -> RunResult:
+            buckets: int = 0, formats: Iterable[str] = ("parquet", "csv", "json"),
+            indexes: Iterable[str] = ("pages", "search")) -> RunResult:
     """The scheduled job: one full run (every export, the codecs),
     publication, then removal of snapshots beyond the newest ``keep``
     published runs. Stage the sources (``stage=True``) when they are read
     over JDBC; file sources are already immutable snapshots and copying them
     every run would rewrite the whole fleet each time."""
     res = run_exports(spark, tables, ctx, root, stage=stage, parallelism=parallelism,
-                      sort_on_write=sort_on_write, buckets=buckets, formats=formats)
+                      sort_on_write=sort_on_write, buckets=buckets, formats=formats, indexes=indexes)
     if res.published:
         runs = published_runs(spark, root).select(F.col("run_id").alias("snapshot"))
         ranked = expired_snapshots(runs, keep).collect()      # one row per published run
@@ -441,7 +522,7 @@ def refresh(spark: SparkSession, tables: Mapping, ctx: RunContext, root: str, ke
         # still being written is newer than that): drop them too
         oldest_kept = min(r["snapshot"] for r in ranked if r["keep"])
         failed = {rid for rid in folders if rid not in published and rid < oldest_kept}
-        paths = [f"{root.rstrip('/')}/archive/_metadata/snapshot={rid}" for rid in expired]
+        paths = [f"{root.rstrip('/')}/archive/{kind}/snapshot={rid}" for rid in expired for kind in ("_metadata", "_manifest")]
         for rid in expired | failed:
             paths += folders.get(rid, [])
         delete_paths(spark, paths)

@@ -60,6 +60,48 @@ new AS (SELECT * FROM ({DEVICES_SELECT}) WHERE activity_status <> 'Never')
 """
 
 
+#: File order of every sorted export: ORDER BY, and the columns that identify a row.
+EXPORT_ORDER = {
+    "servers": ("server_name", ("server_id",)), "tenants": ("tenant_name", ("tenant_id",)),
+    "applications": ("application_name", ("application_id",)), "device_profiles": ("profile_name", ("profile_id",)),
+    "devices": ("device_name", ("device_eui",)), "gateways": ("gateway_name", ("gateway_eui",)),
+    "payload_codecs_metadata": ("tenant_name, profile_name", ("profile_id",)),
+    "device_summary": ("tenant_name", ("tenant_id",)), "gateway_summary": ("tenant_name", ("tenant_id",)),
+    "users": ("email", ("user_id",)), "tenant_user_roles": ("tenant_name, user_email", ("tenant_id", "user_id")),
+    "integrations": ("application_name, integration_type",
+                     ("application_id", "created_at", "updated_at", "configuration_json")),
+    "multicast_groups": ("group_name", ("multicast_group_id",)),
+    "multicast_group_devices": ("multicast_group_name, device_name", ("multicast_group_id", "device_eui")),
+    "device_queue": ("created_at DESC", ("queue_item_id",)), "api_keys": ("api_key_name", ("api_key_id",)),
+    "relay_devices": ("relay_device_name, device_name", ("relay_device_eui", "device_eui")),
+    "relay_gateways": ("relay_gateway_name", ("relay_gateway_id",)),
+    "fuota_deployments": ("created_at DESC", ("deployment_id",)),
+}
+
+
+def _nulls(col: str) -> str:
+    return f"{col} NULLS FIRST" if col.endswith("DESC") else f"{col} ASC NULLS LAST"
+
+
+def _order_by(name: str) -> str:
+    order, unique = EXPORT_ORDER[name]
+    return ", ".join(_nulls(c.strip()) for c in [*order.split(","), *unique])
+
+
+def _search_case(needle: str, devices: str) -> str:
+    return f"""
+SELECT '{needle}' AS query, n AS match_count, h.device_eui
+FROM (SELECT COUNT(*) AS n FROM {devices} WHERE {_holds(needle)}) c
+LEFT JOIN (SELECT device_eui FROM {devices} WHERE {_holds(needle)} ORDER BY device_name, device_eui LIMIT 100) h ON true"""
+
+
+def _holds(needle: str) -> str:
+    return " OR ".join(f"contains(lower({c}), '{needle.lower()}')" for c in ("device_name", "device_eui", "application_name"))
+
+
+SEARCH_CASES = ("7", "V-", "dev", "#00000012", "0000000000000001", "r#000000077", "no such device at all")
+
+
 def lifecycle_queries() -> dict[str, str]:
     ex = export_queries()
     q: dict[str, str] = {}
@@ -89,6 +131,21 @@ hits AS (SELECT * FROM cur WHERE contains(lower(device_name), '42') OR contains(
                             OR contains(lower(application_name), '42'))
 SELECT h.*, '42' AS query, (SELECT COUNT(*) FROM hits) AS match_count
 FROM (SELECT * FROM hits ORDER BY device_name, device_eui LIMIT 100) h"""
+    q["current_devices_page"] = with_ctes(DEVICES_CTES, f"SELECT * FROM ({DEVICES_SELECT}) ORDER BY {_order_by('devices')} LIMIT 100 OFFSET 200")
+    q["current_device_by_eui"] = with_ctes(DEVICES_CTES, f"SELECT * FROM ({DEVICES_SELECT}) ORDER BY device_eui LIMIT 1")
+    q["current_search_cases"] = (with_ctes(DEVICES_CTES, "").rstrip() + f",\ncur AS ({DEVICES_SELECT})\n"
+                                 + "\nUNION ALL\n".join(_search_case(n, "cur") for n in SEARCH_CASES))
+    q["gathered_counts"] = "\nUNION ALL\n".join(
+        f"""SELECT '{n}' AS export_name, (SELECT COUNT(*) FROM ({ex[n]})) AS records,
+       {f"(SELECT MIN(CAST({key} AS VARCHAR)) FROM ({ex[n]}))" if key else "CAST(NULL AS VARCHAR)"} AS first_key,
+       {f"(SELECT MAX(CAST({key} AS VARCHAR)) FROM ({ex[n]}))" if key else "CAST(NULL AS VARCHAR)"} AS last_key,
+       (SELECT COUNT(*) FILTER (v IS NULL) FROM (SELECT CAST(COLUMNS(*) AS VARCHAR) FROM ({ex[n]}))
+        UNPIVOT INCLUDE NULLS (v FOR c IN (COLUMNS(*)))) AS null_values"""
+        for n in RUN_EXPORTS for key in [EXPORT_ORDER[n][1][0] if n in EXPORT_ORDER else None])
+    q["export_order"] = "\nUNION ALL\n".join(
+        f"""SELECT '{n}' AS export_name, row_number() OVER (ORDER BY {_order_by(n)}) - 1 AS place,
+       concat_ws('|', {", ".join(f"COALESCE(CAST({c} AS VARCHAR), '-')" for c in unique)}) AS row_key FROM ({ex[n]})"""
+        for n, (_, unique) in EXPORT_ORDER.items())
     q["health"] = with_ctes(("f_device",), f"""
 SELECT 'ok' AS status, '{EXPORT_DATE}' AS last_export, '{SERVER}' AS server,
        COUNT(*) AS device_records, MAX(last_seen_at) AS last_contact FROM f_device""")
