@@ -153,10 +153,11 @@ DEVICE_COUNTERS = ("total_devices", "active_devices", "disabled_devices", "devic
                    "class_a_devices", "class_b_devices", "class_c_devices")
 
 
-def device_rollup_by_tenant(t: Tables, ctx: RunContext) -> DataFrame:
+def device_rollup_by_tenant(t: Tables, ctx: RunContext, per_app: DataFrame | None = None) -> DataFrame:
     """Device counters per tenant id (devices reach a tenant through their
-    application; orphans and tenant-less applications drop out)."""
-    per_app = device_rollup_by_application(t["device"], ctx)
+    application; orphans and tenant-less applications drop out). ``per_app``:
+    the counters per application if they are kept elsewhere."""
+    per_app = device_rollup_by_application(t["device"], ctx) if per_app is None else per_app
     apps = t["application"].select(F.col("id").alias("app_id"), "tenant_id")
     j = per_app.join(apps, per_app["application_id"] == apps["app_id"])
     return j.groupBy("tenant_id").agg(
@@ -351,7 +352,12 @@ def _codec_count(t: Tables, ctx: RunContext) -> DataFrame:
 
 def _device_summary(t: Tables, ctx: RunContext) -> DataFrame:
     """Q9: per tenant device counters (tenant -> application -> device)."""
-    per_tenant = device_rollup_by_tenant(t, ctx)
+    return device_summary_of(t, ctx)
+
+
+def device_summary_of(t: Tables, ctx: RunContext, per_app: DataFrame | None = None) -> DataFrame:
+    """Q9, from the device table or from counters kept per application."""
+    per_tenant = device_rollup_by_tenant(t, ctx, per_app)
     tn = t["tenant"]
     j = tn.join(per_tenant, tn["id"] == per_tenant["tenant_id"], "left")
     zero = F.lit(0).cast("bigint")

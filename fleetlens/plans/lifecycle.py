@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from fleetlens.context import RunContext
 from fleetlens.functions.exprs import sync_status_columns
 from fleetlens.operators.setops import diff, upsert_if_newer
-from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS
+from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, device_summary_of
 from fleetlens.session import scratch_path
-from fleetlens.sinks import directory
+from fleetlens.sinks import codec_store, digest_tree, directory, kept_summary, keyed_store
 from fleetlens.sinks import snapshot as snap
-from fleetlens.sources import files
+from fleetlens.sources import files, reconcile
 from fleetlens.streaming.sync import read_target, sync_published
 
 DEVICE_KEYS = ("source_server", "device_eui")
@@ -386,6 +386,111 @@ def snapshot_diff(t, ctx: RunContext) -> DataFrame:
     return diff(old, new, DEVICE_KEYS).select("device_eui", "change")
 
 
+def snapshot_changes(t, ctx: RunContext) -> DataFrame:
+    """U3 by digest trees: the devices that were added, removed or changed."""
+    spark = _spark(t)
+    paths = []
+    for name, df in zip(("old", "new"), _device_snapshots(t, ctx)):
+        paths.append(scratch_path(spark, f"tree-{name}"))
+        digest_tree.write_tree(df, paths[-1], DEVICE_KEYS)
+    return digest_tree.tree_diff(spark, *paths, DEVICE_KEYS).select("device_eui", "change")
+
+
+KEPT_RUNS = 4
+
+
+def _kept_state(t, ctx: RunContext, table: str, key: str, spec: kept_summary.Spec) -> DataFrame:
+    """Counters of a table kept over four daily runs. A run knows the contacts up to its
+    own time (the last one all of them); its changed rows are merged into a keyed
+    store, and only what differs between two versions of that reaches the counters."""
+    spark = _spark(t)
+    store, path = scratch_path(spark, f"kept-{table}"), scratch_path(spark, f"summary-{table}")
+    rows, seen = t[table], F.col("last_seen_at")
+    before = None
+    for k in range(KEPT_RUNS):
+        c = previous_run(ctx, KEPT_RUNS - 1 - k) if k + 1 < KEPT_RUNS else ctx
+        known = rows if k + 1 == KEPT_RUNS else rows.withColumn("last_seen_at", F.when(seen <= c.now(), seen))
+        batch = known if before is None else known.filter(seen > before.now())
+        keyed_store.merge(spark, store, batch.withColumn("__version", F.lit(k)), [key], ["__version"], f"{k}.kept")
+        names = [n for _, n in keyed_store.versions(spark, store)]
+        if before is None:
+            kept_summary.start(spark, path, keyed_store.read_store(spark, store), spec, c)
+        else:
+            changed = keyed_store.changed_rows(spark, store, [key], *names[-2:])
+            kept_summary.advance(spark, path, changed, spec, before, c)
+        before = c
+    return kept_summary.read_state(spark, path)
+
+
+def kept_device_summary(t, ctx: RunContext) -> DataFrame:
+    """Q9 from counters kept by signed deltas."""
+    state = _kept_state(t, ctx, "device", "dev_eui", kept_summary.device_spec())
+    return device_summary_of(t, ctx, state)
+
+
+def kept_status_breakdown(t, ctx: RunContext) -> DataFrame:
+    """V3 from counters kept by signed deltas."""
+    return kept_summary.status_breakdown(_kept_state(t, ctx, "device", "dev_eui", kept_summary.device_spec()))
+
+
+def kept_gateway_counts(t, ctx: RunContext) -> DataFrame:
+    """The counters of Q10 kept by signed deltas, per tenant that has gateways."""
+    state = _kept_state(t, ctx, "gateway", "gateway_id", kept_summary.gateway_spec())
+    tn = t["tenant"].select("id", F.col("name").alias("tenant_name"))
+    return state.join(tn, state["tenant_id"] == tn["id"]).select(
+        "tenant_name", state["tenant_id"].cast("string").alias("tenant_id"),
+        *[F.col(c).cast("bigint").alias(c) for c in ("total_gateways", "online_gateways", "recent_gateways", "offline_gateways")])
+
+
+def codec_contents(t, ctx: RunContext) -> DataFrame:
+    """Q8b + K8 by content: yesterday's run stores all scripts, today's, in which the
+    scripts with an odd number of bytes got another line, stores those; yesterday's
+    run is dropped and what only it used is swept. Today's codecs with the run that
+    brought their contents, and the contents left in the store."""
+    spark = _spark(t)
+    root, before = scratch_path(spark, "contents"), previous_run(ctx)
+    codec_store.write_run(spark, t, root, before.run_id)
+    script = F.col("payload_codec_script")
+    edited = t["device_profile"].withColumn("payload_codec_script", F.when(
+        F.octet_length(script) % 2 == 1, F.concat(script, F.lit("\n// edited"))).otherwise(script))
+    codec_store.write_run(spark, {**{n: t[n] for n in ("device",)}, "device_profile": edited}, root, ctx.run_id)
+    snap.delete_paths(spark, [codec_store.refs_path(root, before.run_id)])
+    codec_store.sweep(spark, root, [ctx.run_id])
+    left = codec_store.read_objects(spark, root).select("digest").distinct().count()
+    return codec_store.read_run(spark, root, ctx.run_id).select(
+        "codec_file", "digest", "size_bytes", F.length("script").alias("script_chars"), F.lit(left).alias("contents_left"))
+
+
+def reconciled_servers(t, ctx: RunContext) -> DataFrame:
+    """U1 + S11 + S12: the device export of three servers of different versions, written
+    below three roots and read by one plan: an older one calls the counter ``fcntup``
+    and holds it and the margin in 32 and 16 bits, the oldest has no margin, holds the
+    battery in whole percent and the creation as a date."""
+    spark = _spark(t)
+    d = EXPORTS["devices"].build(t, ctx).select(
+        "device_eui", "device_name", "frame_counter_up", "margin", "battery_level", "created_at")
+    versions = {
+        "current": d,
+        "older": d.select("device_eui", "device_name", F.col("frame_counter_up").cast("int").alias("fcntup"),
+                          F.col("margin").cast("smallint").alias("Margin"), "battery_level", "created_at"),
+        "oldest": d.select("device_name", "device_eui", F.floor("battery_level").cast("int").alias("battery_level"),
+                           F.col("frame_counter_up").cast("int").alias("FCntUp"), F.col("created_at").cast("date").alias("created_at")),
+    }
+    roots = {}
+    for name, df in versions.items():
+        roots[name] = scratch_path(spark, f"server-{name}")
+        df.withColumn("source_server", F.lit(name)).write.parquet(roots[name])
+    return reconcile.read_servers(spark, roots, {"frame_counter_up": ["f_cnt_up", "fcntup"]})
+
+
+def placeholder_union(t, ctx: RunContext) -> DataFrame:
+    """The update deployments of a server whose schema has no such table (the
+    placeholder with its fixed header) and of one that has."""
+    full = EXPORTS["fuota_deployments"].build(t, ctx)
+    none = EXPORTS["fuota_deployments"].build({n: t[n] for n in t if n != "fuota_deployment"}, ctx)
+    return none.unionByName(full)
+
+
 def stream_sync(t, ctx: RunContext) -> DataFrame:
     """T1 + K6: yesterday's run is published and synced; then today's is published
     next to one that was written and never published, and synced under a new
@@ -433,5 +538,12 @@ LIFECYCLE = {
     "retention": retention,
     "upsert_devices": upsert_devices,
     "snapshot_diff": snapshot_diff,
+    "snapshot_changes": snapshot_changes,
+    "kept_device_summary": kept_device_summary,
+    "kept_status_breakdown": kept_status_breakdown,
+    "kept_gateway_counts": kept_gateway_counts,
+    "codec_contents": codec_contents,
+    "reconciled_servers": reconciled_servers,
+    "placeholder_union": placeholder_union,
     "stream_sync": stream_sync,
 }

@@ -103,6 +103,7 @@ SEARCH_CASES = ("7", "V-", "dev", "#00000012", "0000000000000001", "r#000000077"
 
 
 def lifecycle_queries() -> dict[str, str]:
+    from oracle_views import view_queries
     ex = export_queries()
     q: dict[str, str] = {}
     q["csv_roundtrip"] = with_ctes(("f_gateway", "f_tenant"), f"""
@@ -205,4 +206,24 @@ SELECT COALESCE(o.device_eui, n.device_eui) AS device_eui,
        CASE WHEN o.device_eui IS NULL THEN 'added' WHEN n.device_eui IS NULL THEN 'removed'
             WHEN {same} THEN 'unchanged' ELSE 'changed' END AS change
 FROM old o FULL OUTER JOIN new n ON {keys_eq}"""
+    q["snapshot_changes"] = f"SELECT * FROM ({q['snapshot_diff']}) WHERE change <> 'unchanged'"
+    q["kept_device_summary"] = ex["device_summary"]
+    q["kept_status_breakdown"] = view_queries()["device_status_breakdown"]
+    q["kept_gateway_counts"] = f"""
+SELECT tenant_name, tenant_id, total_gateways, online_gateways, recent_gateways, offline_gateways
+FROM ({ex['gateway_summary']}) WHERE total_gateways > 0"""
+    edited = "(CASE WHEN strlen(dp.payload_codec_script) % 2 = 1 THEN dp.payload_codec_script || chr(10) || '// edited' ELSE dp.payload_codec_script END)"
+    q["codec_contents"] = codec_base + f"""
+SELECT {SAFE_FILENAME} AS codec_file, sha256({edited}) AS digest, CAST(strlen({edited}) + 1 AS INTEGER) AS size_bytes,
+       CAST(length({edited}) AS INTEGER) AS script_chars,
+       (SELECT CAST(COUNT(DISTINCT {edited}) AS INTEGER) FROM f_device_profile dp WHERE {CODEC_PREDICATE}) AS contents_left
+FROM f_device_profile dp WHERE {CODEC_PREDICATE}"""
+    q["reconciled_servers"] = with_ctes(DEVICES_CTES, "").rstrip() + f""",
+d AS (SELECT device_eui, device_name, frame_counter_up, margin, battery_level, created_at FROM ({DEVICES_SELECT}))
+SELECT *, 'current' AS source_server FROM d
+UNION ALL
+SELECT *, 'older' FROM d
+UNION ALL
+SELECT device_eui, device_name, frame_counter_up, NULL, floor(battery_level), date_trunc('day', created_at), 'oldest' FROM d"""
+    q["placeholder_union"] = ex["fuota_deployments"]
     return q
