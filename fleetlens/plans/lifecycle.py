@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.context import RunContext
-from fleetlens.functions.exprs import sync_status_columns
+from fleetlens.functions.exprs import non_blank, sync_status_columns
 from fleetlens.operators.setops import diff, upsert_if_newer
 from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, device_summary_of
 from fleetlens.session import scratch_path
@@ -452,7 +452,7 @@ def codec_contents(t, ctx: RunContext) -> DataFrame:
     codec_store.write_run(spark, t, root, before.run_id)
     script = F.col("payload_codec_script")
     edited = t["device_profile"].withColumn("payload_codec_script", F.when(
-        F.octet_length(script) % 2 == 1, F.concat(script, F.lit("\n// edited"))).otherwise(script))
+        non_blank(script) & (F.octet_length(script) % 2 == 1), F.concat(script, F.lit("\n// edited"))).otherwise(script))
     codec_store.write_run(spark, {**{n: t[n] for n in ("device",)}, "device_profile": edited}, root, ctx.run_id)
     snap.delete_paths(spark, [codec_store.refs_path(root, before.run_id)])
     codec_store.sweep(spark, root, [ctx.run_id])

@@ -2,7 +2,8 @@
 
     archive_index/digests-<export>/snapshot=<run_id>/rows/part=<p>   keys, leaf, digest per key
     archive_index/digests-<export>/snapshot=<run_id>/leaves          digest per leaf bucket
-    archive_index/digests-<export>/snapshot=<run_id>/parts           digest per part, and the numbers of buckets
+    archive_index/digests-<export>/snapshot=<run_id>/parts           digest per part
+    archive_index/digests-<export>/snapshot=<run_id>/shape           numbers of buckets, schema of the rows; written last
 
 A digest is free of order: the number of rows and the sums of two hashes of each. Keys
 fall into ``parts`` x ``leaves`` buckets by hash. Two trees are compared from the top:
@@ -13,10 +14,12 @@ lie in a folder per part, sorted by leaf.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fleetlens.sinks.keyed_store import same_keys
 from fleetlens.sources.tables import path_exists
@@ -52,12 +55,18 @@ def write_tree(df: DataFrame, path: str, keys: Sequence[str], cols: Sequence[str
     spark = df.sparkSession
     rows = spark.read.schema(per_key.schema).parquet(f"{path}/rows")
     _summed(rows, ["part", "leaf"]).orderBy("part", "leaf").write.mode("overwrite").parquet(f"{path}/leaves")
-    top = _summed(spark.read.parquet(f"{path}/leaves"), ["part"])
-    top.withColumns({"parts": F.lit(parts), "leaves": F.lit(leaves)}).coalesce(1).write.mode("overwrite").parquet(f"{path}/parts")
+    low = spark.read.schema(f"part int, leaf int, {_SUMS}").parquet(f"{path}/leaves")
+    _summed(low, ["part"]).write.mode("overwrite").parquet(f"{path}/parts")
+    shape = [(parts, leaves, per_key.drop("part").schema.json())]
+    spark.createDataFrame(shape, _SHAPE).coalesce(1).write.mode("overwrite").json(f"{path}/shape")
+
+
+_SUMS = "n bigint, s1 decimal(38,0), s2 decimal(38,0)"
+_SHAPE = "parts int, leaves int, rows string"
 
 
 def has_tree(spark: SparkSession, path: str) -> bool:
-    return path_exists(spark, f"{path}/parts/_SUCCESS")
+    return path_exists(spark, f"{path}/shape/_SUCCESS")
 
 
 def _differing(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -69,20 +78,19 @@ def _differing(a: DataFrame, b: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def tree_diff(spark: SparkSession, old: str, new: str, keys: Sequence[str]) -> DataFrame:
     """Keys that were ``added``, ``removed`` or ``changed`` between two trees."""
-    shapes = [spark.read.parquet(f"{p}/parts") for p in (old, new)]
-    known = {tuple(r) for s in shapes for r in s.select("parts", "leaves").distinct().collect()}  # one row a tree
-    if len(known) > 1:
-        raise ValueError(f"trees of different shape: {sorted(known)}")
-    differ = sorted(r[0] for r in _differing(*shapes, ["part"]).collect())  # at most ``parts`` rows
-    low = [spark.read.parquet(f"{p}/leaves").filter(F.col("part").isin(differ)) for p in (old, new)]
+    shapes = [spark.read.schema(_SHAPE).json(f"{p}/shape").first() for p in (old, new)]
+    if shapes[0][:2] != shapes[1][:2]:
+        raise ValueError(f"trees of different shape: {shapes[0][:2]} and {shapes[1][:2]}")
+    tops = [spark.read.schema(f"part int, {_SUMS}").parquet(f"{p}/parts") for p in (old, new)]
+    differ = sorted(r[0] for r in _differing(*tops, ["part"]).collect())  # at most ``parts`` rows
+    low = [spark.read.schema(f"part int, leaf int, {_SUMS}").parquet(f"{p}/leaves").filter(F.col("part").isin(differ))
+           for p in (old, new)]
     leaves = _differing(*low, ["part", "leaf"]).select("leaf")  # at most parts x leaves rows
     sides = []
-    for p in (old, new):
-        base = f"{p}/rows"
-        held = [d for d in differ if path_exists(spark, f"{base}/part={d}")]
-        rows = spark.read.parquet(f"{p}/rows").drop("part") if not differ or not held else spark.read.parquet(
-            *[f"{base}/part={d}" for d in held])
-        rows = rows if held else rows.limit(0)
+    for p, shape in zip((old, new), shapes):
+        schema = StructType.fromJson(json.loads(shape["rows"]))
+        held = [f"{p}/rows/part={d}" for d in differ if path_exists(spark, f"{p}/rows/part={d}")]
+        rows = spark.read.schema(schema).parquet(*held) if held else spark.createDataFrame([], schema)
         sides.append(rows.join(F.broadcast(leaves), "leaf", "left_semi").select(*keys, F.struct(*DIGEST).alias("digest")))
     a, b = sides
     j = a.join(b, same_keys(a, b, keys), "full_outer")
