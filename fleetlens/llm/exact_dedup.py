@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import load, shuffle_partitions, staged, stored
+from fleetlens.llm.common import load, numbered, shuffle_partitions, staged
 
 SLOTS = 4
 MAX_KICKS = 200
@@ -140,12 +140,6 @@ def _digest_batches(batches):
             ["doc_id", "row", "digest"])
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """``docs`` with the number ``__row``, written once: the number of a row is
-    stored with it and does not depend on how a later job splits the files."""
-    return stored(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
-
-
 def text_digests(docs: DataFrame, row: str | None = None) -> DataFrame:
     """``doc_id, row, digest`` of every row, written once. ``row`` tells repeated
     rows apart: the column of that name, or else the row's position in this scan,

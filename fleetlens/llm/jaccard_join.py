@@ -51,7 +51,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import load, shuffle_partitions, staged
+from fleetlens.llm.common import load, numbered, shuffle_partitions, staged
 from fleetlens.llm.components import components
 from fleetlens.llm.shingles import mix, shingle_set
 from fleetlens.session import scratch_path
@@ -236,8 +236,8 @@ def _prefixes(key, left, right):
 
 
 def parity_bits(hashes: np.ndarray, band: int) -> np.ndarray:
-    """The sketch of single bits, as 64-bit words."""
-    width = max(6, band + 3)
+    """The sketch of single bits, two to four per element, as 64-bit words."""
+    width = max(6, band + 2)
     at = mix(hashes ^ _U64(0x2545F4914F6CDD1D)) >> _U64(64 - width)
     return np.packbits(np.bincount(at.astype(np.int64), minlength=1 << width).astype(np.uint8) & 1).view("<u8")
 
@@ -257,14 +257,14 @@ def _bit_sketches(batches):
                                          ["ref", "band", "n", "bits"])
 
 
-def _candidates_of(rows: list[tuple], nearest: bool) -> set[tuple[int, int]]:
+def _candidates_of(rows: list[tuple], nearest: bool) -> tuple[set[tuple[int, int]], bool]:
     """Pairs of one group, or of two blocks of it, that the bits do not rule
-    out; only the nearest of each member if ``nearest``."""
+    out; only the nearest of each member if ``nearest``. Also whether others are left."""
     if len({r[2] for r in rows}) < 2:
-        return set()
+        return set(), False
     ref, side, root, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
     bits = np.frombuffer(b"".join(r[4] for r in rows), "<u8").reshape(len(rows), -1)
-    out = set()
+    out, left = set(), False
     for i in range(len(rows)):
         j = np.flatnonzero((root != root[i]) & ((side == 2) | (side != side[i]))
                            & (np.minimum(n, n[i]) * 100 >= 75 * np.maximum(n, n[i])))
@@ -276,35 +276,42 @@ def _candidates_of(rows: list[tuple], nearest: bool) -> set[tuple[int, int]]:
             if fits.any():
                 found = ref[j[fits]]
                 if nearest:
+                    left = left or len(found) > 1
                     found = found[[np.lexsort((found, apart[fits]))[0]]]
                 out.update((min(int(ref[i]), int(x)), max(int(ref[i]), int(x))) for x in found)
-    return out
+    return out, left
 
 
 def _compare_groups(nearest: bool):
-    """Rows come sorted by ``key, lo, hi``; a group may go on in the next batch."""
+    """Rows come sorted by ``key, lo, hi``; a group may go on in the next batch. A row
+    is a pair, or the key alone of a group that has pairs left for the next round."""
     def run(batches):
         held: list[tuple] = []
         last = None
 
-        def emit(pairs):
-            return pa.RecordBatch.from_arrays([pa.array([p[k] for p in pairs], pa.int64()) for k in (0, 1)], ["u", "v"])
+        def found():
+            pairs, left = _candidates_of(held, nearest)
+            return [(u, v, None) for u, v in pairs] + ([(None, None, last[0])] if left else [])
+
+        def emit(rows):
+            return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], ["u", "v", "key"])
         for b in batches:
-            pairs = []
+            rows = []
             for key, lo, hi, block, ref, root, n, bits in zip(*(b.column(c).to_pylist() for c in (
                     "key", "lo", "hi", "block", "ref", "root", "n", "bits"))):
                 if (key, lo, hi) != last:
-                    pairs += _candidates_of(held, nearest)
+                    rows += found()
                     held, last = [], (key, lo, hi)
                 # members of one block meet each other, members of two blocks only the other block
                 held.append((ref, 2 if lo == hi else int(block == hi), root, n, bits))
-            yield emit(pairs)
-        yield emit(list(_candidates_of(held, nearest)))
+            yield emit(rows)
+        yield emit(found())
     return run
 
 
 def _open_pairs(stars: DataFrame, roots: DataFrame, bits: DataFrame, nearest: bool) -> DataFrame:
-    """Pairs of different components in a group that the bits leave open."""
+    """Pairs ``u, v`` of different components in a group that the bits leave open, and
+    the ``key`` of every group that has more of them than were returned."""
     named = _with_root(stars.select("key", "ref", "band", "size"), roots)
     mixed = named.groupBy("key").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("key")
     rows = named.join(mixed, "key").join(bits, ["ref", "band"])
@@ -314,16 +321,19 @@ def _open_pairs(stars: DataFrame, roots: DataFrame, bits: DataFrame, nearest: bo
     rows = rows.withColumn("lo", F.least("block", "other")).withColumn("hi", F.greatest("block", "other"))
     dealt = (rows.select("key", "lo", "hi", "block", "ref", "root", "n", "bits")
              .repartition(shuffle_partitions(stars.sparkSession), "key", "lo", "hi").sortWithinPartitions("key", "lo", "hi"))
-    return dealt.mapInArrow(_compare_groups(nearest), "u long, v long").distinct()
+    return dealt.mapInArrow(_compare_groups(nearest), "u long, v long, key long")
 
 
 def _make_sets(batches):
+    seen = set()  # sets of this task: repeated rows add nothing
     for b in batches:
         h1, h2, sets = [], [], []
         for t in b.column("text").to_pylist():
             s = shingle_set(t)
-            if len(s):
-                one, two = np.frombuffer(xxhash.xxh128_digest(s.tobytes()), "<i8").tolist()
+            digest = xxhash.xxh128_digest(s.tobytes())
+            if len(s) and digest not in seen:
+                seen.add(digest)
+                one, two = np.frombuffer(digest, "<i8").tolist()
                 h1.append(one)
                 h2.append(two)
                 sets.append(s.tobytes())
@@ -347,13 +357,26 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     return staged(both.mapInArrow(_verify_batches, "u long, v long"), name)
 
 
+def _first_of_each(batches):
+    """Of rows sorted by ``ref``, the first of each."""
+    last = None
+    for b in batches:
+        ref = b.column("ref").to_numpy()
+        new = np.ones(len(ref), bool)
+        new[1:] = ref[1:] != ref[:-1]
+        if len(ref):
+            new[0] = ref[0] != last
+            last = ref[-1]
+        yield b.filter(pa.array(new))
+
+
 def _kept_by_ref(sets: DataFrame) -> tuple[DataFrame, str]:
-    """The sets as a table bucketed and sorted by ``ref`` in the shared folder:
+    """One set per ``ref`` as a table bucketed and sorted by it in the shared folder:
     each round of verification then moves its pairs to the sets, not all sets
     to the pairs. Also the table's name, to be dropped afterwards."""
     spark = sets.sparkSession
     n, name = shuffle_partitions(spark), f"fleetlens_sets_{uuid.uuid4().hex}"
-    (sets.repartition(n, "ref").write.bucketBy(n, "ref").sortBy("ref")
+    (sets.repartition(n, "ref").sortWithinPartitions("ref").mapInArrow(_first_of_each, sets.schema).write.bucketBy(n, "ref").sortBy("ref")
      .option("path", scratch_path(spark, "jaccard-sets-by-ref")).format("parquet").saveAsTable(name))
     return spark.table(name), name
 
@@ -376,7 +399,11 @@ def _links(buckets: DataFrame, sets: DataFrame) -> DataFrame:
     links = _verified(done, sets, "jaccard-links")
     roots = components(links)
     for nearest in (True, False):
-        pairs = staged(_open_pairs(stars, roots, bits, nearest).join(done, ["u", "v"], "left_anti"), "jaccard-pairs")
+        found = staged(_open_pairs(stars, roots, bits, nearest), "jaccard-open")
+        # groups in which the bits left no further pair are not dealt again
+        stars = stars.join(found.filter("key IS NOT NULL").select("key").distinct(), "key", "left_semi")
+        pairs = found.filter("u IS NOT NULL").select("u", "v").distinct()
+        pairs = staged(pairs.join(done, ["u", "v"], "left_anti"), "jaccard-pairs")
         links = links.unionByName(_verified(pairs, sets, "jaccard-links"))
         done = done.unionByName(pairs)
         roots = components(links)
@@ -409,8 +436,10 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     again = texts.mapInArrow(_make_sets, "h1 long, h2 long, hashes binary")
     sets, table = _kept_by_ref(again.join(wanted.select("ref", "h1", "h2"), ["h1", "h2"]).select("ref", "hashes"))
-    roots = _links(buckets, sets)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")  # the catalog entry; nothing reads the files any more
+    try:
+        roots = _links(buckets, sets)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")  # the catalog entry; nothing reads the files any more
     canon = canon.select("ref", F.col("same").alias("set_ref"))
     rooted = (canon.join(roots.withColumnRenamed("node", "set_ref"), "set_ref", "left")
               .select("ref", F.coalesce("root", "set_ref").alias("root")))
@@ -422,12 +451,19 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay: of every component the document with the
-    smallest ``doc_id``. A null ``doc_id`` and documents without words stay;
-    rows that share an id go or stay together."""
-    gone = (jaccard_components(docs).filter("doc_id <> component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    """The rows of ``docs`` that stay: of every component one row, that of the smallest
+    ``doc_id`` (null last; of equal ids the first row of a numbered copy). Rows
+    without words stay. The decision and the rows come from that copy, so rows that
+    share an id, or have none, are told apart."""
+    rows = numbered(docs)
+    found = jaccard_components(rows.select(F.col("__row").alias("doc_id"), "text")).filter("n_shingles > 0")
+    ids = rows.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row"))["row"].alias("__keep")
+    groups = found.filter("doc_id <> component_id").select(F.col("component_id").alias("group")).distinct()
+    members = found.join(groups, found["component_id"] == groups["group"]).select(F.col("doc_id").alias("row"), "group")
+    keep = members.join(ids, "row").groupBy("group").agg(first)
+    gone = members.join(keep, "group").filter("row <> __keep").select(F.col("row").alias("__row"))
+    return rows.join(gone, "__row", "left_anti").drop("__row")
 
 
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

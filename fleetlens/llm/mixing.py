@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fleetlens.llm.common import WORD, load, staged
+from fleetlens.llm.common import WORD, load, numbered, staged
 
 BLOCK_WORDS = 16
 SHARD_BLOCKS = 1 << 18
@@ -47,7 +47,7 @@ def sized(docs: DataFrame) -> DataFrame:
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("src"),
         F.col("source").isNull().alias("no_src"),
         F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        key.alias("key"))
+        key.alias("key"), (F.col("__row") if "__row" in docs.columns else F.lit(None).cast("long")).alias("row"))
 
 
 def source_targets(rows: DataFrame) -> DataFrame:
@@ -116,7 +116,7 @@ def ring_positions(rows: DataFrame) -> DataFrame:
     part = rows.groupBy("src", "no_src", "bucket").agg(F.sum("size").alias("words"))
     by = Window.partitionBy("src", "no_src").orderBy("bucket")
     start = part.select("src", "no_src", "bucket", (F.sum("words").over(by) - F.col("words")).alias("start"))
-    inside = Window.partitionBy("src", "no_src", "bucket").orderBy("key", "doc_id", "size")
+    inside = Window.partitionBy("src", "no_src", "bucket").orderBy("key", "doc_id", "size", "row")
     placed = rows.withColumn("inside", F.sum("size").over(
         inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     return (placed.join(start, ["src", "no_src", "bucket"])
@@ -130,13 +130,22 @@ def _offset():
     return F.when(F.col("source_size") > 0, F.pmod(number, F.col("source_size"))).otherwise(0).cast("long")
 
 
+def _whole_run():
+    """Words a source gives: its blocks, and of its last block the part that its target
+    reaches into, never more than twice its words."""
+    blocks = F.col("blocks") * BLOCK_WORDS
+    near = F.floor(F.col("target") + 0.5)
+    part = F.least(F.greatest(near - blocks, F.lit(-BLOCK_WORDS)), F.lit(BLOCK_WORDS))
+    return F.least(F.greatest(blocks + part, F.lit(0)), CAP * F.col("source_size")).cast("long")
+
+
 def mix(docs: DataFrame) -> DataFrame:
     """One row per document with the words the mix takes of it."""
     rows = staged(sized(docs), "mix-sizes")
     targets = staged(source_targets(rows), "mix-targets")
     won = shard_quotas(targets).groupBy("src", "no_src").agg(F.sum("quota").alias("blocks"))
     plan = (targets.join(won, ["src", "no_src"])
-            .withColumn("run", F.col("blocks") * BLOCK_WORDS)
+            .withColumn("run", _whole_run())
             .withColumn("offset", _offset())
             .withColumn("rounds", F.when(F.col("source_size") > 0, F.floor(F.col("run") / F.col("source_size"))).otherwise(0).cast("long"))
             .withColumn("rest", F.col("run") - F.col("rounds") * F.col("source_size")))
@@ -151,24 +160,54 @@ def mix(docs: DataFrame) -> DataFrame:
     inside = (((lo >= F.col("offset")) & (lo < end)) | (lo < end - F.col("source_size"))).cast("long")
     return d.select("doc_id", "size", "source_size", "target",
                     (F.col("rounds") * F.col("size") + arc).cast("long").alias("taken"),
-                    "key", "src", "no_src",
+                    "key", "src", "no_src", "row",
                     (F.col("rounds") + inside).alias("times"))
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of the mix: each document as often as its first word is taken
-    (0, 1 or 2 times), whole, with all its columns. ``doc_id`` names the row;
-    rows that share an id and source are taken alike (as often as the first)."""
-    times = (mix(docs).groupBy(F.col("doc_id").alias("__id"), F.col("src").alias("__src"),
-                               F.col("no_src").alias("__no_src"))
-             .agg(F.max("times").cast("int").alias("__times")).filter("__times > 0"))
-    named = (docs.withColumn("__src", F.coalesce(F.col("source").cast("string"), F.lit("")))
-             .withColumn("__no_src", F.col("source").isNull()))
-    joined = named.join(times, (F.col("doc_id").cast("long").eqNullSafe(F.col("__id")))
-                        & (named["__src"] == times["__src"]) & (named["__no_src"] == times["__no_src"]))
-    copies = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    (0, 1 or 2 times), whole, with all its columns. Rows are told apart by their
+    number in a copy that is written once, not by their ids."""
+    rows = numbered(docs)
+    times = mix(rows).filter("times > 0").select(F.col("row").alias("__row"), F.col("times").cast("int").alias("__times"))
+    copies = rows.join(times, "__row").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return copies.select(*docs.columns)
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+#: The words a source gives lie within half a word of its target: the block quotas miss a
+#: target by less than a block, and the last block is taken in part.
+ORACLE = r"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+         md5('SEED:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key FROM documents),
+p AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY encode(source) NULLS LAST) AS rank
+  FROM d GROUP BY source),
+w AS (SELECT *, [5, 2, 1][(rank - 1) % 3 + 1] AS weight FROM p),
+l AS (SELECT *, CAST(2 * source_size AS DOUBLE) / weight AS level FROM w),
+f AS (
+  SELECT *, row_number() OVER o AS nth, (1.5 * sum(source_size) OVER ()
+              - coalesce(sum(2 * source_size) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+            / CAST(sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS DOUBLE) AS lam
+  FROM l WINDOW o AS (ORDER BY level, rank)),
+t AS (
+  SELECT *, least(CAST(2 * source_size AS DOUBLE),
+                  coalesce(weight * (SELECT arg_min(lam, nth) FROM f WHERE level > lam), CAST('inf' AS DOUBLE))) AS target FROM f),
+r AS (
+  SELECT source, source_size, target, CAST(floor(target + 0.5) AS BIGINT) AS run,
+         CASE WHEN source_size > 0 THEN CAST('0x' || left(md5('SEED:' || coalesce(source, '') || CAST(source IS NULL AS VARCHAR)), 12) AS BIGINT)
+              % source_size ELSE 0 END AS start FROM t),
+q AS (
+  SELECT d.doc_id, d.size, r.*, CASE WHEN source_size > 0 THEN run // source_size ELSE 0 END AS rounds,
+         CASE WHEN source_size > 0 THEN start + run % source_size ELSE 0 END AS stop,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY key, doc_id NULLS FIRST, d.size ROWS UNBOUNDED PRECEDING) - d.size AS pos
+  FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(rounds * size + greatest(least(pos + size, stop, source_size) - greatest(pos, start), 0)
+            + greatest(least(pos + size, greatest(stop - source_size, 0)) - pos, 0) AS BIGINT) AS taken
+FROM q
+""".replace("SEED", SEED)

@@ -28,6 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op2_mixing": mixing.ORACLE,
     "op5_exact_dedup": exact_dedup.ORACLE,
     "op9_chat_rotation": chat.ORACLE,
     "op11_substring_dedup": rlz.ORACLE,

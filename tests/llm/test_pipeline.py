@@ -105,3 +105,30 @@ def test_stages(spark):
     for r in kept["packing"]:
         used[r.sequence_id] += r.length
     assert max(used.values()) <= 2048 and len(used) <= -(-sum(used.values()) // 2048) + 1
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    """Stages decide by row: a unique document stays whatever its id."""
+    r = random.Random(5)
+    a, b, c = (" ".join(f"{x}{r.randrange(999)}" for _ in range(60)) for x in "abc")
+    rows = [(1, a, "x", "s", 1), (2, a + " more", "x", "s", 2), (2, b, "x", "s", 3), (None, c, "x", "s", 4),
+            (None, c + " end", "x", "s", 5), (None, "lone words here to stay", "x", None, 6), (7, b, "x", "s", 7), (7, b, "x", "s", 7)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = [tuple(x) for x in corpus_pipeline.drop_exact_copies(spark, docs, "").collect()]
+    assert sorted(x[4] for x in kept) == [1, 2, 4, 5, 6, 7]            # of the three b one row of id 7
+    near = [tuple(x) for x in corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(kept, SCHEMA), "").collect()]
+    assert sorted(x[4] for x in near) in ([1, 4, 6, 7], [1, 5, 6, 7])  # one of the two c, which have no id
+    only = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame(rows[:3], SCHEMA), "").collect()
+    assert sorted(x.n_chars for x in only) == [1, 3]
+    again = corpus_pipeline.drop_near_copies(spark, spark.createDataFrame([rows[0]] * 200 + [rows[1]] * 200, SCHEMA), "")
+    assert again.count() == 1
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    plan = mixing.mix(mixing.numbered(docs)).collect()
+    assert mixed.count() == sum(x.times for x in plan) and mixed.columns == docs.columns
+
+
+def test_an_empty_table(spark):
+    sf = scratch_path(spark, "pipeline-empty")
+    spark.createDataFrame([], SCHEMA).write.parquet(f"{sf}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{sf}/labels.parquet")
+    assert corpus_pipeline.run(spark, sf).count() == 0
