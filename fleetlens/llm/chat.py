@@ -102,24 +102,27 @@ def op9_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(load(spark, sf_dir, "conversations"))
 
 
-#: Windows by turn number: the same rows where dialogues are numbered from 0 without gaps
-#: or repeats and all their participants speak in every window, as in the small tables.
-#: Whole dialogues are tested against an oracle that does not cut (``tests/llm/test_chat_whole.py``).
+#: Whole dialogues, cut by position: every participant of the dialogue gets every part.
 ORACLE = f"""
 WITH t AS (
   SELECT conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
-         replace(coalesce(text, ''), '<|', '< |') AS body, CAST(floor(turn / {WINDOW}) AS BIGINT) AS block
+         replace(coalesce(text, ''), '<|', '< |') AS body
   FROM conversations),
 n AS (
-  SELECT *, row_number() OVER (PARTITION BY conv_id, block ORDER BY turn NULLS LAST, speaker, body) AS rn FROM t),
-w AS (SELECT *, CAST(floor((rn - 1) / {WINDOW}) AS BIGINT) AS part FROM n),
-p AS (SELECT DISTINCT conv_id, block, part, speaker AS perspective FROM w WHERE speaker <> '{SYSTEM}'),
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS LAST, speaker, body) AS rn,
+         count(turn) OVER (PARTITION BY conv_id) AS earlier FROM t),
+c AS (SELECT *, (rn - 1) // {WINDOW} AS nth FROM n),
+w AS (
+  SELECT *, CASE WHEN count(turn) OVER (PARTITION BY conv_id, nth) > 0 THEN nth END AS block,
+         CASE WHEN count(turn) OVER (PARTITION BY conv_id, nth) > 0 THEN 0
+              ELSE nth - CAST(ceil(earlier / {WINDOW}) AS BIGINT) END AS part FROM c),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> '{SYSTEM}'),
 s AS (
   SELECT w.conv_id, w.block, w.part, perspective, rn, speaker = perspective AS mine,
          '{START}' || CASE WHEN speaker = '{SYSTEM}' THEN 'system' WHEN speaker = perspective THEN 'assistant'
                            ELSE 'user name=' || speaker END || chr(10) AS head,
          body || '{END}' AS body
-  FROM p JOIN w ON p.conv_id IS NOT DISTINCT FROM w.conv_id AND p.block IS NOT DISTINCT FROM w.block AND p.part = w.part),
+  FROM p JOIN w ON p.conv_id IS NOT DISTINCT FROM w.conv_id),
 o AS (
   SELECT *, coalesce(sum(length(head) + length(body) + 1) OVER (
               PARTITION BY conv_id, block, part, perspective ORDER BY rn

@@ -208,7 +208,8 @@ def leaves(docs: DataFrame) -> DataFrame:
 def manifest(docs: DataFrame) -> DataFrame:
     """Leaf, subroot, root, proof and folded root of every row of ``docs``."""
     spark = docs.sparkSession
-    placed = positions(leaves(docs), "grp", [F.col("doc_id").asc_nulls_first(), F.col("node")], "merkle-leaves")
+    hashed = staged(leaves(docs), "merkle-hashed")  # the sort samples and reads hashes, not texts
+    placed = positions(hashed, "grp", [F.col("doc_id").asc_nulls_first(), F.col("node")], "merkle-leaves")
     rounds, subroots = grow(placed, "doc_id", "tampered")
     listed = subroots.select(F.lit("").alias("all"), F.col("grp").alias("source"), "node")
     listed = staged(positions(listed, "all", [F.col("source")], "merkle-sources"), "merkle-sources-placed")

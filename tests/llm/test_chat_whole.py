@@ -59,3 +59,16 @@ def test_parts_join_to_the_whole_dialogue(spark):
             at += len(r.rendered)
         assert (sum(r.n_turns for r in parts), "".join(r.rendered for r in parts), ",".join(spans)) == want[key]
     assert len(got[3, "ann"]) == 1  # 8 turns numbered 60 to 67
+
+
+def test_registered_sql_on_gaps_nulls_and_silent_speakers(spark):
+    df = spark.createDataFrame(ROWS, "conv_id long, turn long, role string, text string").repartition(5)
+    out = chat.rotate(df)
+    c = duckdb.connect()
+    c.execute("CREATE TABLE conversations (conv_id BIGINT, turn BIGINT, role VARCHAR, text VARCHAR)")
+    c.executemany("INSERT INTO conversations VALUES (?, ?, ?, ?)", ROWS)
+    found = c.execute(chat.ORACLE)
+    names = [x[0] for x in found.description]
+    want = found.fetchall()
+    assert names == out.columns
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in out.collect())
