@@ -73,25 +73,92 @@ CONTEXT = {"email": "mail|contact|write|reach|kontakt|correo|courriel", "ip": r"
 COUNTER = r"version|order|invoice|isbn|build|ticket|serial|model|sku"
 
 
+#: Elements of an array that one step of a scan goes through: a scan copies what it has
+#: found once per chunk, not once per element.
+CHUNK = 64
+_SPAN = "array<struct<s:int,e:int,m:string,before:string,around:string>>"
+
+
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _scan(items: Column, start: Column, step, kind: str) -> Column:
+    """Outputs of ``step(state, item) -> (state, output)`` over an array, in order and in
+    time in proportion to its length, chunk by chunk."""
+    none = F.array().cast(kind)
+
+    def one(acc, x):
+        return _bound(F.struct(*[c.alias(n) for n, c in zip(("state", "out"), step(acc["state"], x))]), lambda r: F.struct(
+            r["state"].alias("state"), F.concat(acc["out"], F.array(r["out"])).alias("out")))
+
+    def chunk(acc, part):
+        inner = F.aggregate(part, F.struct(acc["state"].alias("state"), none.alias("out")), one)
+        return _bound(inner, lambda r: F.struct(r["state"].alias("state"), F.concat(acc["out"], r["out"]).alias("out")))
+
+    def whole(every):
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(every) - 1) / CHUNK).cast("int")),
+                            lambda i: F.slice(every, i * CHUNK + 1, F.lit(CHUNK)))
+        return F.aggregate(parts, F.struct(start.alias("state"), none.alias("out")), chunk)["out"]
+    return _bound(items, lambda every: F.when(F.size(every) > 0, whole(every)).otherwise(none))
+
+
+def _last(text: Column, n: int) -> Column:
+    return F.right(text, F.lit(n))
+
+
 def _spans(text: Column, pattern: str, sign: str | None) -> Column:
-    """``array<struct<s, e, m>>`` of all leftmost non-overlapping matches."""
+    """All leftmost non-overlapping matches, with the 40 characters before each (lowered)
+    and the two around it. The texts between matches give the places, so a text
+    of many matches is gone through once."""
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     if sign:
         found = F.when(F.contains(text, F.lit(sign)), found)
-    none = F.array().cast("array<struct<s:int,e:int,m:string>>")
-    start = F.struct(F.lit(0).alias("at"), none.alias("out"))
+    none = F.array().cast(_SPAN)
+
+    def pairs(found, gaps):
+        following = F.zip_with(F.slice(gaps, 2, F.size(gaps)), F.slice(found, 2, F.size(found)), lambda g, m: F.when(
+            g != "", F.left(g, F.lit(1))).otherwise(F.left(F.coalesce(m, F.lit("")), F.lit(1))))
+        own = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
+        return F.filter(F.zip_with(own, following, lambda p, n: F.struct(
+            p["gap"].alias("gap"), p["m"].alias("m"), F.coalesce(n, F.lit("")).alias("next"))), lambda p: p["m"].isNotNull())
+
+    def step(state, x):
+        s = state["at"] + F.length(x["gap"])
+        e = s + F.length(x["m"])
+        before = _last(F.concat(state["tail"], x["gap"]), 40)
+        out = F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m"), F.lower(before).alias("before"),
+                       F.concat(_last(before, 1), x["next"]).alias("around"))
+        return F.struct(e.alias("at"), _last(F.concat(before, x["m"]), 40).alias("tail")), out
 
     def place(found):
-        gaps = F.split(text, pattern, -1)
+        items = _bound(F.split(text, pattern, -1), lambda gaps: pairs(found, gaps))
+        return _scan(items, F.struct(F.lit(0).alias("at"), F.lit("").alias("tail")), step, _SPAN)
+    return _bound(found, lambda f: F.when(F.coalesce(F.size(f), F.lit(0)) > 0, place(f)).otherwise(none))
+
+
+def _apart(weak: Column, taken: Column) -> Column:
+    """The ``weak`` spans that touch none of the ``taken`` ones: both are laid on one line
+    and gone through from the left (the largest end so far) and from the right (the
+    nearest start)."""
+    def line(w, t):
+        ends = [F.transform(t, lambda x: F.struct(x["s"].alias("s"), F.lit(0).alias("w"), x["e"].alias("e"), F.lit(-1).alias("i"))),
+                F.transform(w, lambda x, i: F.struct(x["s"].alias("s"), F.lit(1).alias("w"), x["e"].alias("e"), i.cast("int").alias("i")))]
+        return F.sort_array(F.concat(*ends))
 
-        def step(acc, x):
-            s = acc["at"] + F.length(x["gap"])
-            e = s + F.length(x["m"])
-            one = F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))
-            return F.struct(e.alias("at"), F.concat(acc["out"], one).alias("out"))
-        pairs = F.zip_with(gaps, found, lambda g, m: F.struct(g.alias("gap"), m.alias("m")))
-        return F.aggregate(F.filter(pairs, lambda p: p["m"].isNotNull()), start, step)["out"]
-    return F.when(F.coalesce(F.size(found), F.lit(0)) > 0, place(found)).otherwise(none)
+    def left(end, x):
+        return F.when(x["w"] == 0, F.greatest(end, x["e"])).otherwise(end), F.when((x["w"] == 1) & (end > x["s"]), x["i"])
+
+    def right(start, x):
+        return F.when(x["w"] == 0, x["s"]).otherwise(start), F.when((x["w"] == 1) & (start < x["e"]), x["i"])
+
+    def kept(w, t):
+        every = line(w, t)
+        hit = F.concat(_scan(every, F.lit(0), left, "array<int>"), _scan(F.reverse(every), F.lit(2 ** 31 - 1), right, "array<int>"))
+        places = F.array_except(F.sequence(F.lit(0), F.size(w) - 1), F.array_compact(hit))
+        return F.transform(places, lambda i: F.get(w, i))
+    return F.when((F.size(weak) > 0) & (F.size(taken) > 0), kept(weak, taken)).otherwise(weak)
 
 
 def _digits(m: Column) -> Column:
@@ -113,7 +180,7 @@ def _vote(yes: Column | None, no: Column | None = None) -> Column:
     return F.when(yes, "1").otherwise(out) if yes is not None else out
 
 
-def _votes(kind: str, base: bool, text: Column, x: Column) -> Column:
+def _votes(kind: str, base: bool, x: Column) -> Column:
     """One character per labeler, and one for the length."""
     m, digits = x["m"], _digits(x["m"])
     valid = {
@@ -128,9 +195,7 @@ def _votes(kind: str, base: bool, text: Column, x: Column) -> Column:
         "phone": _vote(m.rlike(f"^{CALLING}"), ~m.rlike(f"^{CALLING}")) if base else _vote(None),
         "iban": _vote(m.rlike(f"^(?:{IBAN_COUNTRIES})"), ~m.rlike(f"^(?:{IBAN_COUNTRIES})")),
         "name": _vote(m.rlike(f" (?:{GIVEN})\\b")), "ssn": _vote(None)}[kind]
-    before = F.lower(F.substring(text, F.greatest(x["s"] - 39, F.lit(1)), F.least(x["s"], F.lit(40))))
-    around = F.concat(F.when(x["s"] > 0, F.substring(text, x["s"], F.lit(1))).otherwise(""),
-                      F.substring(text, x["e"] + 1, F.lit(1)))
+    before, around = x["before"], x["around"]
     return F.concat(
         _vote(F.lit(True)) if base else _vote(None),
         _vote(valid, ~valid) if valid is not None else _vote(None),
@@ -141,6 +206,10 @@ def _votes(kind: str, base: bool, text: Column, x: Column) -> Column:
         F.when(F.length(m) >= 20, "1").otherwise("0"))
 
 
+def _free(weak: Column) -> Column:
+    return _bound(F.col("taken"), lambda taken: _apart(weak, taken))
+
+
 def candidates(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``found``: structs ``k`` (kind), ``s``, ``e``, ``base``, ``votes``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -150,14 +219,12 @@ def candidates(docs: DataFrame) -> DataFrame:
     taken = F.concat(*[F.transform(f"base_{k}", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))) for k in BASE])
     rows = rows.withColumn("taken", taken)
     for kind, pattern in WEAK.items():
-        rows = rows.withColumn(f"weak_{kind}", F.filter(
-            _spans(F.col("text"), pattern, None),
-            lambda x: ~F.exists("taken", lambda t: (t["s"] < x["e"]) & (t["e"] > x["s"]))))
+        rows = rows.withColumn(f"weak_{kind}", _bound(_spans(F.col("text"), pattern, None), _free))
 
     def judged(kind, base):
         return F.transform(f"{'base' if base else 'weak'}_{kind}", lambda x: F.struct(
             F.lit(KINDS.index(kind)).alias("k"), x["s"].alias("s"), x["e"].alias("e"), F.lit(base).alias("base"),
-            _votes(kind, base, F.col("text"), x).alias("votes")))
+            _votes(kind, base, x).alias("votes")))
     every = F.concat(*[judged(k, True) for k in BASE], *[judged(k, False) for k in WEAK])
     return rows.select("doc_id", every.alias("found"))
 

@@ -510,3 +510,34 @@ def test_empty_tables(spark, name):
 def test_empty_vectors_and_turns(spark):
     assert ann.nearest(spark.createDataFrame([], "vec_id long, embedding array<float>"), F.lit(True), 5).count() == 0
     assert chat.rotate(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+def test_personal_data_in_a_text_of_many_spans(spark):
+    """Places, neighbours and overlaps of tens of thousands of spans in one text."""
+    part = ["Mr Adam Lee", "x{i}@mail.example.com", "call 555-123-{n}", "10.0.0.{o}"]
+    pieces = [part[i % 4].format(i=i, n=1000 + i % 9000, o=i % 250) for i in range(20_000)]
+    text = " é ".join(pieces)
+    row = pii.candidates(spark.createDataFrame([(1, text), (2, None)], "doc_id long, text string")).filter("doc_id = 1").first()
+    got = collections.Counter(pii.KINDS[x.k] for x in row.found)
+    assert got == {"name": 5000, "email": 5000, "phone": 5000, "ip": 5000}
+    for x in row.found[::97]:
+        said = text[x.s:x.e]
+        assert {"name": "Mr Adam", "email": "@mail", "phone": "555-123", "ip": "10.0.0."}[pii.KINDS[x.k]] in said
+        assert not text[x.s - 1:x.s].isalnum() or x.s == 0
+
+
+def test_weak_spans_that_touch_base_spans_go(spark):
+    from pyspark.sql import functions as sf
+    r = random.Random(6)
+    rows = []
+    for i in range(60):
+        def spans(n):
+            cuts = sorted(r.sample(range(400), 2 * n))
+            return [(a, b, "m", "", "") for a, b in zip(cuts[::2], cuts[1::2])]
+        rows.append((i, spans(r.randrange(0, 90)), [(a, b) for a, b, *_ in spans(r.randrange(0, 40)) + spans(r.randrange(0, 40))]))
+    df = spark.createDataFrame(rows, f"i int, weak {pii._SPAN}, taken array<struct<s:int,e:int>>")
+    out = df.select("i", pii._apart(sf.col("weak"), sf.col("taken")).alias("kept")).collect()
+    for x in out:
+        _, weak, taken = rows[x.i]
+        want = [(a, b) for a, b, *_ in weak if not any(s < b and e > a for s, e in taken)]
+        assert [(k.s, k.e) for k in x.kept] == want
