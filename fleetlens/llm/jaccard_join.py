@@ -57,9 +57,11 @@ from fleetlens.llm.shingles import mix, shingle_set
 from fleetlens.session import scratch_path
 
 BATCH_DOCS = 4_096
-BATCH_SHINGLES = 1_000_000
+BATCH_SHINGLES = 500_000
 #: Members of a segment's group that one task compares with as many others.
 BLOCK = 1024
+#: Bits of the filter that tells which documents' sets are made again (8 MB).
+FILTER_BITS = 26
 #: Segments per band: so many times the largest symmetric difference.
 SPREAD = 1.25
 _U64 = np.uint64
@@ -172,18 +174,18 @@ def _sketcher(shards: int):
 
 
 def _pack(keys: np.ndarray, unit: np.ndarray) -> bytes:
-    """Keys in 6 bytes (a shard has one range of the other two), units as steps."""
-    step = np.diff(unit, prepend=0).astype("<u4")
-    low = keys.astype("<u4")
-    high = (keys >> _U64(32)).astype("<u2")
-    return step.tobytes() + low.tobytes() + high.tobytes()
+    """The lower 5 bytes of keys (a shard has one range of the upper ones; two keys that
+    this makes equal are one more candidate), units as steps of two bytes."""
+    step = np.diff(unit, prepend=0)
+    assert not len(step) or step.max() < 1 << 16, "a batch has fewer than 65536 sketches"
+    return step.astype("<u2").tobytes() + keys.astype("<u4").tobytes() + (keys >> _U64(32)).astype("u1").tobytes()
 
 
 def _unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    n = len(data) // 10
-    unit = np.cumsum(np.frombuffer(data, "<u4", n).astype(np.int64))
-    low = np.frombuffer(data, "<u4", n, 4 * n).astype(_U64)
-    return low | np.frombuffer(data, "<u2", n, 8 * n).astype(_U64) << _U64(32), unit
+    n = len(data) // 7
+    unit = np.cumsum(np.frombuffer(data, "<u2", n).astype(np.int64))
+    low = np.frombuffer(data, "<u4", n, 2 * n).astype(_U64)
+    return low | np.frombuffer(data, "u1", n, 6 * n).astype(_U64) << _U64(32), unit
 
 
 def _shared_keys(key, table):
@@ -324,21 +326,52 @@ def _open_pairs(stars: DataFrame, roots: DataFrame, bits: DataFrame, nearest: bo
     return dealt.mapInArrow(_compare_groups(nearest), "u long, v long, key long")
 
 
-def _make_sets(batches):
-    seen = set()  # sets of this task: repeated rows add nothing
+def _id_place(doc_id: np.ndarray) -> np.ndarray:
+    return (mix(doc_id.astype("<i8").view("<u8") ^ _U64(0x9E3779B97F4A7C15)) >> _U64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _id_words(batches):
+    """The set bits of an id filter: 64-bit words and their places."""
     for b in batches:
-        h1, h2, sets = [], [], []
-        for t in b.column("text").to_pylist():
-            s = shingle_set(t)
-            digest = xxhash.xxh128_digest(s.tobytes())
-            if len(s) and digest not in seen:
-                seen.add(digest)
-                one, two = np.frombuffer(digest, "<i8").tolist()
-                h1.append(one)
-                h2.append(two)
-                sets.append(s.tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sets, pa.binary())],
-                                         ["h1", "h2", "hashes"])
+        ids = b.column("doc_id").drop_null().to_numpy()
+        place = np.unique(_id_place(ids))
+        word, at = np.unique(place >> 6, return_index=True)
+        bits = np.bitwise_or.reduceat(_U64(1) << (place & 63).astype(_U64), at) if len(place) else np.zeros(0, _U64)
+        yield pa.RecordBatch.from_arrays([pa.array(word, pa.int64()), pa.array(bits.view(np.int64), pa.int64())], ["word", "bits"])
+
+
+def _id_filter(wanted: DataFrame) -> np.ndarray:
+    """A filter of the ids of ``wanted``, ``2^FILTER_BITS`` bits whatever their number. It
+    lets all of them through, and of the others the share of the bits that are set."""
+    words = wanted.select("doc_id").mapInArrow(_id_words, "word long, bits long")
+    out = np.zeros(1 << (FILTER_BITS - 6), _U64)
+    for r in words.groupBy("word").agg(F.bit_or("bits").alias("bits")).collect():  # at most 2^(FILTER_BITS - 6) rows
+        out[r["word"]] = np.int64(r["bits"]).view(_U64)
+    return out
+
+
+def _sets_of(ids):
+    """Sets of the documents that the filter ``ids`` (a broadcast) lets through, and of those without an id."""
+    def run(batches):
+        known, seen = ids.value, set()  # sets of this task: repeated rows add nothing
+        for b in batches:
+            doc = b.column("doc_id")
+            place = _id_place(doc.fill_null(0).to_numpy(zero_copy_only=False))
+            through = (known[place >> 6] >> (place & 63).astype(_U64) & _U64(1)).astype(bool)
+            through |= doc.is_null().to_numpy(zero_copy_only=False)
+            h1, h2, sets = [], [], []
+            for t in b.column("text").filter(pa.array(through)).to_pylist():
+                s = shingle_set(t)
+                digest = xxhash.xxh128_digest(s.tobytes())
+                if len(s) and digest not in seen:
+                    seen.add(digest)
+                    one, two = np.frombuffer(digest, "<i8").tolist()
+                    h1.append(one)
+                    h2.append(two)
+                    sets.append(s.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sets, pa.binary())],
+                                             ["h1", "h2", "hashes"])
+    return run
 
 
 def _verify_batches(batches):
@@ -432,9 +465,8 @@ def jaccard_components(docs: DataFrame, shards: int | None = None) -> DataFrame:
     # the sets that share a bucket, made again from their texts
     busy = buckets.join(buckets.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "key", "left_semi")
     wanted = staged(canon.join(busy.select("ref").distinct(), "ref", "left_semi").select("ref", "doc_id", "h1", "h2"), "jaccard-wanted")
-    texts = narrow.join(wanted.select(F.col("doc_id").alias("id")).distinct(),
-                        F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    again = texts.mapInArrow(_make_sets, "h1 long, h2 long, hashes binary")
+    ids = spark.sparkContext.broadcast(_id_filter(wanted))  # 2^FILTER_BITS bits: texts of other documents are not moved
+    again = narrow.mapInArrow(_sets_of(ids), "h1 long, h2 long, hashes binary")
     sets, table = _kept_by_ref(again.join(wanted.select("ref", "h1", "h2"), ["h1", "h2"]).select("ref", "hashes"))
     try:
         roots = _links(buckets, sets)
