@@ -6,9 +6,9 @@ histogram of piece lengths, at most ``CAPACITY`` numbers whatever the corpus:
 
 * the configuration program (how many sequences of each filling) is solved by
   multiplicative weights: each round prices a best filling by an unbounded
-  knapsack over the weights of the lengths that are not covered yet, uses it in as many
-  whole sequences as the scarcest of its lengths allows, and lowers the weights
-  of what it covers, until every piece is covered. A round uses up a length or nearly,
+  knapsack over the weights of the lengths that are not covered yet (and the next best
+  that also fill a sequence), uses it in as many whole sequences as the scarcest of its
+  lengths allows, and lowers the weights of what it covers, until every piece is covered. A round uses up a length or nearly,
   so there are at most a few rounds per length, whatever the corpus;
 * rounding: near the end a filling may ask for more pieces of a length than are left.
   It is cut to these and topped up with the longest pieces that fit (best fit).
@@ -39,6 +39,8 @@ from fleetlens.llm.tokens import encoder
 
 CAPACITY = 2048
 STEP = 0.1
+#: Fillings taken from one pricing.
+FILLINGS = 4
 END_ID = 0
 
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
@@ -76,8 +78,9 @@ def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFr
     return staged(narrow.mapInArrow(_cutter(vocabulary, capacity), _PIECES), "pieces")
 
 
-def best_filling(lengths: np.ndarray, value: np.ndarray, capacity: int) -> np.ndarray:
-    """Counts per length of a filling of largest value (unbounded knapsack)."""
+def best_fillings(lengths: np.ndarray, value: np.ndarray, capacity: int, many: int = 1) -> list[np.ndarray]:
+    """Counts per length of a filling of largest value (unbounded knapsack), and of the
+    next best ones that differ in a first piece."""
     of = np.full(capacity + 1, -np.inf)
     of[lengths] = value
     best, pick = np.zeros(capacity + 1), np.zeros(capacity + 1, np.int64)
@@ -88,12 +91,20 @@ def best_filling(lengths: np.ndarray, value: np.ndarray, capacity: int) -> np.nd
             best[w], pick[w] = total[n], n + 1
         else:  # one place stays empty
             best[w] = best[w - 1]
-    counts, w = np.zeros(len(lengths), dtype=np.int64), capacity
-    while w > 0:
-        if pick[w]:
-            counts[np.searchsorted(lengths, pick[w])] += 1
-        w -= max(int(pick[w]), 1)
-    return counts
+    firsts = [int(pick[capacity])]
+    if many > 1 and firsts[0]:
+        ranked = np.argsort(-total, kind="stable")[:many] + 1
+        firsts += [int(n) for n in ranked if n != firsts[0] and np.isfinite(total[n - 1])][:many - 1]
+    out = []
+    for n in firsts:
+        counts, w = np.zeros(len(lengths), dtype=np.int64), capacity
+        while w > 0:
+            n = int(pick[w]) if w < capacity else n
+            if n:
+                counts[np.searchsorted(lengths, n)] += 1
+            w -= max(n, 1)
+        out.append(counts)
+    return out
 
 
 def topped_up(counts: np.ndarray, left: np.ndarray, lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -116,16 +127,19 @@ def priced_fillings(lengths: np.ndarray, demand: np.ndarray, capacity: int) -> l
     out = []
     while left.any():
         live = np.flatnonzero(left)
-        counts = np.zeros(len(lengths), dtype=np.int64)
-        counts[live] = best_filling(lengths[live], weight[live], capacity)
-        whole = bool((counts <= left).all())
-        if not whole:
-            counts = topped_up(counts, left, lengths, capacity)
-        used = counts > 0
-        times = int((left[used] // counts[used]).min())
-        left[used] -= times * counts[used]
-        weight[used] *= np.exp(-STEP * times * counts[used] / demand[used])
-        out.append((counts, times, whole))
+        for k, found in enumerate(best_fillings(lengths[live], weight[live], capacity, FILLINGS)):
+            counts = np.zeros(len(lengths), dtype=np.int64)
+            counts[live] = found
+            whole = bool((counts <= left).all())
+            if k and (not whole or (counts * lengths).sum() < capacity):
+                continue  # the next round prices anew
+            if not whole:
+                counts = topped_up(counts, left, lengths, capacity)
+            used = counts > 0
+            times = int((left[used] // counts[used]).min())
+            left[used] -= times * counts[used]
+            weight[used] *= np.exp(-STEP * times * counts[used] / demand[used])
+            out.append((counts, times, whole))
     return out
 
 

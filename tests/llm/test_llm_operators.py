@@ -334,7 +334,7 @@ def test_best_filling_is_the_best_knapsack():
         best = [0.0] * 41
         for w in range(1, 41):
             best[w] = max([best[w - 1]] + [best[w - n] + v for n, v in zip(lengths.tolist(), value) if n <= w])
-        counts = packing.best_filling(lengths, value, 40)
+        counts = packing.best_fillings(lengths, value, 40)[0]
         assert (counts * lengths).sum() <= 40 and (counts * value).sum() == pytest.approx(best[40])
 
 
