@@ -383,7 +383,9 @@ def retention(t, ctx: RunContext, runs: int = 12, keep: int = 10) -> DataFrame:
 # ------------------------------------------------------------ upsert / diff / stream
 
 def _device_snapshots(t, ctx: RunContext) -> tuple[DataFrame, DataFrame]:
-    """Yesterday's full device export and today's export of seen devices."""
+    """Yesterday's full device export and today's export of seen devices. The lookups,
+    which do not depend on the day, are written once for both."""
+    t = written_once(t, scratch_path(_spark(t), "lookups"), device_lookups=device_lookups(t))
     old = EXPORTS["devices"].build(t, previous_run(ctx))
     new = EXPORTS["devices"].build(t, ctx).filter(F.col("activity_status") != "Never")
     return old, new
@@ -420,7 +422,7 @@ def _kept_state(t, ctx: RunContext, table: str, key: str, spec: kept_summary.Spe
     store, and only what differs between two versions of that reaches the counters."""
     spark = _spark(t)
     store, path = scratch_path(spark, f"kept-{table}"), scratch_path(spark, f"summary-{table}")
-    rows, seen = t[table], F.col("last_seen_at")
+    rows, seen = written_once(t, scratch_path(spark, "kept-source"), **{table: t[table]})[table], F.col("last_seen_at")
     before = None
     for k in range(KEPT_RUNS):
         c = previous_run(ctx, KEPT_RUNS - 1 - k) if k + 1 < KEPT_RUNS else ctx
@@ -464,6 +466,8 @@ def codec_contents(t, ctx: RunContext) -> DataFrame:
     brought their contents, and the contents left in the store."""
     spark = _spark(t)
     root, before = scratch_path(spark, "contents"), previous_run(ctx)
+    # of the devices, the codecs need only the profiles they use
+    t = written_once(t, scratch_path(spark, "codec-source"), device=t["device"].select("device_profile_id").distinct())
     codec_store.write_run(spark, t, root, before.run_id)
     script = F.col("payload_codec_script")
     edited = t["device_profile"].withColumn("payload_codec_script", F.when(
