@@ -16,18 +16,18 @@ def combine_servers(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def row_rank(df: DataFrame, order: Sequence[str]) -> Column:
+def row_rank(df: DataFrame, order: Sequence[str], hashed: Sequence[str] | None = None) -> Column:
     """What decides between rows of one key: the ``order`` columns, NULL first, then a
-    hash of the row, so that ties fall the same way in every run."""
-    return F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in df.columns]).alias("__tie"))
+    hash of the row (of its columns ``hashed``), so that ties fall the same way in every run."""
+    return F.struct(*[F.col(c) for c in order], F.xxhash64(*[F.col(c) for c in hashed or df.columns]).alias("__tie"))
 
 
-def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], hashed: Sequence[str] | None = None) -> DataFrame:
     """One row per key (NULL is a key like others): the one of the highest
     :func:`row_rank`. An aggregate that Spark combines map-side."""
     others = [c for c in df.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
-    agg = df.groupBy(*keys).agg(F.max_by(packed, row_rank(df, order)).alias("__row"))
+    agg = df.groupBy(*keys).agg(F.max_by(packed, row_rank(df, order, hashed)).alias("__row"))
     return agg.select(*keys, *[F.col(f"__row.{c}").alias(c) for c in others]).select(*df.columns)
 
 

@@ -43,6 +43,7 @@ class Spec:
     seen: str
     static: Mapping[str, Column]
     timed: Mapping[str, Timed] = field(default_factory=dict)
+    reads: tuple[str, ...] = ()  # the columns of the source, besides these two, that the counters are made of
 
     @property
     def counters(self) -> list[str]:
@@ -68,7 +69,8 @@ def device_spec() -> Spec:
         "class_a_devices": _flag(F.col("enabled_class") == "A"), "class_b_devices": _flag(F.col("enabled_class") == "B"),
         "class_c_devices": _flag(F.col("enabled_class") == "C"),
         "rows": F.lit(1), "never_seen": _flag(F.col("last_seen_at").isNull()),
-    }, {"devices_seen_24h": Timed(1, ((DAY, -1, False),)), "devices_seen_7d": Timed(1, ((7 * DAY, -1, False),))})
+    }, {"devices_seen_24h": Timed(1, ((DAY, -1, False),)), "devices_seen_7d": Timed(1, ((7 * DAY, -1, False),))},
+           reads=("dev_eui", "battery_level", "is_disabled", "enabled_class"))
 
 
 def gateway_spec() -> Spec:
@@ -77,7 +79,7 @@ def gateway_spec() -> Spec:
     return Spec("tenant_id", "last_seen_at", {"total_gateways": _flag(F.col("gateway_id").isNotNull())}, {
         "online_gateways": Timed(1, ((300, -1, False),)),
         "recent_gateways": Timed(0, ((300, 1, False), (3600, -1, True))),
-        "offline_gateways": Timed(0, ((3600, 1, False),), never=1)})
+        "offline_gateways": Timed(0, ((3600, 1, False),), never=1)}, reads=("gateway_id",))
 
 
 def _at(seen: Column, seconds: int, late: bool) -> Column:

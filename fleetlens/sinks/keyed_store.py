@@ -5,7 +5,8 @@
 
 A merge reads and rewrites only the buckets in which the batch wins: rows that
 lose against what is stored (delivered again, or older) leave their bucket where
-it is. A version is committed when its manifest is (``_SUCCESS``); the manifest
+it is. Which win is found from keys and ranks alone; whole rows are dealt once, by
+bucket, where their newest is found and written. A version is committed when its manifest is (``_SUCCESS``); the manifest
 names a folder per bucket, old or new, so an unfinished merge is never seen and a
 retried one rewrites its own folders. Two versions differ at most in the buckets
 whose folders differ, which is what :func:`changed_rows` reads. One writer at a time.
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.operators.setops import newest_per_key, row_rank
+from fleetlens.session import PACKED
 from fleetlens.sources.tables import path_exists
 
 BUCKET = "__bucket"
@@ -86,7 +88,8 @@ def merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str
           buckets: int = DEFAULT_BUCKETS, keep_versions: int = 2) -> list[int]:
     """Merge a batch: per key the row that ranks highest by ``order`` (NULL first,
     then a hash of the row) stays, whatever the order of delivery. ``mark`` names the
-    batch; one that is committed is not applied again. Returns the buckets rewritten."""
+    batch; one that is committed is not applied again. The batch is read up to three times
+and should be of stored rows. Returns the buckets rewritten."""
     base, known = target.rstrip("/"), versions(spark, target)
     if any(name.split(".", 1)[1] == mark for _, name in known):
         return []
@@ -97,25 +100,23 @@ def merge(spark: SparkSession, target: str, batch: DataFrame, keys: Sequence[str
     schema = stored_schema(spark, target, folders)
     if schema is not None:
         batch = batch.select(*schema.names)
-    incoming = newest_per_key(batch, keys, order).withColumn(BUCKET, bucket_of(keys, buckets)).checkpoint()
-    touched = [r[0] for r in incoming.select(BUCKET).distinct().collect()]  # at most one row per bucket
+    names, bucket = batch.columns, bucket_of(keys, buckets).alias(BUCKET)
+    won = touched = [r[0] for r in batch.select(bucket).distinct().collect()]  # at most one row per bucket
     stored = [folders[b] for b in touched if b in folders]
-    won = touched
     if stored:
         now = _read(spark, target, stored, schema)
         now = now.select(*keys, row_rank(now, order).alias("__now"))
-        new = incoming.select(*keys, BUCKET, row_rank(batch, order).alias("__new"))
+        new = batch.select(*keys, row_rank(batch, order).alias("__new"))
         beats = new.join(now, same_keys(new, now, keys), "left").filter("__now IS NULL OR __new > __now")
-        won = [r[0] for r in beats.select(BUCKET).distinct().collect()]
+        won = [r[0] for r in beats.select(*[new[k] for k in keys]).select(bucket).distinct().collect()]
     if won:
-        rows = incoming.filter(F.col(BUCKET).isin(won))
+        rows = batch.filter(bucket_of(keys, buckets).isin(won))
         old = [folders[b] for b in won if b in folders]
         if old:
-            rest = _read(spark, target, old, schema).withColumn(BUCKET, bucket_of(keys, buckets))
-            rows = newest_per_key(rows.unionByName(rest).repartition(len(won), BUCKET), [BUCKET, *keys], order)
-        else:
-            rows = rows.repartition(len(won), BUCKET)
-        rows.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{base}/data/v={name}")
+            rows = rows.unionByName(_read(spark, target, old, schema))
+        dealt = rows.select(*names, bucket).repartition(len(won), BUCKET)
+        rows = newest_per_key(dealt, [BUCKET, *keys], order, names)
+        rows.write.mode("overwrite").options(**PACKED).partitionBy(BUCKET).parquet(f"{base}/data/v={name}")
         folders |= {b: f"v={name}/{BUCKET}={b}" for b in won}
     entries = [(b, f, buckets) for b, f in sorted(folders.items())] or [(None, None, buckets)]
     (spark.createDataFrame(entries, "bucket int, folder string, buckets int").coalesce(1)
