@@ -27,6 +27,9 @@ _SPLIT_WORD = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N
 _PLAIN = re.compile("[\n\x20-\x7e¡-ÿ]*")
 _SPACES = re.compile(r"\s ")
 _WORD_SPACE = re.compile("[ \t\n\r\x0b\x0c]+")
+#: What ``str.split`` takes for white space besides those.
+_OTHER_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_MARKS = frozenset(".,;:!?")
 
 
 def _byte_letters() -> list[str]:
@@ -43,6 +46,21 @@ def _byte_letters() -> list[str]:
 _LETTERS = dict(enumerate(_byte_letters()))
 
 
+class _Cache(dict):
+    """Ids by text: a text that is not held is encoded, and kept while there is room. Hits
+    never leave the dictionary's own lookup."""
+
+    def __init__(self, encode, most: int):
+        super().__init__()
+        self.encode, self.most = encode, most
+
+    def __missing__(self, text: str) -> bytes:
+        got = self.encode(text)
+        if len(self) < self.most:
+            self[text] = got
+        return got
+
+
 class CorpusEncoder:
     """``encode(text)`` gives the ids as little-endian uint32 bytes.
 
@@ -55,30 +73,36 @@ class CorpusEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.kind = kind
-        self.max_parts, self.max_pieces = CACHE[kind]
-        self.parts: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        max_parts, max_pieces = CACHE[kind]
+        self.parts = _Cache(self._spaced if kind == "byte" else self._word, max_parts)
+        self.pieces = _Cache(self._piece, max_pieces)
         self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
 
     def _whole(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            letters = piece.encode().decode("latin-1").translate(_LETTERS)  # a letter for each byte
-            got = array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
-            if len(self.pieces) < self.max_pieces:
-                self.pieces[piece] = got
-        return got
+        # a letter for each byte
+        letters = piece.translate(_LETTERS) if piece.isascii() else piece.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.tok.model.tokenize(letters)]).tobytes()
 
     def _part(self, part: str) -> bytes:
         if not _PLAIN.fullmatch(part):
             return self._whole(part)
         if self.kind == "byte":
-            return b"".join(map(self._piece, _SPLIT_BYTE.findall(part)))
-        return b"".join(map(self._piece, _SPLIT_WORD.findall(part.lower())))
+            return b"".join(map(self.pieces.__getitem__, _SPLIT_BYTE.findall(part)))
+        return b"".join(map(self.pieces.__getitem__, _SPLIT_WORD.findall(part.lower())))
+
+    def _spaced(self, part: str) -> bytes:
+        return self._part(" " + part)
+
+    def _word(self, part: str) -> bytes:
+        if part.isascii() or _PLAIN.fullmatch(part):  # letters alone, or with one mark behind, need no splitting
+            if part.isalpha():
+                return self.pieces[part.lower()]
+            if part[-1:] in _MARKS and part[:-1].isalpha():
+                return self.pieces[part[:-1].lower()] + self.pieces[part[-1]]
+        return self._part(part) if part else b""
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -86,26 +110,13 @@ class CorpusEncoder:
         if "<|" in text and any(s in text for s in self.special):
             return self._whole(text)
         if self.kind == "word":
-            return self._join(_WORD_SPACE.split(text), self.parts, "")
+            parts = _WORD_SPACE.split(text) if _OTHER_SPACE.search(text) else text.split()
+            return b"".join(map(self.parts.__getitem__, parts))
         if _SPACES.search(text):
             return self._whole(text)
         head, *rest = text.split(" ")
         first = self._part(head) if head else b""
-        return first + self._join(rest, self.parts, " ")
-
-    def _join(self, parts: list[str], cache: dict[str, bytes], before: str) -> bytes:
-        out = list(map(cache.get, parts))
-        if None in out:
-            for i, got in enumerate(out):
-                if got is None:
-                    part = parts[i]
-                    got = cache.get(part)
-                    if got is None:
-                        got = self._part(before + part) if before or part else b""
-                        if len(cache) < self.max_parts:
-                            cache[part] = got
-                    out[i] = got
-        return b"".join(out)
+        return first + b"".join(map(self.parts.__getitem__, rest))
 
 
 def encoder(path: str, kind: str) -> CorpusEncoder:
