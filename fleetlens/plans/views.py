@@ -314,9 +314,9 @@ def orphan_devices(t: Tables, ctx: RunContext) -> DataFrame:
 def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
     """J11 for every foreign key: number of child rows without a parent.
     Each child is first counted per key value (combined within the tasks, so a
-    hot key is one row per task); the counts of all children of one parent
-    meet it in a single anti join, so each parent table is read once. Foreign
-    keys without any orphan report 0."""
+    hot key is one row per task; the child is a number there, its names are added to
+    the totals); the counts of all children of one parent meet it in a single anti
+    join, so each parent table is read once. Foreign keys without any orphan report 0."""
     by_parent: dict[tuple[str, str], list[tuple[str, str]]] = {}
     for child, fk, parent, pk in FOREIGN_KEYS:
         by_parent.setdefault((parent, pk), []).append((child, fk))
@@ -324,14 +324,14 @@ def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
     for (parent, pk), children in by_parent.items():
         ptype = dict(t[parent].dtypes)[pk]
         refs = None
-        for child, fk in children:
-            r = t[child].select(F.lit(child).alias("child_table"), F.lit(fk).alias("foreign_key"),
-                                F.col(fk).cast(ptype).alias("ref"))
+        for i, (child, fk) in enumerate(children):
+            r = t[child].select(F.col(fk).cast(ptype).alias("ref"), F.lit(i).alias("child")).filter("ref IS NOT NULL")
             refs = r if refs is None else refs.unionByName(r)
-        per_key = refs.groupBy("ref", "child_table", "foreign_key").agg(F.count(F.lit(1)).alias("n"))
+        per_key = refs.groupBy("ref", "child").agg(F.count(F.lit(1)).alias("n"))
         missing = orphans(per_key, t[parent], "ref", pk)
-        counts = missing.groupBy("child_table", "foreign_key").agg(F.sum("n").alias("orphan_rows"))
-        parts.append(counts.withColumn("parent_table", F.lit(parent)))
+        counts = missing.groupBy("child").agg(F.sum("n").alias("orphan_rows"))
+        named = F.array(*[F.struct(F.lit(child).alias("child_table"), F.lit(fk).alias("foreign_key")) for child, fk in children])
+        parts.append(counts.select(F.get(named, F.col("child")).alias("names"), "orphan_rows").select("names.*", "orphan_rows"))
     found = parts[0]
     for p in parts[1:]:
         found = found.unionByName(p)
@@ -339,7 +339,7 @@ def orphan_report(t: Tables, ctx: RunContext) -> DataFrame:
     every = spark.createDataFrame([(c, fk, p) for c, fk, p, _ in FOREIGN_KEYS],
                                   "child_table string, foreign_key string, parent_table string")
     # ``found`` has at most one row per foreign key of the fixed list: bounded
-    out = every.join(F.broadcast(found.drop("parent_table")), ["child_table", "foreign_key"], "left")
+    out = every.join(F.broadcast(found), ["child_table", "foreign_key"], "left")
     return out.select("child_table", "foreign_key", "parent_table",
                       F.coalesce(F.col("orphan_rows"), F.lit(0).cast("bigint")).alias("orphan_rows"))
 

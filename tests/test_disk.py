@@ -7,9 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.context import RunContext
-from fleetlens.plans import lifecycle
+from fleetlens.plans import lifecycle, views
 from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, device_lookups
 from fleetlens.session import SHUFFLE_CLEANUP, scratch_path
+from fleetlens.sinks import keyed_store
 from fleetlens.sinks import snapshot as snap
 from fleetlens.sources.fixtures import fleet_tables
 from fleetlens.sources.tables import LazyTables
@@ -69,6 +70,8 @@ def test_two_runs_read_the_sources_once_and_pack_their_text(spark, fleet):
     assert spark.conf.get(SHUFFLE_CLEANUP, None) == before  # holds for the jobs of the run alone
     assert t.asked["device"] == t.asked["multicast_group_device"] == t.asked["relay_device"] == 1
     at = root.removeprefix("file:")
+    assert not glob.glob(f"{at}/staging/*")  # the copies of the sources go when the runs are written
+    assert all(f.endswith(".zstd.parquet") for f in glob.glob(f"{at}/archive/*/snapshot=*/part-*.parquet"))
     for form in ("csv", "json"):
         files = glob.glob(f"{at}/archive_{form}/*/snapshot={CTX.run_id}/part-*")
         assert len({f.split("/")[-3] for f in files}) == len(RUN_EXPORTS) and all(f.endswith(f".{form}.gz") for f in files)
@@ -86,3 +89,36 @@ def test_devices_from_given_lookups(spark, fleet):
     assert built.dtypes == EXPORTS["devices"].build(fleet, CTX).dtypes
     assert _rows(built) == _rows(EXPORTS["devices"].build(fleet, CTX))
     assert "lineitem" not in built._jdf.queryExecution().optimizedPlan().toString() and "Join" not in built._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_kept_counters_store_only_what_they_are_made_of(spark, fleet, monkeypatch):
+    seen, merge = [], keyed_store.merge
+    monkeypatch.setattr(keyed_store, "merge", lambda s, target, batch, *a, **b: (seen.append(batch.columns), merge(s, target, batch, *a, **b))[1])
+    kept = lifecycle.kept_device_summary(fleet, CTX)
+    assert len(seen) == lifecycle.KEPT_RUNS and not {"name", "description", "dev_addr"} & set(sum(seen, []))
+    one = {n: (lambda n=n: fleet[n].dropDuplicates(["dev_eui"]) if n == "device" else fleet[n]) for n in fleet}
+    assert _rows(kept) == _rows(EXPORTS["device_summary"].build(LazyTables(one), CTX))
+
+
+def test_a_merge_deals_whole_rows_once(spark, monkeypatch):
+    """No copy of the batch is kept beside the store; ties and null keys fall as ranked."""
+    monkeypatch.setattr(type(spark.range(1)), "checkpoint", lambda *a, **b: pytest.fail("the batch is written twice"))
+    target = scratch_path(spark, "t-merge")
+    schema = "k long, at string, v long"
+    batches = [[(1, "b", 1), (1, "a", 2), (None, "a", 3), (2, None, 4)], [(1, "a", 5), (2, "a", 6), (3, "a", 7), (None, "b", 8)]]
+    for i, rows in enumerate(batches):
+        assert keyed_store.merge(spark, target, spark.createDataFrame(rows, schema), ["k"], ["at"], f"b{i}", buckets=4)
+    assert _rows(keyed_store.read_store(spark, target)) == sorted(map(repr, [(1, "b", 1), (2, "a", 6), (3, "a", 7), (None, "b", 8)]))
+    again = spark.createDataFrame(batches[0], schema)
+    assert keyed_store.merge(spark, target, again, ["k"], ["at"], "b2", buckets=4) == []
+
+
+def test_orphans_are_counted_by_numbers_not_names(spark, fleet):
+    report = views.orphan_report(fleet, CTX)
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Aggregate [ref" in line and "child_table" in line]
+    got = {(r.child_table, r.foreign_key): r.orphan_rows for r in report.collect()}
+    assert len(got) == len(views.FOREIGN_KEYS)
+    for child, fk, parent, pk in views.FOREIGN_KEYS:
+        known = {r[0] for r in fleet[parent].select(pk).collect()}
+        assert got[child, fk] == sum(r[0] is not None and r[0] not in known for r in fleet[child].select(fk).collect()), (child, fk)
