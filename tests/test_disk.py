@@ -1,16 +1,18 @@
 """What queries over written files leave on disk and move: sources derived once, packed text, no shuffles of ended jobs."""
 
 import glob
+import time
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.context import RunContext
 from fleetlens.plans import lifecycle, views
-from fleetlens.plans.exports import EXPORTS, RUN_EXPORTS, device_lookups
+from fleetlens.plans.exports import EXPORTS, LARGE_EXPORTS, RUN_EXPORTS, device_lookups
 from fleetlens.session import SHUFFLE_CLEANUP, scratch_path
-from fleetlens.sinks import keyed_store
+from fleetlens.sinks import keyed_store, search_index
 from fleetlens.sinks import snapshot as snap
 from fleetlens.sources.fixtures import fleet_tables
 from fleetlens.sources.tables import LazyTables
@@ -122,3 +124,58 @@ def test_orphans_are_counted_by_numbers_not_names(spark, fleet):
     for child, fk, parent, pk in views.FOREIGN_KEYS:
         known = {r[0] for r in fleet[parent].select(pk).collect()}
         assert got[child, fk] == sum(r[0] is not None and r[0] not in known for r in fleet[child].select(fk).collect()), (child, fk)
+
+
+def test_a_run_keeps_the_copies_of_large_exports_no_longer_than_needed(spark, fleet, monkeypatch):
+    """Rows of the large exports are derived and looked up once for both runs, from sources that are not
+    copied; today's run drops those of an export before its texts are written, and one is sorted at a time."""
+    t = Counted(fleet)
+    held, sorting, together, staged = {}, set(), [], []
+    write, text, stage = snap.write_snapshot, snap.write_json, snap.stage_sources
+
+    def writes(df, root, export, *a, **b):
+        if export in LARGE_EXPORTS:
+            sorting.add(export)
+            together.append(len(sorting))
+            time.sleep(0.5)
+        try:
+            return write(df, root, export, *a, **b)
+        finally:
+            sorting.discard(export)
+
+    def texts(df, path, *a, **b):
+        held[path.split("/")[-2]] = {f.split("/")[-1] for f in glob.glob(f"{path.split('/archive_json')[0]}/staging/*/*".removeprefix("file:"))}
+        return text(df, path, *a, **b)
+
+    monkeypatch.setattr(snap, "write_snapshot", writes)
+    monkeypatch.setattr(snap, "write_json", texts)
+    monkeypatch.setattr(snap, "stage_sources", lambda *a, **b: (staged.extend(a[4]), stage(*a, **b))[1])
+    root = lifecycle.two_runs(t, CTX)
+    assert snap.current_run_id(spark, root) == CTX.run_id
+    large = {n: known.table for n, known in LARGE_EXPORTS.items()}
+    for name, known in LARGE_EXPORTS.items():
+        assert t.asked[known.source] == 1 and known.source not in staged, name
+        assert known.table not in held[name], name
+    order = list(large)
+    for i, name in enumerate(order):  # those of the exports before it are gone, those behind it are kept
+        assert held[name] & set(large.values()) == {large[n] for n in order[i + 1:]}, name
+    assert len(together) == 2 * len(large) and set(together) == {1}
+    for c in (lifecycle.previous_run(CTX), CTX):
+        for name in LARGE_EXPORTS:
+            written, built = snap.read_snapshot(spark, root, name, c.run_id), EXPORTS[name].build(fleet, c)
+            assert written.dtypes == built.dtypes and _rows(written) == _rows(built), name
+
+
+def test_an_index_that_fails_keeps_the_run_from_being_published(spark, fleet, monkeypatch):
+    monkeypatch.setattr(search_index, "write_index", lambda *a: 1 / 0)
+    res = snap.run_exports(spark, fleet, CTX, scratch_path(spark, "t-index"), ("tenants", "devices"), with_codecs=False,
+                           indexes=("pages", "search"), formats=("parquet", "json"))
+    assert not res.published
+    assert {r.export_name: r.ok for r in res.status.collect()} == {"tenants": True, "devices": True, "index search": False}
+
+
+def test_kept_files_have_pages_of_version_two(spark):
+    path = snap.write_snapshot(spark.range(100).select(F.col("id").cast("string").alias("device_eui")), scratch_path(spark, "t-pages"),
+                               "devices", "r", ordered=False).removeprefix("file:")
+    group = pq.ParquetFile(glob.glob(f"{path}/part-*")[0]).metadata.row_group(0)
+    assert "DELTA_BYTE_ARRAY" in group.column(0).encodings  # distinct values, as differences
