@@ -2,6 +2,7 @@
 
 import glob
 import time
+import zlib
 from datetime import datetime
 
 import pyarrow.parquet as pq
@@ -179,3 +180,58 @@ def test_kept_files_have_pages_of_version_two(spark):
                                "devices", "r", ordered=False).removeprefix("file:")
     group = pq.ParquetFile(glob.glob(f"{path}/part-*")[0]).metadata.row_group(0)
     assert "DELTA_BYTE_ARRAY" in group.column(0).encodings  # distinct values, as differences
+
+
+def test_todays_run_ends_with_nothing_beside_what_it_keeps(spark, fleet, monkeypatch):
+    """Staged tables go when all that is made from them is written, not when the run ends, and no large
+    export is sorted while the disk holds the CSV form of another."""
+    left, csv = [], []
+    write, publish = snap.write_snapshot, snap.publish_current
+
+    def found(root, pattern):
+        return {f.split("/")[-1] for f in glob.glob(f"{root}/{pattern}".removeprefix("file:"))}
+
+    def writes(df, root, export, run_id, **b):
+        if export in LARGE_EXPORTS:
+            csv.append(found(root, "archive_csv/*") & set(LARGE_EXPORTS))
+        return write(df, root, export, run_id, **b)
+
+    def publishes(s, root, ctx):
+        left.append(found(root, "staging/*/*"))
+        return publish(s, root, ctx)
+
+    monkeypatch.setattr(snap, "write_snapshot", writes)
+    monkeypatch.setattr(snap, "publish_current", publishes)
+    root = lifecycle.two_runs(LazyTables({n: (lambda n=n: fleet[n]) for n in fleet}), CTX)
+    assert {"device", "tenant", "device_lookups"} <= left[0] and left[1] == set()
+    assert len(csv) == 2 * len(LARGE_EXPORTS) and not set().union(*csv)
+    assert found(root, "archive_csv/*") == found(root, "archive_json/*") == set(RUN_EXPORTS)
+    for c in (lifecycle.previous_run(CTX), CTX):
+        counts = {r.export_name: r.records for r in snap.run_manifest(spark, root, c.run_id).collect()}
+        assert set(counts) == {*RUN_EXPORTS, snap.CODECS}
+
+
+def test_a_failed_csv_form_keeps_the_run_from_being_published(spark, fleet, monkeypatch):
+    monkeypatch.setattr(snap, "write_csv", lambda *a, **b: 1 / 0)
+    root = scratch_path(spark, "t-csv")
+    res = snap.run_exports(spark, fleet, CTX, root, ("tenants", "devices"), parallelism=2, formats=("parquet", "csv", "json"))
+    got = {r.export_name: (r.ok, r.error) for r in res.status.collect()}
+    assert not res.published and set(got) == {"tenants", "devices", snap.CODECS} and got[snap.CODECS] == (True, None)
+    assert got["tenants"] == got["devices"] == (False, "ZeroDivisionError: division by zero")
+    assert {r.export_name for r in snap.run_manifest(spark, root, CTX.run_id).collect()} == {snap.CODECS}
+
+
+def test_kept_texts_are_searched_longer_for_repeats(spark):
+    k = F.col("id") * 7919 % 150000
+    df = spark.range(20000, numPartitions=1).select(
+        F.lower(F.lpad(F.hex(k), 16, "0")).alias("device_eui"), F.concat(F.lit("dev-"), k.cast("string")).alias("device_name"),
+        F.date_add(F.lit("1992-01-01").cast("date"), (F.xxhash64(k) % 2400).cast("int")).cast("timestamp_ntz").alias("created_at"),
+        F.lit("lns-demo").alias("source_server"), F.lit("20240130_235800").alias("export_timestamp"))
+    for form, write in (("csv", snap.write_csv), ("json", snap.write_json)):
+        text = {}
+        for compression in ("none", "gzip"):
+            path = scratch_path(spark, f"t-{form}")
+            write(df, path, compression=compression)
+            text[compression] = open(glob.glob(f"{path}/part-*".removeprefix("file:"))[0], "rb").read()
+        assert zlib.decompress(text["gzip"], 31) == text["none"]
+        assert len(text["gzip"]) < 0.99 * len(zlib.compress(text["none"], 6)), form
