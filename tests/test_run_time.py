@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from fleetlens.session import scratch_path
+from fleetlens.sinks import search_index
 from fleetlens.sinks import snapshot as snap
 
+RID = "20240130_235800"
+
 
 @pytest.mark.parametrize("form", ["csv", "json"])
 def test_kept_texts_are_packed_by_a_filtered_search(spark, form):
@@ -29,3 +32,55 @@ def test_kept_texts_are_packed_by_a_filtered_search(spark, form):
         return len(packed.compress(text["none"]) + packed.flush())
     want = size(7, zlib.Z_FILTERED)
     assert abs(len(text["gzip"]) - want) < 0.005 * want < 0.5 * abs(size(8, zlib.Z_DEFAULT_STRATEGY) - want)
+
+
+VALUES = [("aabb", "Pump 1", "App"), ("aabb", "Pump 1", None), (None, None, "App"), ("", "x", ""), ("0000000000", "ÄÖü-ß", "app"),
+          (None, None, None), ("ab", None, "Other"), ("aabb", "Pump 12", "App")]
+
+
+def _indexed(spark, rows, files=1):
+    root = scratch_path(spark, "t-index")
+    df = spark.createDataFrame(rows, "device_eui string, device_name string, application_name string")
+    snap.write_snapshot(df.coalesce(1) if files == 1 else df.repartition(files), root, "devices", RID, ordered=False)
+    search_index.write_index(spark, root, RID)
+    return root, search_index.index_path(root, RID)
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_postings_hold_every_gram_of_every_row(spark, files):
+    root, path = _indexed(spark, VALUES * 40, files)
+    names = {r["number"]: r["file"] for r in spark.read.parquet(f"{path}/files").collect()}
+    assert list(map(names.get, sorted(names))) == sorted(names.values()) and len(names) == files
+    got = {}
+    for r in spark.read.parquet(f"{path}/postings").collect():
+        key = (r["field"], r["gram"])
+        for i in range(64):
+            if r["bits"] >> i & 1:
+                assert (at := (names[r["number"]], r["block"] * 64 + i)) not in got.setdefault(key, set())
+                got[key].add(at)
+    want = {}
+    for r in spark.read.parquet(snap.snapshot_path(root, "devices", RID)).select(
+            "*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at")).collect():
+        for c in search_index.FIELDS:
+            v = r[c]
+            if v is None:
+                continue
+            v = v.lower()
+            cut = [v] if c == "application_name" or len(v) < 3 else [v[i:i + 3] for i in range(len(v) - 2)]
+            for g in cut:
+                want.setdefault((c, g), set()).add((r["file"], r["at"]))
+    assert got == want
+    sizes = {(r["field"], r["gram"]): r["n"] for r in spark.read.parquet(f"{path}/grams").collect()}
+    assert sizes == {k: len(v) for k, v in want.items()}
+
+
+def test_neighbours_that_share_a_gram_are_one_posting(spark):
+    """Entries are combined by a hash of fixed width in the task that reads the rows, not sorted into lists."""
+    _, path = _indexed(spark, [("aabb", "pump", None)] * 128)
+    rows = spark.read.parquet(f"{path}/postings")
+    assert rows.count() == 2 * 4 and {r["bits"] for r in rows.collect()} == {-1}  # of aab, abb, pum, ump: two blocks each
+
+
+def test_an_index_of_no_devices(spark):
+    _, path = _indexed(spark, [])
+    assert spark.read.parquet(f"{path}/postings").count() == spark.read.parquet(f"{path}/grams").count() == 0
