@@ -2,13 +2,18 @@
 
 import glob
 import zlib
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from fleetlens.context import RunContext
+from fleetlens.plans.exports import EXPORTS, Export, provenance, with_provenance
 from fleetlens.session import scratch_path
 from fleetlens.sinks import search_index
 from fleetlens.sinks import snapshot as snap
+from fleetlens.sources.fixtures import fleet_tables
+from fleetlens.sources.tables import load_tables
 
 RID = "20240130_235800"
 
@@ -84,3 +89,36 @@ def test_neighbours_that_share_a_gram_are_one_posting(spark):
 def test_an_index_of_no_devices(spark):
     _, path = _indexed(spark, [])
     assert spark.read.parquet(f"{path}/postings").count() == spark.read.parquet(f"{path}/grams").count() == 0
+
+
+def test_a_sort_does_not_move_the_stamps_of_the_run(spark):
+    ctx = RunContext(as_of=datetime(2024, 1, 30, 23, 58))
+    base = spark.createDataFrame([("b", None), ("a", "y"), ("a", "x"), (None, "z")], "relay_device_name string, device_name string")
+    base = base.withColumns({"relay_device_eui": F.lit("r"), "device_eui": F.lit("d")})
+    df = with_provenance(base, ctx).select("export_timestamp", *base.columns, "source_server")
+    moved, ordered = [], Export.ordered
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(Export, "ordered", lambda self, d: (moved.append(d.columns), ordered(self, d))[1])
+        res = snap.run_exports(spark, {}, ctx, scratch_path(spark, "t-stamps"), (), with_codecs=False, publish=False,
+                               extra={"relay_devices": lambda: df})
+        assert res.status.first()["ok"] and moved == [df.columns]  # what others build may hold other values
+        path = snap.write_snapshot(df, scratch_path(spark, "t-stamps"), "relay_devices", RID, stamps=provenance(ctx))
+    assert moved[1] == base.columns
+    written = spark.read.parquet(path)
+    assert written.dtypes == df.dtypes
+    assert [tuple(r) for r in written.coalesce(1).collect()] == [
+        (RID, a, b, "r", "d", ctx.server_name) for a, b in (("a", "x"), ("a", "y"), ("b", None), (None, "z"))]
+
+
+def test_a_run_sorts_its_exports_without_its_stamps(spark, monkeypatch):
+    t = fleet_tables(load_tables(spark, "/root/testdata/sf0.001"))
+    moved, ordered = {}, Export.ordered
+    monkeypatch.setattr(Export, "ordered", lambda self, d: (moved.update({self.name: d.columns}), ordered(self, d))[1])
+    ctx, names = RunContext(as_of=datetime(2024, 1, 30, 23, 58)), ("relay_devices", "device_summary", "tenants", "servers")
+    root = scratch_path(spark, "t-stamped")
+    assert snap.run_exports(spark, t, ctx, root, names, with_codecs=False).published
+    assert not {"source_server", "export_timestamp", "report_timestamp"} & set(sum(moved.values(), []))
+    for name in names:
+        written, built = snap.read_snapshot(spark, root, name), EXPORTS[name].build(t, ctx)
+        assert written.dtypes == built.dtypes
+        assert sorted(map(repr, written.collect())) == sorted(map(repr, built.collect()))
